@@ -153,6 +153,8 @@ def envelopes(spark: SparkSession, root: str) -> DataFrame:
             F.lit('"}}'),
         )
 
+    # Spark breaks long base64 text into lines; an envelope is a single one.
+    encoded = F.translate(F.base64(F.col("value").cast("binary")), "\r\n", "")
     k = F.col("k")
     envelope = (
         F.when(k == 60, "not json")
@@ -163,7 +165,7 @@ def envelopes(spark: SparkSession, root: str) -> DataFrame:
         )
         .when(k == 64, around(F.lit("")))
         .when(k == 65, around(F.lit(NOT_BASE64)))
-        .otherwise(around(F.base64(F.col("value").cast("binary"))))
+        .otherwise(around(encoded))
     )
     return messages(spark, root).select("seq", "publish_ts", envelope.alias("value"))
 
