@@ -191,7 +191,7 @@ SELECT *,
                    ELSE to_base64(encode(value)) END || '"}}' END AS envelope
 FROM messages""",
     "received": """
-SELECT e.*,
+SELECT e.*, a.post_text,
        CASE WHEN e.status <> 'ok' THEN 'envelope'
             WHEN e.k = 65 THEN 'decode'
             WHEN e.k = 11 OR c.error_reason IS NOT NULL THEN 'contract'
@@ -200,8 +200,10 @@ SELECT e.*,
             WHEN e.k = 65 THEN 'bad_base64'
             WHEN e.k = 11 THEN 'bad_json'
             WHEN c.error_reason IS NOT NULL THEN c.error_reason
-            WHEN e.k = 53 THEN 'no_creation_date' END AS error_reason
-FROM envelopes e LEFT JOIN checked c USING (message_id)""",
+            WHEN e.k = 53 THEN 'no_creation_date' END AS failure
+FROM envelopes e
+LEFT JOIN checked c ON c.message_id = e.message_id
+LEFT JOIN accepted a ON a.message_id = e.message_id""",
     "lines": """
 SELECT event_id AS seq,
        CASE WHEN k <> 61 THEN event_type END AS key,
@@ -241,7 +243,7 @@ _NEEDS = {
     "checked": ["messages"],
     "accepted": ["checked"],
     "envelopes": ["messages"],
-    "received": ["envelopes", "checked"],
+    "received": ["envelopes", "accepted"],
     "lines": ["numbered"],
     "silver_checks": ["silver"],
 }
@@ -663,18 +665,22 @@ GROUP BY question_id HAVING count(*) > 1""",
     "schema_paths": _with("messages", _SCHEMA_PATHS),
     "stream_ingest": _with(
         "received",
-        f"""SELECT 'json' AS store, message_id, title, CAST(NULL AS VARCHAR) AS hour_key
+        f"""SELECT 'json' AS store, message_id, post_text AS content, 'json' AS place
 FROM received WHERE failed_stage IS NULL
 UNION ALL SELECT 'parquet', message_id, title, {_HOUR.format('%Y-%m-%d-%H')}
 FROM received WHERE failed_stage IS NULL
-UNION ALL SELECT 'table', message_id, title, NULL
-FROM received WHERE failed_stage IS NULL""",
+UNION ALL SELECT 'table', message_id, title, 'table'
+FROM received WHERE failed_stage IS NULL
+UNION ALL SELECT 'dead_letters',
+    CASE WHEN k NOT IN (60, 61, 62) THEN message_id END,
+    envelope, failed_stage || '/' || failure
+FROM received WHERE failed_stage IS NOT NULL""",
     ),
     "stream_dead_letters": _with(
-        "received",
-        """SELECT CASE WHEN k NOT IN (60, 61, 62) THEN message_id END AS message_id,
-    envelope AS raw, error_reason, failed_stage, 'post-consumer' AS source
-FROM received WHERE failed_stage IS NOT NULL""",
+        "checked",
+        """SELECT value AS raw, error_reason, 'publish' AS failed_stage,
+    'post-producer' AS source
+FROM checked WHERE error_reason IS NOT NULL""",
     ),
     "stream_routing": _with(
         "checked",

@@ -545,48 +545,50 @@ def schema_merged(spark: SparkSession, root: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "ingest")
     files.write_topic(event_posts.envelopes(spark, root), f"{path}/topic")
-    lines = topics.stream_topic(spark, f"{path}/topic", max_files=4)
+    lines = topics.stream_topic(spark, f"{path}/topic")
     ingest.start_ingest(lines, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     archive = files.read_json_archive(spark, f"{path}/out/json")
     hours = files.read_hour_partitions(spark, f"{path}/out/parquet", STORED)
     table = files.read_appended(spark, f"{path}/out/table", STORED)
-    hour = F.concat_ws("-", "year", "month", "day", "hour")
-    nothing = F.lit(None).cast("string")
+    letters = spark.read.parquet(f"{path}/out/dead_letters")
 
-    def rows(store: str, df: DataFrame, title: Column, hour_key: Column) -> DataFrame:
+    def rows(store: str, df: DataFrame, content: str, place: Column) -> DataFrame:
         return df.select(
             F.lit(store).alias("store"),
             "message_id",
-            title.alias("title"),
-            hour_key.alias("hour_key"),
+            F.col(content).alias("content"),
+            place.alias("place"),
         )
 
+    hour = F.concat_ws("-", "year", "month", "day", "hour")
+    cause = F.concat_ws("/", "failed_stage", "error_reason")
     return (
-        rows("json", archive, F.get_json_object("json", "$.title"), nothing)
-        .unionByName(rows("parquet", hours, F.col("title"), hour))
-        .unionByName(rows("table", table, F.col("title"), nothing))
+        rows("json", archive, "json", F.lit("json"))
+        .unionByName(rows("parquet", hours, "title", hour))
+        .unionByName(rows("table", table, "title", F.lit("table")))
+        .unionByName(rows("dead_letters", letters, "raw", cause))
     )
 
 
+def _routed_stream(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "routing")
+    # The topic's lines carry no message id, so the rows have none either.
+    files.write_topic(event_posts.messages(spark, root), f"{path}/topic")
+    lines = topics.stream_topic(spark, f"{path}/topic", max_files=4)
+    lines = lines.withColumn("message_id", F.lit(None).cast("string"))
+    ingest.start_routing(lines, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
 @query
 def stream_dead_letters(spark: SparkSession, root: str) -> DataFrame:
-    path = scratch_path(spark, "ingest")
-    files.write_topic(event_posts.envelopes(spark, root), f"{path}/topic")
-    lines = topics.stream_topic(spark, f"{path}/topic", max_files=4)
-    ingest.start_ingest(lines, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/out/dead_letters").select(
-        "message_id", "raw", "error_reason", "failed_stage", "source"
-    )
+    letters = ingest.routed_letters(_routed_stream(spark, root))
+    return letters.select("raw", "error_reason", "failed_stage", "source")
 
 
 @query
 def stream_routing(spark: SparkSession, root: str) -> DataFrame:
-    path = scratch_path(spark, "routing")
-    files.write_topic(event_posts.messages(spark, root), f"{path}/topic")
-    lines = topics.stream_topic(spark, f"{path}/topic", max_files=4)
-    query = ingest.start_routing(lines, f"{path}/out", f"{path}/checkpoint")
-    query.awaitTermination()
-    written = spark.read.parquet(f"{path}/out")
+    written = _routed_stream(spark, root)
     return written.groupBy("route", "reason").agg(F.count("*").alias("messages"))
 
 
