@@ -20,19 +20,37 @@ from postloom.schema import OWNER, POST
 ABSENT_OWNERS = ["null", "false", "0", '""', "[]", "{}"]
 
 _DOC = "_doc"
+_SHAPES = "_shapes"
 
 
 def _at(path: str, dtype: str) -> Column:
-    return F.try_variant_get(F.col(_DOC), path, dtype)
+    return F.try_variant_get(F.col(_DOC), f"$.{path}", dtype)
+
+
+def _leaves() -> dict[str, T.DataType]:
+    """Type of every field by path, the owner's own fields included."""
+    paths = {field.name: field.dataType for field in POST.fields}
+    return paths | {f"owner.{field.name}": field.dataType for field in OWNER.fields}
+
+
+def _all_shapes() -> Column:
+    """Type name of every field; null where the document lacks it."""
+    return F.struct(
+        *[
+            F.schema_of_variant(_at(path, "variant")).alias(path.replace(".", "_"))
+            for path in _leaves()
+        ]
+    )
 
 
 def _shape(path: str) -> Column:
-    return F.schema_of_variant(_at(path, "variant"))
+    return F.col(_SHAPES)[path.replace(".", "_")]
 
 
-def _owner_absent() -> Column:
-    owner = _at("$.owner", "variant")
-    return owner.isNull() | F.to_json(owner).isin(ABSENT_OWNERS)
+def _has_owner() -> Column:
+    """True for an owner with at least one key."""
+    shape = _shape("owner")
+    return shape.startswith("OBJECT<") & (shape != "OBJECT<>")
 
 
 def _misfit(path: str, dtype: T.DataType) -> Column:
@@ -46,28 +64,27 @@ def _misfit(path: str, dtype: T.DataType) -> Column:
         wrong = shape != "BOOLEAN"
     elif isinstance(dtype, T.StringType):
         wrong = shape != "STRING"
-    else:
-        # An array of strings: a null element does not show in the shape.
+    elif isinstance(dtype, T.ArrayType):
+        # A null element does not show in the shape of an array of strings.
         wrong = ~shape.isin("ARRAY<STRING>", "ARRAY<VOID>") | F.exists(
-            _at(path, "array<string>"), lambda tag: tag.isNull()
+            _at(path, "array<string>"), lambda item: item.isNull()
+        )
+    else:
+        wrong = ~shape.startswith("OBJECT<") & ~F.to_json(_at(path, "variant")).isin(
+            ABSENT_OWNERS
         )
     return shape.isNotNull() & (shape != "VOID") & wrong
 
 
 def _bad_fields() -> Column:
-    faults = [
-        F.when(_misfit(f"$.{field.name}", field.dataType), field.name)
-        for field in POST.fields
-        if field.name != "owner"
-    ]
-    faults.append(
-        F.when(~_owner_absent() & ~_shape("$.owner").startswith("OBJECT<"), "owner")
+    return F.array_compact(
+        F.array(
+            *[
+                F.when(_misfit(path, dtype), path)
+                for path, dtype in _leaves().items()
+            ]
+        )
     )
-    faults += [
-        F.when(_misfit(f"$.owner.{field.name}", field.dataType), f"owner.{field.name}")
-        for field in OWNER.fields
-    ]
-    return F.array_compact(F.array(*faults))
 
 
 def _projected() -> Column:
@@ -76,17 +93,17 @@ def _projected() -> Column:
     def leaf(path: str, field: T.StructField) -> Column:
         return _at(path, field.dataType.simpleString()).alias(field.name)
 
-    owner = F.struct(*[leaf(f"$.owner.{f.name}", f) for f in OWNER.fields])
+    owner = F.struct(*[leaf(f"owner.{f.name}", f) for f in OWNER.fields])
     fields = []
     for field in POST.fields:
         if field.name == "question_id":
             fields.append(
-                F.coalesce(_at("$.question_id", "bigint"), F.lit(0)).alias(field.name)
+                F.coalesce(_at("question_id", "bigint"), F.lit(0)).alias(field.name)
             )
         elif field.name == "owner":
-            fields.append(F.when(~_owner_absent(), owner).alias(field.name))
+            fields.append(F.when(_has_owner(), owner).alias(field.name))
         else:
-            fields.append(leaf(f"$.{field.name}", field))
+            fields.append(leaf(field.name, field))
     return F.struct(*fields)
 
 
@@ -102,20 +119,21 @@ def check_contract(
     if missing_id not in ("zero", "reject"):
         raise ValueError("missing_id is 'zero' or 'reject'")
     parsed = pin(df, _DOC, F.try_parse_json(F.col(value)))
-    id_shape = _shape("$.question_id")
+    shaped = pin(parsed, _SHAPES, _all_shapes())
+    checked = pin(shaped, "bad_fields", _bad_fields())
+    id_shape = _shape("question_id")
     reason = (
         F.when(F.col(_DOC).isNull(), "bad_json")
-        .when(~F.schema_of_variant(_DOC).startswith("OBJECT<"), "not_object")
+        .when(~F.col(value).rlike(r"^\s*\{"), "not_object")
         .when(id_shape == "VOID", "null_id")
     )
     if missing_id == "reject":
         reason = reason.when(id_shape.isNull(), "missing_id")
-    checked = pin(parsed, "bad_fields", _bad_fields())
     return checked.select(
         "*",
         reason.when(F.size("bad_fields") > 0, "bad_type").alias("reason"),
         _projected().alias("post"),
-    ).drop(_DOC)
+    ).drop(_DOC, _SHAPES)
 
 
 def valid_posts(checked: DataFrame) -> DataFrame:

@@ -72,44 +72,52 @@ def topic_partition(key: Column, partitions: int = 3) -> Column:
     return (F.conv(digest, 16, 10).cast("bigint") % partitions).cast("int")
 
 
-def position_within(
+def positions_within(
     df: DataFrame,
-    keys: list[str],
     order: str,
-    name: str,
+    positions: dict[str, list[str]],
     span: int = 1_000_000,
 ) -> DataFrame:
-    """Exact 0-based position of each row within its key, in ``order``.
+    """Exact 0-based positions of each row within its keys, in ``order``.
 
-    A window over the key alone would sort a hot key in one task. Rows are
-    instead numbered within blocks of ``span`` consecutive order values, and
-    each block starts where the key's earlier blocks end. Only block counts,
+    ``positions`` maps a new column to the keys it counts within. A window
+    over the keys alone would sort a hot key in one task. Rows are instead
+    numbered within blocks of ``span`` consecutive order values, and each
+    block starts where the earlier blocks of its keys end. Only block counts,
     added up before the shuffle, are ever brought together per key. ``order``
     is a whole number that is unique within a key, such as an arrival number.
+
+    Name the position with the fewest keys first: a later one whose keys
+    include them is then numbered without another shuffle.
     """
-    block = F.col(order) - F.pmod(order, F.lit(span))
-    blocks = df.groupBy(*keys, block.alias("_block")).agg(F.count("*").alias("_rows"))
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = blocks.select(
-        *[F.col(key).alias(f"_of_{key}") for key in keys],
-        F.col("_block").alias("_at"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
-    )
-    local = df.withColumn("_block", block).withColumn(
-        name,
-        F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(order)) - 1,
-    )
-    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
-    joined = local.join(
-        starts, reduce(Column.__and__, same, F.col("_block") == F.col("_at")), "inner"
-    )
-    return joined.withColumn(name, F.col(name) + F.col("_start")).drop(
-        "_block", "_at", "_start", *[f"_of_{key}" for key in keys]
-    )
+    blocked = df.withColumn("_block", F.col(order) - F.pmod(order, F.lit(span)))
+    numbered = blocked
+    for name, keys in positions.items():
+        within = Window.partitionBy(*keys, "_block").orderBy(order)
+        numbered = numbered.withColumn(name, F.row_number().over(within) - 1)
+    for name, keys in positions.items():
+        earlier = (
+            Window.partitionBy(*keys)
+            .orderBy("_block")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        starts = (
+            blocked.groupBy(*keys, "_block")
+            .agg(F.count("*").alias("_rows"))
+            .select(
+                *[F.col(key).alias(f"_of_{key}") for key in keys],
+                F.col("_block").alias("_at"),
+                F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
+            )
+        )
+        same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+        matching = reduce(Column.__and__, same, F.col("_block") == F.col("_at"))
+        numbered = (
+            numbered.join(starts, matching, "inner")
+            .withColumn(name, F.col(name) + F.col("_start"))
+            .drop("_at", "_start", *[f"_of_{key}" for key in keys])
+        )
+    return numbered.drop("_block")
 
 
 def keyed_order(
@@ -117,5 +125,5 @@ def keyed_order(
 ) -> DataFrame:
     """Topic partition, offset within it, and position within the key."""
     placed = messages.withColumn("partition", topic_partition(F.col("key"), partitions))
-    offsets = position_within(placed, ["partition"], "seq", "offset", span)
-    return position_within(offsets, ["partition", "key"], "seq", "key_position", span)
+    wanted = {"offset": ["partition"], "key_position": ["partition", "key"]}
+    return positions_within(placed, "seq", wanted, span)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions import json_quoted, post_json
+from postloom.operators.pinning import pin
 from postloom.sources.tables import base_table
 
 BLANK_TITLE = " \t "
@@ -19,13 +20,15 @@ BLANK_LINE = " \t"
 NOT_BASE64 = "!not base64!"
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def _events(spark: SparkSession, root: str) -> DataFrame:
+    """The ``events`` table with the number ``k`` of its ``props``."""
+    events = base_table(spark, root, "events")
+    return pin(events, "k", F.get_json_object("props", "$.k").cast("int"))
 
 
 def _unless(k: int, value: Column) -> Column:
     """The value, missing where ``k`` has the given number."""
-    return F.when(_k() != k, value)
+    return F.when(F.col("k") != k, value)
 
 
 def _owner() -> Column:
@@ -43,20 +46,20 @@ def _owner() -> Column:
 
 def _question_id() -> Column:
     """From k = 90 on, a capture of one of the ten questions before it."""
-    event, back = F.col("event_id"), _k() - 89
-    return F.when((_k() >= 90) & (event >= back), event - back).otherwise(event)
+    event, back = F.col("event_id"), F.col("k") - 89
+    return F.when((F.col("k") >= 90) & (event >= back), event - back).otherwise(event)
 
 
 def captures(spark: SparkSession, root: str) -> DataFrame:
     """Posts without titles: the ``events`` table alone."""
-    events = base_table(spark, root, "events")
+    events = _events(spark, root)
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     return events.select(
         F.col("event_id").alias("seq"),
         F.unix_date(F.col("ts").cast("date")).cast("bigint").alias("batch_id"),
         F.concat(F.lit("m"), "event_id").alias("message_id"),
         F.col("ts").cast("timestamp").alias("publish_ts"),
-        _k().alias("k"),
+        "k",
         _question_id().alias("question_id"),
         F.concat(
             "event_type", F.lit(" «"), "props", F.lit("» déjà-vu nº "), "event_id"
@@ -68,7 +71,7 @@ def captures(spark: SparkSession, root: str) -> DataFrame:
         (F.col("event_type") == "purchase").alias("is_answered"),
         _unless(53, seconds).alias("creation_date"),
         (seconds + F.floor(F.col("value") * 1000)).alias("last_activity_date"),
-        F.array("event_type", F.concat(F.lit("k"), _k())).alias("tags"),
+        F.array("event_type", F.concat(F.lit("k"), F.col("k"))).alias("tags"),
         _unless(31, F.lit("CC BY-SA 4.0")).alias("content_license"),
         _unless(29, _owner()).alias("owner"),
     )
@@ -131,12 +134,12 @@ def messages(spark: SparkSession, root: str) -> DataFrame:
         .when(F.col("k") == 12, "[1, 2]")
         .otherwise(record)
     )
-    return source.select(
+    return pin(source, "value", value).select(
         "seq",
         "message_id",
         "publish_ts",
         "k",
-        value.alias("value"),
+        "value",
         F.create_map(F.lit("key"), F.col("tags")[0]).alias("attributes"),
     )
 
@@ -172,9 +175,9 @@ def envelopes(spark: SparkSession, root: str) -> DataFrame:
 
 def keyed_lines(spark: SparkSession, root: str) -> DataFrame:
     """``key:value`` lines, one per event; a few lack the separator."""
-    events = base_table(spark, root, "events")
+    events = _events(spark, root)
     text = F.concat(F.lit("Message "), "event_id", F.lit(" from "), "props")
-    line = F.when(_k() == 61, "no separator here").otherwise(
+    line = F.when(F.col("k") == 61, "no separator here").otherwise(
         F.concat("event_type", F.lit(":"), text)
     )
     return events.select(F.col("event_id").alias("seq"), line.alias("line"))
