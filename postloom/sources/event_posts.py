@@ -78,8 +78,12 @@ def captures(spark: SparkSession, root: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, root: str) -> DataFrame:
-    """Posts with titles: one document at most for each capture."""
-    texts = base_table(spark, root, "documents").select("doc_id", "text")
+    """Posts with titles: one document at most for each capture.
+
+    The size estimate of a text column is a fixed few bytes a row, far below
+    the truth, so the join is told to merge and never broadcasts the texts.
+    """
+    texts = base_table(spark, root, "documents").select("doc_id", "text").hint("merge")
     joined = captures(spark, root).join(texts, F.col("seq") == F.col("doc_id"), "left")
     title = (
         F.when(F.col("k") == 37, None)

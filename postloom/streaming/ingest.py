@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from postloom.operators.contract import check_contract, dead_letters, routed, valid_posts
 from postloom.plans.landing import land, receive
-from postloom.sinks.files import batch_folder, write_routed
+from postloom.sinks.files import write_routed
 
 
 def run_batches(
@@ -98,43 +98,53 @@ def drop_redelivered(
     )
 
 
+def _known_ids(
+    spark: SparkSession, root: str, days: list[str], batch_id: int
+) -> DataFrame | None:
+    """Ids that earlier batches stored under the given days, if any.
+
+    Only the folders of these days are listed, so the cost of a batch does
+    not grow with the age of the table.
+    """
+    schema = "message_id string, publish_day string, batch bigint"
+    folders = f"{root}/publish_day={{{','.join(days)}}}"
+    try:
+        rows = spark.read.option("basePath", root).schema(schema).parquet(folders)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    # A batch that is run again must not meet its own first attempt.
+    return rows.filter(F.col("batch") < batch_id).select("message_id")
+
+
 def start_first_deliveries(
     messages: DataFrame, root: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
     """Append messages that ``root`` does not hold yet, however late they are.
 
-    The table is partitioned by publish day. As a redelivery keeps its publish
-    time, a batch is compared with the ids of its own days only, and no
-    streaming state is kept.
+    The table is partitioned by publish day and batch. As a redelivery keeps
+    its publish time, a batch is compared with the ids of its own days only,
+    and no streaming state is kept. A batch that is run again replaces the
+    partitions of its first attempt.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(["message_id"]).withColumn(
-            "publish_day", F.to_date("publish_ts")
-        )
+        # The format carries "none" for messages without a publish time.
+        day = F.coalesce(F.date_format("publish_ts", "yyyy-MM-dd"), F.lit("none"))
+        fresh = batch.dropDuplicates(["message_id"]).withColumn("publish_day", day)
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            new = fresh
-            if batch_id > 0:
-                # Two dates, to read the table's matching days and no others.
-                first, last = fresh.agg(F.min("publish_day"), F.max("publish_day")).first()
-                day = F.col("publish_day")
-                stored_schema = T.StructType(
-                    fresh.schema.fields + [T.StructField("batch", T.LongType())]
-                )
-                known = (
-                    batch.sparkSession.read.schema(stored_schema)
-                    .parquet(root)
-                    # A batch run again must not meet its own first attempt.
-                    .filter(F.col("batch") < batch_id)
-                    .filter(day.between(F.lit(first), F.lit(last)) | day.isNull())
-                    .select("message_id")
-                )
-                new = fresh.join(known, "message_id", "left_anti")
+            # At most one row per calendar day comes to the driver.
+            days = [row[0] for row in fresh.select("publish_day").distinct().collect()]
+            known = _known_ids(batch.sparkSession, root, days, batch_id) if days else None
+            new = fresh if known is None else fresh.join(known, "message_id", "left_anti")
             (
-                new.write.mode("overwrite")
-                .partitionBy("publish_day")
-                .parquet(batch_folder(root, batch_id))
+                new.withColumn("batch", F.lit(batch_id).cast("bigint"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("publish_day", "batch")
+                .parquet(root)
             )
         finally:
             fresh.unpersist()

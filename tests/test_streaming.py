@@ -103,7 +103,10 @@ SCHEMA = "message_id string, publish_ts timestamp, value string"
 
 def add_messages(spark, path, *numbers):
     start = datetime.datetime(2024, 1, 1)
-    rows = [(f"m{n}", start + datetime.timedelta(days=n), f"v{n}") for n in numbers]
+    rows = [
+        (f"m{n}", None if n is None else start + datetime.timedelta(days=n), f"v{n}")
+        for n in numbers
+    ]
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -145,3 +148,7 @@ def test_first_deliveries_however_late(spark, scratch):
     add_messages(spark, f"{scratch}/topic", 200, 1, 0, 300, 300)
     assert run() == ["m0", "m1", "m200", "m300"]
     assert run() == ["m0", "m1", "m200", "m300"]
+    add_messages(spark, f"{scratch}/topic", None, None, 1)
+    assert run() == ["m0", "m1", "m200", "m300", "mNone"]
+    add_messages(spark, f"{scratch}/topic", None)
+    assert run() == ["m0", "m1", "m200", "m300", "mNone"]
