@@ -419,6 +419,46 @@ _SCHEMA_PATHS = (
     + "\n) GROUP BY path, type HAVING sum(records) > 0"
 )
 
+# Spark's type text of a message; keys come in name order.
+_OWNER_SHAPE = """'OBJECT<account_id: BIGINT, display_name: '
+    || CASE WHEN k = 71 THEN 'VOID' ELSE 'STRING' END
+    || ', link: STRING, profile_image: VOID, reputation: BIGINT, user_id: BIGINT, '
+    || 'user_type: STRING>'"""
+
+_RECORD_SHAPES = f"""
+SELECT CASE WHEN k = 12 THEN 'ARRAY<BIGINT>' ELSE
+    'OBJECT<accepted_answer_id: BIGINT, answer_count: '
+    || CASE WHEN k = 17 THEN 'VOID' ELSE 'BIGINT' END || ', content_license: '
+    || CASE WHEN k = 31 THEN 'VOID' ELSE 'STRING' END || ', creation_date: '
+    || CASE WHEN k = 53 THEN 'VOID' ELSE 'BIGINT' END || ', is_answered: '
+    || CASE WHEN k = 14 THEN 'STRING' ELSE 'BOOLEAN' END
+    || ', last_activity_date: BIGINT, link: STRING, owner: '
+    || CASE WHEN k = 9 THEN 'OBJECT<>' WHEN k = 13 THEN 'STRING'
+            WHEN k = 29 THEN 'VOID' ELSE {_OWNER_SHAPE} END
+    || CASE k WHEN 2 THEN '' WHEN 3 THEN ', question_id: VOID'
+              WHEN 15 THEN ', question_id: STRING'
+              WHEN 19 THEN ', question_id: DECIMAL(20,0)'
+              ELSE ', question_id: BIGINT' END || ', score: '
+    || CASE k WHEN 23 THEN 'VOID' WHEN 5 THEN 'STRING' WHEN 10 THEN 'DECIMAL(2,1)'
+              ELSE 'BIGINT' END || ', tags: '
+    || CASE k WHEN 6 THEN 'ARRAY<BIGINT>' WHEN 18 THEN 'ARRAY<VOID>'
+              ELSE 'ARRAY<STRING>' END || ', title: '
+    || CASE WHEN k = 8 THEN 'BIGINT' WHEN title IS NULL THEN 'VOID'
+            ELSE 'STRING' END || ', view_count: '
+    || CASE WHEN k = 16 THEN 'BOOLEAN' ELSE 'BIGINT' END || '>' END AS shape,
+    count(*) AS records
+FROM messages WHERE k NOT IN (1, 11) GROUP BY 1"""
+
+_MERGED_SCHEMA = """
+SELECT 'OBJECT<answer_count: BIGINT, content_license: STRING, creation_date: BIGINT, '
+    || 'is_answered: BOOLEAN, last_activity_date: BIGINT, link: STRING, '
+    || 'owner: OBJECT<account_id: BIGINT, display_name: STRING, link: STRING, '
+    || 'profile_image: VOID, reputation: BIGINT, user_id: BIGINT, '
+    || 'user_type: STRING>, question_id: BIGINT, score: BIGINT, '
+    || 'tags: ARRAY<STRING>, title: STRING, view_count: BIGINT>' AS merged_schema,
+    count(*) AS records
+FROM accepted"""
+
 ORACLE: dict[str, str] = {
     "bronze_posts": _with(
         "posts", f"SELECT seq, batch_id, message_id, {_POST_COLUMNS} FROM posts"
@@ -663,6 +703,8 @@ GROUP BY question_id HAVING count(*) > 1""",
     "key_presence": _with("messages", _KEY_PRESENCE),
     "field_types": _with("messages", _FIELD_TYPES),
     "schema_paths": _with("messages", _SCHEMA_PATHS),
+    "record_shapes": _with("messages", _RECORD_SHAPES),
+    "schema_merged": _with("accepted", _MERGED_SCHEMA),
     "stream_ingest": _with(
         "received",
         f"""SELECT 'json' AS store, message_id, post_text AS content, 'json' AS place

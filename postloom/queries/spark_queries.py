@@ -538,7 +538,9 @@ def record_shapes(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def schema_merged(spark: SparkSession, root: str) -> DataFrame:
-    return profiling.schema_merged(_lines(spark, root))
+    # Of published messages: raw ones hold lists too, which leaves no schema.
+    published = contract.publishable(_checked(spark, root))
+    return profiling.schema_merged(published)
 
 
 # --- streams --------------------------------------------------------------
