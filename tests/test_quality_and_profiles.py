@@ -64,7 +64,8 @@ def lines(spark):
 
 
 def test_key_presence(spark):
-    found = {r["key"]: (r["records"], r["share"]) for r in profiling.key_presence(lines(spark)).collect()}
+    rows = profiling.key_presence(lines(spark)).collect()
+    found = {r["key"]: (r["records"], r["share"]) for r in rows}
     assert found == {"a": (2, 1.0), "b": (1, 0.5)}
 
 

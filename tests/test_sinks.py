@@ -103,7 +103,8 @@ def test_routed_write_reads_one_route(spark, scratch):
     files.write_routed(contract.routed(contract.check_contract(rows)), scratch)
     dead = spark.read.parquet(scratch).filter("route = 'dead'")
     assert [r["message_id"] for r in dead.collect()] == ["m2"]
-    assert "PartitionFilters: [isnotnull(route" in dead._jdf.queryExecution().executedPlan().toString()
+    plan = dead._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(route" in plan
 
 
 def test_kafka_rows(spark):

@@ -74,7 +74,8 @@ def test_batch_that_fails_is_run_again_once_only(spark, scratch):
     from postloom.plans.landing import land, receive, stored
 
     good = {"question_id": 1, "creation_date": 0}
-    add_lines(spark, f"{scratch}/topic", [envelope(1, good), envelope(2, {**good, "question_id": 2})])
+    second = {**good, "question_id": 2}
+    add_lines(spark, f"{scratch}/topic", [envelope(1, good), envelope(2, second)])
     batch = topics.read_topic(spark, f"{scratch}/topic")
     files.write_json_archive(stored(receive(batch)), f"{scratch}/out/json", 0)
     land(receive(batch), f"{scratch}/out", 0)
