@@ -259,11 +259,11 @@ def judged(docs: DataFrame) -> DataFrame:
     languages and sources are groups like others; repeated rows are judged
     alike; of an empty table nothing is returned.
     """
-    facts = stored(measured(docs), "mcd-facts").withColumn(
-        "base_failed",
-        (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
-    )
-    names = [_group(2, "lang", "source"), _group(1, "lang"), _group(0)]
+    base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    groups = [_group(2, "lang", "source"), _group(1, "lang"), _group(0)]
+    names = [f"name{i}" for i in range(len(groups))]
+    facts = measured(docs).withColumns(dict(zip(names, groups)))
+    facts = stored(facts.withColumn("base_failed", base_failed), "mcd-facts")
     xs = [f"x{i}" for i in range(DIMENSIONS)]
     good = facts.where(~F.col("base_failed")).select(
         F.explode(F.array(*names)).alias("grouped"), *xs
@@ -271,7 +271,7 @@ def judged(docs: DataFrame) -> DataFrame:
     sizes = good.groupBy("grouped").agg(F.count("*").alias("n"))
     enough = stored(sizes.where(F.col("n") >= LEAST_TEXTS).select("grouped"), "mcd-groups")
     model = estimates(good.join(enough, "grouped"))
-    result = facts.withColumns({f"name{i}": name for i, name in enumerate(names)})
+    result = facts
     for i in range(len(names)):
         side = model.select(
             F.col("grouped").alias(f"name{i}"),

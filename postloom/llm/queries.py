@@ -6,17 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postloom.llm import quality_mcd
+from postloom.llm import bootstrapped_pii, chosen_path, quality_mcd, sparse_suffix
 from postloom.llm.storage import share_package, table
 
 
+def op4_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return bootstrapped_pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
-    return quality_mcd.judged(table(spark, sf_dir, "documents"))
+    return quality_mcd.judged(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of every document, by four-word shingles."""
+    return chosen_path.near_copies(table(spark, sf_dir, "documents"), words=4, similarity=0.8)
+
+
+def op10_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share."""
+    return sparse_suffix.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 _BUILDERS = [
+    op4_bootstrapped_pii,
     op5_quality_mcd,
+    op9_chosen_path,
+    op10_sparse_suffix,
 ]
 
 
