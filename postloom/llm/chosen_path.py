@@ -29,8 +29,9 @@ from postloom.llm.words import _power, grams, hashes, mix, slices
 
 TOKENS = 64  # minwise tokens of a set
 TREES = 16
-LEVELS = 6  # between two confirmations
-LEAF = 16  # largest node that is compared exhaustively
+LEVELS = 4  # between two confirmations
+LEAF = 32  # largest node that is small
+WORK = 1 << 20  # most comparisons in one node
 
 _FACTORS = np.random.default_rng(7_031).integers(0, 1 << 63, TOKENS, np.uint64) * np.uint64(
     2
@@ -148,19 +149,26 @@ def _branched(opened: DataFrame, level: int) -> DataFrame:
     return opened.select("id", "tokens", "trees").mapInArrow(branch, "id long, tree int, node long")
 
 
-def _near(leaves: DataFrame, similarity: float) -> DataFrame:
-    """Pairs a < b of small nodes whose sketches agree on about ``similarity`` or more."""
+def _near(nodes: DataFrame, similarity: float, first: bool) -> DataFrame:
+    """Pairs a < b of a node whose sketches agree on about ``similarity`` or more.
+
+    ``nodes`` has node, id, n, sketch and component. ``first`` gives each text only
+    its first partner. Without it, all pairs of different components are compared;
+    the node's largest component is not compared with itself.
+    """
     spread = 4 * (TOKENS * similarity * (1 - similarity)) ** 0.5
     least = int(TOKENS * similarity - spread)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             rows = pa.Table.from_batches([batch])
             if rest is not None:
                 rows = pa.concat_tables([rest, rows])
-            nodes = rows.column("node").to_numpy()
-            last = int(np.searchsorted(nodes, nodes[-1])) if len(nodes) else 0
+            node = rows.column("node").to_numpy()
+            last = int(np.searchsorted(node, node[-1]))
             yield from pairs_of(rows.slice(0, last))
             rest = rows.slice(last)
         if rest is not None:
@@ -169,26 +177,40 @@ def _near(leaves: DataFrame, similarity: float) -> DataFrame:
     def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         if rows.num_rows < 2:
             return
-        nodes, ids = rows.column("node").to_numpy(), rows.column("id").to_numpy()
-        sizes = rows.column("n").to_numpy()
+        node, ids, sizes, component = (
+            rows.column(c).to_numpy() for c in ("node", "id", "n", "component")
+        )
         sketch = _table(rows.column("sketch").combine_chunks(), np.uint8, TOKENS)
-        for step in range(1, LEAF):
-            left = np.flatnonzero(nodes[:-step] == nodes[step:]) if len(nodes) > step else []
-            if not len(left):
-                break
-            right = left + step
-            small = np.minimum(sizes[left], sizes[right])
-            fit = small >= similarity * np.maximum(sizes[left], sizes[right]) - 1e-9
-            left, right = left[fit], right[fit]
-            close = (sketch[left] == sketch[right]).sum(axis=1) >= least
-            a, b = ids[left[close]], ids[right[close]]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        lefts, rights = [], []
+        for low, high in zip(starts, [*starts[1:], len(node)]):
+            own = component[low:high]
+            names, counts = np.unique(own, return_counts=True)
+            if len(names) == 1:
+                continue
+            seen = np.arange(low, high)
+            outside = seen if first else seen[own != names[counts.argmax()]]
+            for u in outside:
+                others = seen[:u - low] if first else seen
+                small = np.minimum(sizes[u], sizes[others])
+                fit = small >= similarity * np.maximum(sizes[u], sizes[others]) - 1e-9
+                others = others[fit & (component[others] != component[u])]
+                others = others[(sketch[others] == sketch[u]).sum(axis=1) >= least]
+                others = others[:1] if first else others
+                lefts.append(ids[others])
+                rights.append(np.full(len(others), ids[u]))
+        if lefts:
+            a, b = np.concatenate(lefts), np.concatenate(rights)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
+            )
 
     return (
-        leaves.repartition(parallelism(leaves.sparkSession), "node")
+        nodes.select("node", "id", "n", "sketch", "component")
+        .repartition(parallelism(nodes.sparkSession), "node")
         .sortWithinPartitions("node", "id")
         .mapInArrow(compare, "a long, b long")
+        .distinct()
     )
 
 
@@ -215,95 +237,100 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The pairs that are not yet in one component."""
-    if labels is None:
-        return pairs
-    for side in ("a", "b"):
-        label = labels.select(F.col("id").alias(side), F.col("component").alias(f"of_{side}"))
-        pairs = pairs.join(label, side, "left")
-    inside = F.col("of_a").eqNullSafe(F.col("of_b")) & F.col("of_a").isNotNull()
-    return pairs.where(~inside).select("a", "b")
-
-
 def _class_links(docs: DataFrame, classes: DataFrame, words: int, similarity: float) -> DataFrame:
     """Components of classes: id, component. ``classes`` has id, n, tokens, sketch."""
     percent = round(100 * similarity)
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = 0
-            for sets in shingle_sets(batch.column("text"), words):
-                ids = batch.column("id").slice(done, len(sets))
-                values = pa.array([s.tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids, values], ["id", "hashes"])
-                done += len(sets)
+    def confirm(pairs: DataFrame) -> DataFrame:
+        return stored(_confirmed(pairs, sets, percent), "path-links")
 
-    trees = F.array(*(F.lit(t) for t in range(TREES)))
-    opened = classes.withColumn("trees", trees)
-    links, labels, sets, level = None, None, None, 0
+    opened = classes.withColumn("trees", F.array(*(F.lit(t) for t in range(TREES))))
+    features = classes.select("id", "n", "sketch")
+    sets = links = labels = None
+    level = 0
     while True:
-        leaves = None
-        for level in range(level, min(level + LEVELS, TOKENS)):
-            keyed = stored(_branched(opened, level), "path-nodes")
-            nodes = stored(
-                keyed.groupBy("node")
-                .agg(F.count("*").alias("size"), F.min("id").alias("pivot"))
-                .where(F.col("size") > 1),
-                "path-sizes",
+        last = min(level + LEVELS, TOKENS) - 1
+        nodes, large, level = _descended(classes, opened, level, last)
+        if labels is None:
+            one = nodes.where(F.col("size") <= LEAF).join(features, "id")
+            near = _near(one.withColumn("component", F.col("id")), similarity, first=True)
+            stars = large.where(F.col("id") != F.col("pivot")).select(
+                F.col("pivot").alias("a"), F.col("id").alias("b")
             )
-            shared = stored(keyed.join(nodes, "node"), "path-shared")
-            small = shared.where(F.col("size") <= LEAF).select("id", "node")
-            leaves = small if leaves is None else leaves.union(small)
-            large = shared.where(F.col("size") > LEAF)
-            if large.isEmpty():
-                break
-            open_trees = large.groupBy("id").agg(F.collect_list("tree").alias("trees"))
-            opened = classes.join(open_trees, "id")
-        stars = large.where(F.col("id") != F.col("pivot")).select(
-            F.col("pivot").alias("a"), F.col("id").alias("b")
-        )
-        near = _near(leaves.join(classes.select("id", "n", "sketch"), "id"), similarity)
-        remaining = stored(_apart(near.union(stars).distinct(), labels), "path-pairs")
-        if sets is None:
-            ids = remaining.select("a").union(remaining.select("b")).distinct()
-            source = docs.select(
-                F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
-            )
-            sets = stored(
-                source.join(ids.withColumnRenamed("a", "id"), "id", "left_semi").mapInArrow(
-                    to_sets, "id long, hashes binary"
-                ),
-                "path-sets",
-            )
-        for turn in range(3):
-            # First one partner for each text; what that leaves apart is then seen whole.
-            chosen = remaining
-            if turn < 2:
-                chosen = remaining.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-            found = stored(_confirmed(chosen, sets, percent), "path-links")
-            links = found if links is None else links.union(found)
+            pairs = stored(near.union(stars).distinct(), "path-pairs")
+            # All texts that any later pair can hold are in these nodes.
+            sets = stored(_sets(docs, nodes.select("id").distinct(), words), "path-sets")
+            links = confirm(pairs)
             labels = stored(components(links), "path-labels")
-            if turn < 2:
-                rest = remaining.join(chosen, ["a", "b"], "left_anti")
-                remaining = stored(_apart(rest, labels), "path-pairs")
-                if remaining.isEmpty():
-                    break
-        own = large.join(labels, "id", "left").withColumn(
+        named = nodes.join(labels, "id", "left").withColumn(
             "component", F.coalesce("component", "id")
         )
-        mixed = (
-            own.groupBy("node")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where(F.col("low") != F.col("high"))
-            .select("node")
+        named = stored(named, "path-named")
+        apart = (
+            named.groupBy("node", "component")
+            .agg(F.count("*").alias("count"))
+            .groupBy("node")
+            .agg(F.sum("count").alias("all"), F.max("count").alias("most"))
+            .where(F.col("all") > F.col("most"))
+            .select("node", ((F.col("all") - F.col("most")) * F.col("all")).alias("work"))
         )
-        again = large.join(mixed, "node").groupBy("id").agg(F.collect_list("tree").alias("trees"))
-        again = stored(again, "path-open")
+        mixed = stored(named.join(apart, "node"), "path-mixed")
+        seen = mixed.where((F.col("work") <= WORK) | F.lit(level >= TOKENS - 1)).join(features, "id")
+        links = links.union(confirm(stored(_near(seen, similarity, first=False), "path-pairs")))
+        labels = stored(components(links), "path-labels")
+        again = mixed.where(F.col("work") > WORK)
         level += 1
         if level >= TOKENS or again.isEmpty():
             return labels
-        opened = classes.join(again, "id")
+        trees = again.groupBy("id").agg(F.collect_set("tree").alias("trees"))
+        opened = classes.join(stored(trees, "path-open"), "id")
+
+
+def _descended(
+    classes: DataFrame, opened: DataFrame, level: int, last: int
+) -> tuple[DataFrame, DataFrame, int]:
+    """Small nodes met from ``level`` to ``last`` and large ones of the last level.
+
+    Gives the rows (id, tree, node, size, pivot) of both, of the large ones alone, and
+    the level that was reached.
+    """
+    nodes = None
+    while True:
+        keyed = stored(_branched(opened, level), "path-nodes")
+        sizes = stored(
+            keyed.groupBy("node")
+            .agg(F.count("*").alias("size"), F.min("id").alias("pivot"))
+            .where(F.col("size") > 1),
+            "path-sizes",
+        )
+        shared = stored(keyed.join(sizes, "node"), "path-shared")
+        large = shared.where(F.col("size") > LEAF)
+        done = level == last or large.isEmpty()
+        met = shared if done else shared.where(F.col("size") <= LEAF)
+        nodes = met if nodes is None else nodes.union(met)
+        if done:
+            return nodes, large, level
+        level += 1
+        trees = large.groupBy("id").agg(F.collect_list("tree").alias("trees"))
+        opened = classes.join(trees, "id")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """id and hashes (sorted, 64-bit) of the texts of ``ids``."""
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for sets in shingle_sets(batch.column("text"), words):
+                ids = batch.column("id").slice(done, len(sets))
+                values = pa.array([s.tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids, values], ["id", "hashes"])
+                done += len(sets)
+
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
+    )
+    return source.join(ids, "id", "left_semi").mapInArrow(to_sets, "id long, hashes binary")
 
 
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:

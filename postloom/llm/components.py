@@ -37,20 +37,23 @@ def components(links: DataFrame) -> DataFrame:
         before = state
         both = pairs.union(pairs.select("v", "u"))
         lowest = stored(
-            both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low")), "links-low"
+            both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("low")),
+            "links-low",
         )
-        large = stored(
+        large = (
             both.where(F.col("v") > F.col("u"))
             .join(lowest, "u")
             .select(F.col("v").alias("u"), F.col("low").alias("v"))
-            .distinct(),
-            "links",
+            .distinct()
         )
-        lowest = stored(large.groupBy("u").agg(F.min("v").alias("low")), "links-low")
-        small = large.join(lowest, "u")
+        # A larger node keeps its smallest neighbour, and its others get it too.
+        low = large.groupBy("u").agg(F.min("v").alias("low"))
+        small = large.join(low, "u")
+        ends = F.array(F.struct("u", F.col("low").alias("v")), F.struct(F.col("v").alias("u"), F.col("low").alias("v")))
         pairs = stored(
-            small.select("u", F.col("low").alias("v"))
-            .union(small.where(F.col("v") != F.col("low")).select("v", "low"))
+            small.select(F.explode(ends).alias("e"))
+            .select("e.u", "e.v")
+            .where(F.col("u") != F.col("v"))
             .distinct(),
             "links",
         )
