@@ -4,11 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from postloom.llm import bootstrapped_pii, chosen_path, quality_mcd, sparse_suffix
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from postloom.llm import (
+    adaptive_scan,
+    bootstrapped_pii,
+    bpe_rounds,
+    chosen_path,
+    curve_packing,
+    external_shuffle,
+    host_graph,
+    quality_mcd,
+    sparse_suffix,
+    string_kernel,
+)
 from postloom.llm.storage import share_package, table
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of each whose vec_id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return adaptive_scan.neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return string_kernel.languages(table(spark, sf_dir, "documents"))
+
+
+def op3_bpe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of ids and decoded text of every document."""
+    return bpe_rounds.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
+
 
 def op4_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
@@ -20,6 +53,21 @@ def op5_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.judged(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op6_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2,048 tokens."""
+    return curve_packing.pack(table(spark, sf_dir, "documents"), WORD_BPE).drop("ids")
+
+
+def op7_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, in 40 shards."""
+    return external_shuffle.shard_digests(table(spark, sf_dir, "documents"), shards=40)
+
+
+def op8_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return host_graph.judged_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near copies of every document, by four-word shingles."""
     return chosen_path.near_copies(table(spark, sf_dir, "documents"), words=4, similarity=0.8)
@@ -30,11 +78,23 @@ def op10_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sparse_suffix.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the pipeline over the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _BUILDERS = [
+    op1_adaptive_scan,
+    op2_string_kernel,
+    op3_bpe_rounds,
     op4_bootstrapped_pii,
     op5_quality_mcd,
+    op6_curve_packing,
+    op7_external_shuffle,
+    op8_host_graph,
     op9_chosen_path,
     op10_sparse_suffix,
+    pipeline,
 ]
 
 
@@ -47,4 +107,43 @@ def _sharing(build: Callable[[SparkSession, str], DataFrame]):
 
 
 LLM_REGISTRY = {build.__name__: _sharing(build) for build in _BUILDERS}
-LLM_ORACLE: dict[str, str] = {}
+
+# Words, sets and components of near copies, by all pairs that share a shingle.
+_NEAR_COPIES = r"""
+WITH RECURSIVE lowered AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i : least(i + 3, len(words))], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i
+          FROM lowered WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared s
+    JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+    WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+), ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id AS start, doc_id AS at FROM documents
+    UNION
+    SELECT r.start, w.b FROM reached r JOIN ways w ON w.a = r.at
+), smallest AS (
+    SELECT start, min(at) AS component_id FROM reached GROUP BY start
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d
+LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN smallest m ON m.start = d.doc_id
+"""
+
+LLM_ORACLE: dict[str, str] = {"op9_chosen_path": _NEAR_COPIES}
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
