@@ -28,12 +28,13 @@ from postloom.llm.storage import parallelism, stored
 from postloom.llm.words import _power, grams, hashes, mix, slices
 
 TOKENS = 64  # minwise tokens of a set
+WIDE = 512  # of a set that is compared closely
 TREES = 16
 LEVELS = 4  # between two confirmations
 LEAF = 32  # largest node that is small
 WORK = 1 << 20  # most comparisons in one node
 
-_FACTORS = np.random.default_rng(7_031).integers(0, 1 << 63, TOKENS, np.uint64) * np.uint64(
+_FACTORS = np.random.default_rng(7_031).integers(0, 1 << 63, WIDE, np.uint64) * np.uint64(
     2
 ) + np.uint64(1)
 _POSITION = 0x2545F4914F6CDD1D
@@ -149,15 +150,17 @@ def _branched(opened: DataFrame, level: int) -> DataFrame:
     return opened.select("id", "tokens", "trees").mapInArrow(branch, "id long, tree int, node long")
 
 
-def _near(nodes: DataFrame, similarity: float, first: bool) -> DataFrame:
+def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFrame:
     """Pairs a < b of a node whose sketches agree on about ``similarity`` or more.
 
-    ``nodes`` has node, id, n, sketch and component. ``first`` gives each text only
-    its first partner. Without it, all pairs of different components are compared;
-    the node's largest component is not compared with itself.
+    ``nodes`` has node, id, n, sketch (of ``width`` bytes) and component. Only pairs of
+    different components are compared. Mode ``first`` gives each text its first
+    partner, ``best`` each outside the node's largest component its most similar one,
+    and ``all`` every partner of those.
     """
-    spread = 4 * (TOKENS * similarity * (1 - similarity)) ** 0.5
-    least = int(TOKENS * similarity - spread)
+    spread = 4 * (width * similarity * (1 - similarity)) ** 0.5
+    least = int(width * similarity - spread)
+    first = mode == "first"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -180,7 +183,7 @@ def _near(nodes: DataFrame, similarity: float, first: bool) -> DataFrame:
         node, ids, sizes, component = (
             rows.column(c).to_numpy() for c in ("node", "id", "n", "component")
         )
-        sketch = _table(rows.column("sketch").combine_chunks(), np.uint8, TOKENS)
+        sketch = _table(rows.column("sketch").combine_chunks(), np.uint8, width)
         starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         lefts, rights = [], []
         for low, high in zip(starts, [*starts[1:], len(node)]):
@@ -195,7 +198,10 @@ def _near(nodes: DataFrame, similarity: float, first: bool) -> DataFrame:
                 small = np.minimum(sizes[u], sizes[others])
                 fit = small >= similarity * np.maximum(sizes[u], sizes[others]) - 1e-9
                 others = others[fit & (component[others] != component[u])]
-                others = others[(sketch[others] == sketch[u]).sum(axis=1) >= least]
+                agreed = (sketch[others] == sketch[u]).sum(axis=1)
+                if mode == "best" and len(agreed):
+                    others, agreed = others[[agreed.argmax()]], agreed[[agreed.argmax()]]
+                others = others[agreed >= least]
                 others = others[:1] if first else others
                 lefts.append(ids[others])
                 rights.append(np.full(len(others), ids[u]))
@@ -253,7 +259,7 @@ def _class_links(docs: DataFrame, classes: DataFrame, words: int, similarity: fl
         nodes, large, level = _descended(classes, opened, level, last)
         if labels is None:
             one = nodes.where(F.col("size") <= LEAF).join(features, "id")
-            near = _near(one.withColumn("component", F.col("id")), similarity, first=True)
+            near = _near(one.withColumn("component", F.col("id")), similarity, TOKENS, "first")
             stars = large.where(F.col("id") != F.col("pivot")).select(
                 F.col("pivot").alias("a"), F.col("id").alias("b")
             )
@@ -262,22 +268,16 @@ def _class_links(docs: DataFrame, classes: DataFrame, words: int, similarity: fl
             sets = stored(_sets(docs, nodes.select("id").distinct(), words), "path-sets")
             links = confirm(pairs)
             labels = stored(components(links), "path-labels")
-        named = nodes.join(labels, "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
-        named = stored(named, "path-named")
-        apart = (
-            named.groupBy("node", "component")
-            .agg(F.count("*").alias("count"))
-            .groupBy("node")
-            .agg(F.sum("count").alias("all"), F.max("count").alias("most"))
-            .where(F.col("all") > F.col("most"))
-            .select("node", ((F.col("all") - F.col("most")) * F.col("all")).alias("work"))
-        )
-        mixed = stored(named.join(apart, "node"), "path-mixed")
-        seen = mixed.where((F.col("work") <= WORK) | F.lit(level >= TOKENS - 1)).join(features, "id")
-        links = links.union(confirm(stored(_near(seen, similarity, first=False), "path-pairs")))
-        labels = stored(components(links), "path-labels")
+        wide = None
+        for mode in ("best", "all"):
+            mixed = stored(_mixed(nodes, labels), "path-mixed")
+            if wide is None:
+                wide = stored(_wide(sets.join(mixed.select("id").distinct(), "id")), "path-wide")
+            seen = mixed.where((F.col("work") <= WORK) | F.lit(level >= TOKENS - 1))
+            seen = seen.join(classes.select("id", "n"), "id").join(wide, "id")
+            pairs = stored(_near(seen, similarity, WIDE, mode), "path-pairs")
+            links = links.union(confirm(pairs))
+            labels = stored(components(links), "path-labels")
         again = mixed.where(F.col("work") > WORK)
         level += 1
         if level >= TOKENS or again.isEmpty():
@@ -286,6 +286,38 @@ def _class_links(docs: DataFrame, classes: DataFrame, words: int, similarity: fl
         opened = classes.join(stored(trees, "path-open"), "id")
 
 
+def _mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """id, tree, node, component and work of the nodes with several components."""
+    named = nodes.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = stored(named, "path-named")
+    apart = (
+        named.groupBy("node", "component")
+        .agg(F.count("*").alias("count"))
+        .groupBy("node")
+        .agg(F.sum("count").alias("all"), F.max("count").alias("most"))
+        .where(F.col("all") > F.col("most"))
+        .select("node", ((F.col("all") - F.col("most")) * F.col("all")).alias("work"))
+    )
+    return named.join(apart, "node").select("id", "tree", "node", "component", "work")
+
+
+def _wide(sets: DataFrame) -> DataFrame:
+    """id and a sketch of ``WIDE`` bytes of each set, for close comparison."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column("hashes")]
+            rows = np.zeros((len(found), WIDE), np.uint64)
+            for row, hashed in zip(rows, found):
+                for low in range(0, len(hashed), 256):
+                    part = (hashed[low : low + 256, None] * _FACTORS).min(axis=0)
+                    row[:] = np.minimum(row, part) if low else part
+            bits = (mix(rows) >> np.uint64(56)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), _binary(bits)], ["id", "sketch"])
+
+    return sets.select("id", "hashes").mapInArrow(sketch, "id long, sketch binary")
+
+
 def _descended(
     classes: DataFrame, opened: DataFrame, level: int, last: int
 ) -> tuple[DataFrame, DataFrame, int]:
