@@ -28,7 +28,9 @@ from postloom.llm.storage import stored
 NEAREST = 10
 SAMPLE = 16_384  # vectors for centroids and first bounds, at most about so many
 MOST_LISTS = 4_096
-PROBES = 48
+# Lists are probed until this share of the sample's own neighbours would be found. Within
+# the sample neighbours are further off than among all vectors, so it finds more there.
+TARGET, TRIALS = 0.95, 256
 BLOCK, BUNDLE = 512, 256  # vectors of a block, queries of a bundle, about
 COLUMNS = 16
 CONFIDENCE = 2.5  # of the test; the chance to abandon a near one falls with its square
@@ -43,6 +45,7 @@ class Lists:
     rotation: np.ndarray
     sample_ids: np.ndarray
     sample: np.ndarray
+    probes: int
 
     def order(self, vectors: np.ndarray) -> np.ndarray:
         """Numbers of the lists by distance, nearest first, one row a vector."""
@@ -103,7 +106,25 @@ def learn(vectors: DataFrame) -> Lists | None:
         sizes = np.bincount(owner, minlength=lists)
         centroids = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centroids)
     rotation, _ = np.linalg.qr(random.standard_normal((sample.shape[1], sample.shape[1])))
-    return Lists(centroids, rotation, ids, sample)
+    learned = Lists(centroids, rotation, ids, sample, lists)
+    learned.probes = _probes(learned)
+    return learned
+
+
+def _probes(lists: Lists) -> int:
+    """Number of lists in which ``TARGET`` of the neighbours within the sample lie."""
+    step = -(-len(lists.sample) // TRIALS)
+    tried = np.arange(0, len(lists.sample), step)
+    apart = _squares(lists.sample[tried], lists.sample)
+    apart[np.arange(len(tried)), tried] = np.inf
+    count = min(NEAREST, apart.shape[1])
+    near = np.argpartition(apart, count - 1, axis=1)[:, :count]
+    owner = _squares(lists.sample, lists.centroids).argmin(axis=1)
+    order = lists.order(lists.sample[tried])
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(order.shape[1])[None, :], axis=1)
+    needed = np.take_along_axis(place, owner[near], axis=1)
+    return int(np.quantile(needed, TARGET)) + 1
 
 
 def _blocks(vectors: DataFrame, lists: Lists) -> tuple[DataFrame, np.ndarray]:
@@ -171,9 +192,9 @@ def _bundles(queries: DataFrame, lists: Lists, sizes: np.ndarray, nearest: int)
                 continue
             vectors, ids = _matrix(batch.column("embedding")), batch.column("vec_id").to_numpy()
             order = lists.order(vectors)
-            # At least PROBES lists, and as many as hold enough candidates.
+            # As many lists as the sample asks for, and as hold enough candidates.
             held = np.cumsum(sizes[order], axis=1) - sizes[order]
-            wanted = (np.arange(order.shape[1])[None, :] < PROBES) | (held < nearest + 1)
+            wanted = (np.arange(order.shape[1])[None, :] < lists.probes) | (held < nearest + 1)
             wanted &= sizes[order] > 0
             apart = np.maximum(_squares(vectors, lists.sample), 0)
             apart[ids[:, None] == lists.sample_ids[None, :]] = np.inf
