@@ -6,7 +6,8 @@ their first 32 words, at the same place wherever the passage stands. Retained
 suffixes are sorted over the cluster by what they start with, and neighbours
 that start with the same 19 words are seeds. From each seed the match is extended
 left and right to all runs of 50 words that were selected by it, which are counted
-exactly; overlapping runs join up to the longest repeated passage. Nothing is
+exactly; overlapping runs join up to the longest repeated passage. Texts that are
+equal as a whole are extended once, for the smallest of their doc_ids. Nothing is
 gathered by passage: a passage that a third of all texts share is sorted over
 many tasks, and counted by sums that are added up before they are shuffled.
 """
@@ -24,6 +25,7 @@ from postloom.llm.storage import parallelism, stored
 from postloom.llm.words import Slice, Words, grams, hashes, slices
 
 RUN = 50  # words of a passage that counts
+WORD = r"[^\x20\x09-\x0D]+"
 GRAM = 6
 REACH = 32  # six-word hashes of which the least is retained; a power of two
 STEM = RUN - REACH + 1  # words that a run has from its minimiser on, at least
@@ -85,6 +87,18 @@ def _seeds(suffixes: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             stems = batch.column("stem").to_numpy()
+            rows = batch.column("row").to_numpy()
+            places = batch.column("place").to_numpy()
+            # Suffixes of equal texts are one suffix, of which the first row is kept.
+            again = np.zeros(len(stems), bool)
+            again[1:] = (rows[1:] == rows[:-1]) & (places[1:] == places[:-1])
+            again[1:] &= stems[1:] == stems[:-1]
+            if held is not None:
+                again[0] = held[1:4] == (stems[0], rows[0], places[0])
+            batch = batch.select(["row", "place"]).filter(pa.array(~again))
+            stems, rows, places = stems[~again], rows[~again], places[~again]
+            if not len(stems):
+                continue
             keep = np.zeros(len(stems), bool)
             same = stems[1:] == stems[:-1]
             keep[1:] |= same
@@ -92,28 +106,29 @@ def _seeds(suffixes: DataFrame) -> DataFrame:
             if held is None:
                 keep[0] = True
             else:
-                last, stem, seed = held
-                if stem == stems[0]:
-                    keep[0] = seed = True
-                if seed:
-                    yield last
-            rows = batch.select(["row", "place"])
-            held = rows.slice(len(stems) - 1), stems[-1], bool(keep[-1])
+                if held[1] == stems[0]:
+                    keep[0] = True
+                if keep[0] and held[1] == stems[0] or held[4]:
+                    yield held[0]
+            held = batch.slice(len(stems) - 1), stems[-1], rows[-1], places[-1], bool(keep[-1])
             keep[-1] = False
-            yield rows.filter(pa.array(keep))
+            yield batch.filter(pa.array(keep))
         if held is not None:
             yield held[0]
 
     count = parallelism(suffixes.sparkSession)
     return (
         suffixes.repartitionByRange(count, "stem", "row", "place")
-        .sortWithinPartitions("stem")
+        .sortWithinPartitions("stem", "row", "place")
         .mapInArrow(compare, "row long, place int")
     )
 
 
-def _runs(texts: DataFrame, seeds: DataFrame) -> DataFrame:
-    """hash, row, doc_id, word, start and end of each run of 50 words around a seed."""
+def _runs(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """hash, row, doc_id, word and span of each run of 50 words around a seed.
+
+    ``span`` has the offsets of start and end in its upper and lower 32 bits.
+    """
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,49 +147,53 @@ def _runs(texts: DataFrame, seeds: DataFrame) -> DataFrame:
                 upto = np.concatenate([[0], np.cumsum((run.data & 0xC0) != 0x80)])
                 base = upto[run.offsets[text]]
                 wide = grams(hashed, RUN)[starts] if len(starts) else np.zeros(0, np.uint64)
+                start = upto[found.starts[starts]] - base
+                end = upto[found.ends[starts + RUN - 1]] - base
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(wide.view(np.int64)),
                         pa.array(rows[run.first + text]),
                         pa.array(ids[run.first + text]),
                         pa.array((starts - found.firsts[text]).astype(np.int32)),
-                        pa.array((upto[found.starts[starts]] - base).astype(np.int32)),
-                        pa.array((upto[found.ends[starts + RUN - 1]] - base).astype(np.int32)),
+                        pa.array((start << 32) | end),
                     ],
-                    ["hash", "row", "doc_id", "word", "start", "end"],
+                    ["hash", "row", "doc_id", "word", "span"],
                 )
 
-    places = seeds.groupBy("row").agg(F.collect_set("place").alias("places"))
-    return texts.join(places, "row").mapInArrow(
-        extend, "hash long, row long, doc_id long, word int, start int, end int"
+    return (
+        texts.join(places, ["row", "doc_id"])
+        .select("row", "doc_id", "text", "places")
+        .mapInArrow(extend, "hash long, row long, doc_id long, word int, span long")
     )
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """row, doc_id and text; repeated rows are one row."""
+    """row (a hash of the text), doc_id and text of the rows that have both."""
     text = F.col("text").cast("string")
     return docs.select(
-        F.xxhash64(F.col("doc_id").cast("long"), text).alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
+        F.xxhash64(text).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")
     ).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
 
-def _joined(runs: DataFrame) -> DataFrame:
-    """Maximal passages of each text from its repeated runs (row, doc_id, word, start, end, cut)."""
+def _joined(found: DataFrame) -> DataFrame:
+    """Maximal passages of each text: row, doc_id, start, end, n_words and first.
+
+    ``found`` has row, doc_id, and runs (word, until, span, low), where ``low`` is
+    the smallest doc_id that holds a run.
+    """
 
     def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             ids, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
-            for i, found in enumerate(batch.column("found")):
-                run = found.values
-                word, start, end, cut = (
-                    run.field(n).to_numpy(zero_copy_only=False)
-                    for n in ("word", "start", "end", "cut")
+            for doc_id, row, run in zip(ids, rows, batch.column("runs")):
+                word, until, span, low = (
+                    run.values.field(n).to_numpy() for n in ("word", "until", "span", "low")
                 )
-                for first, last, at, to, whose in _passages(word, start, end, cut):
-                    out.append((ids[i], rows[i], at, to, last - first, not whose))
+                order = np.argsort(word, kind="stable")
+                each = word[order], until[order], span[order] >> 32, span[order] & 0xFFFFFFFF
+                for first, last, at, to, cut in _passages(*each, (low != doc_id)[order]):
+                    out.append((doc_id, row, at, to, last - first, not cut))
             columns = list(zip(*out)) or [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
@@ -182,22 +201,19 @@ def _joined(runs: DataFrame) -> DataFrame:
                 ["doc_id", "row", "start", "end", "n_words", "first"],
             )
 
-    found = runs.groupBy("row", "doc_id").agg(
-        F.sort_array(F.collect_set(F.struct("word", "start", "end", "cut"))).alias("found")
-    )
-    return found.mapInArrow(
+    return found.select("row", "doc_id", "runs").mapInArrow(
         join_up, "doc_id long, row long, start long, end long, n_words long, first boolean"
     )
 
 
 def _passages(
-    word: np.ndarray, start: np.ndarray, end: np.ndarray, cut: np.ndarray
+    word: np.ndarray, until: np.ndarray, start: np.ndarray, end: np.ndarray, cut: np.ndarray
 ) -> Iterator[tuple[int, int, int, int, bool]]:
     """Word range, offsets and kind of each passage; where kinds overlap, cut ones win."""
-    cuts = list(_merged(word[cut], start[cut], end[cut]))
+    cuts = list(_merged(word[cut], until[cut], start[cut], end[cut]))
     for first, last, at, to in cuts:
         yield first, last, at, to, True
-    for first, last, at, to in _merged(word[~cut], start[~cut], end[~cut]):
+    for first, last, at, to in _merged(word[~cut], until[~cut], start[~cut], end[~cut]):
         for c_first, c_last, c_at, c_to in cuts:
             if c_last <= first or c_first >= last:
                 continue
@@ -211,21 +227,48 @@ def _passages(
 
 
 def _merged(
-    word: np.ndarray, start: np.ndarray, end: np.ndarray
+    word: np.ndarray, until: np.ndarray, start: np.ndarray, end: np.ndarray
 ) -> Iterator[tuple[int, int, int, int]]:
     """Runs in order of their first word, joined where they touch."""
     if not len(word):
         return
-    breaks = np.flatnonzero(np.diff(word) > RUN) + 1
+    reach, upto = np.maximum.accumulate(until), np.maximum.accumulate(end)
+    breaks = np.flatnonzero(word[1:] > reach[:-1]) + 1
     for low, high in zip([0, *breaks], [*breaks, len(word)]):
-        yield int(word[low]), int(word[high - 1]) + RUN, int(start[low]), int(end[high - 1])
+        yield int(word[low]), int(reach[high - 1]), int(start[low]), int(upto[high - 1])
 
 
 def _found(docs: DataFrame) -> DataFrame:
     """``repeated_passages`` with the row of each text."""
     texts = _texts(docs)
-    seeds = _seeds(stored(_suffixes(texts), "suffixes"))
-    runs = stored(_runs(texts, seeds), "suffix-runs")
+    suffixes = stored(_suffixes(texts), "suffixes")
+    # Equal texts are one row, which the smallest doc_id stands for.
+    white = F.lit(" \t\n\x0b\x0c\r")
+    size = F.length("text")
+    start, end = size - F.length(F.ltrim("text", white)), F.length(F.rtrim("text", white))
+    holders = stored(
+        texts.select(
+            "row",
+            "doc_id",
+            F.regexp_count("text", F.lit(WORD)).cast("int").alias("n_words"),
+            (start.cast("long") * (1 << 32) + end).alias("span"),
+        )
+        .where(F.col("n_words") >= RUN)
+        .distinct(),
+        "suffix-holders",
+    )
+    owners = stored(
+        holders.groupBy("row").agg(
+            F.min("doc_id").alias("doc_id"),
+            F.max("doc_id").alias("last"),
+            F.first("n_words").alias("n_words"),
+            F.first("span").alias("span"),
+        ),
+        "suffix-owners",
+    )
+    places = _seeds(suffixes).groupBy("row").agg(F.collect_set("place").alias("places"))
+    places = places.join(owners.select("row", "doc_id"), "row")
+    runs = stored(_runs(texts, places), "suffix-runs")
     repeated = stored(
         runs.groupBy("hash")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
@@ -233,11 +276,31 @@ def _found(docs: DataFrame) -> DataFrame:
         .select("hash", "low"),
         "suffix-repeats",
     )
-    return _joined(
-        runs.join(repeated, "hash").select(
-            "row", "doc_id", "word", "start", "end", (F.col("doc_id") != F.col("low")).alias("cut")
+    each = runs.select("hash", "row", "word", "span").join(repeated, "hash")
+    each = each.select("row", "word", (F.col("word") + RUN).alias("until"), "span", "low")
+    copied = owners.where(F.col("doc_id") != F.col("last"))
+    whole = copied.select(
+        "row", F.lit(0).alias("word"), F.col("n_words").alias("until"), "span", F.col("doc_id").alias("low")
+    )
+    lists = (
+        each.union(whole)
+        .groupBy("row")
+        .agg(F.collect_set(F.struct("word", "until", "span", "low")).alias("runs"))
+        .join(owners.select("row", "doc_id"), "row")
+    )
+    copies = (
+        holders.join(copied.select("row", F.col("doc_id").alias("low")), "row")
+        .where(F.col("doc_id") != F.col("low"))
+        .select(
+            "doc_id",
+            "row",
+            F.shiftright("span", 32).alias("start"),
+            F.col("span").bitwiseAND(F.lit(0xFFFFFFFF)).alias("end"),
+            F.col("n_words").cast("long").alias("n_words"),
+            F.lit(False).alias("first"),
         )
     )
+    return _joined(lists).union(copies)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -262,11 +325,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     cuts = (
         _found(docs)
         .where(~F.col("first"))
-        .groupBy(F.col("row").alias("_cut_row"))
+        .groupBy(F.col("row").alias("_cut_row"), F.col("doc_id").alias("_cut_id"))
         .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
     )
-    row = F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
-    joined = docs.join(cuts, row == F.col("_cut_row"), "left")
+    same = (F.xxhash64(docs["text"].cast("string")) == F.col("_cut_row")) & (
+        docs["doc_id"].cast("long") == F.col("_cut_id")
+    )
+    joined = docs.join(cuts, same, "left")
     # What stays lies between the end of one cut and the start of the next.
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cuts", lambda c: c["end"]))
     starts = F.concat(F.transform("_cuts", lambda c: c["start"]), F.array(F.length("text").cast("long")))
