@@ -10,11 +10,21 @@ from postloom.functions.payload import (
 )
 from postloom.functions.scoring import filled, percent_change, sentiment
 from postloom.functions.text import clean_title, has_text, not_blank_line, title_preview
-from postloom.functions.timekeys import epoch_ts, hour_keys, hour_path, object_path
+from postloom.functions.timekeys import (
+    epoch_day,
+    epoch_seconds,
+    epoch_ts,
+    hour_keys,
+    hour_path,
+    object_path,
+    utc_now,
+)
 
 __all__ = [
     "clean_title",
     "decode_base64",
+    "epoch_day",
+    "epoch_seconds",
     "epoch_ts",
     "filled",
     "has_text",
@@ -30,4 +40,5 @@ __all__ = [
     "post_json",
     "sentiment",
     "title_preview",
+    "utc_now",
 ]

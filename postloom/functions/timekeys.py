@@ -1,30 +1,61 @@
-"""Epoch seconds, and the hour layout derived from them (UTC sessions)."""
+"""Epoch seconds, and the days and hours derived from them, without a time zone."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postloom.schema import HOUR_KEYS
+# First and last second of the years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 
-# Pattern and width of each hour key.
-_HOUR_FORMATS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
+
+def epoch_seconds(epoch: Column) -> Column:
+    """Whole seconds; null outside the years 1 to 9999."""
+    seconds = epoch.cast("bigint")
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
 
 
 def epoch_ts(epoch: Column) -> Column:
-    """Timestamp of whole epoch seconds."""
-    return F.timestamp_seconds(epoch.cast("bigint"))
+    """Timestamp of whole epoch seconds; null outside the years 1 to 9999."""
+    return F.timestamp_seconds(epoch_seconds(epoch))
+
+
+def epoch_day(epoch: Column) -> Column:
+    """UTC day of epoch seconds, whatever the session's zone."""
+    seconds = epoch_seconds(epoch)
+    days = (seconds - F.pmod(seconds, F.lit(86_400))) / 86_400
+    return F.date_from_unix_date(days.cast("int"))
+
+
+def utc_now() -> Column:
+    """The current time as text, in UTC whatever the session's zone."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
 def hour_keys(epoch: Column) -> dict[str, Column]:
-    """Text columns year, month, day and hour, zero padded."""
-    ts = epoch_ts(epoch)
-    return {key: F.date_format(ts, _HOUR_FORMATS[key]) for key in HOUR_KEYS}
+    """Text columns year, month, day and hour (UTC), zero padded."""
+    day = epoch_day(epoch)
+    hour = F.floor(F.pmod(epoch_seconds(epoch), F.lit(86_400)) / 3_600)
+    parts = {
+        "year": (F.year(day), 4),
+        "month": (F.month(day), 2),
+        "day": (F.dayofmonth(day), 2),
+        "hour": (hour, 2),
+    }
+    return {
+        key: F.lpad(value.cast("string"), width, "0") for key, (value, width) in parts.items()
+    }
 
 
 def hour_path(epoch: Column) -> Column:
     """Partition folder of an hour, ``year=Y/month=MM/day=DD/hour=HH``."""
-    return F.date_format(epoch_ts(epoch), "'year='yyyy'/month='MM'/day='dd'/hour='HH")
+    keys = hour_keys(epoch)
+    parts = [F.concat(F.lit(f"{key}="), value) for key, value in keys.items()]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = F.concat(whole, F.lit("/"), part)
+    return whole
 
 
 def object_path(epoch: Column, question_id: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postloom.functions import post_json
+from postloom.functions import post_json, utc_now
 from postloom.operators.pinning import pin
 from postloom.schema import OWNER, POST
 
@@ -190,9 +190,7 @@ def dead_letters(
 ) -> DataFrame:
     """The faulty rows with their original text and why they failed."""
     if timestamp is None:
-        timestamp = F.date_format(
-            F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-        )
+        timestamp = utc_now()
     return checked.filter(F.col("reason").isNotNull()).select(
         "message_id",
         F.col(value).alias("raw"),
@@ -203,6 +201,22 @@ def dead_letters(
     )
 
 
+def dead_messages(letters: DataFrame) -> DataFrame:
+    """Dead letters as messages: the original text, and why it failed as attributes.
+
+    The frame has the shape of a published one, so every sink takes it; the key
+    is null.
+    """
+    names = ["error_reason", "failed_stage", "source", "timestamp"]
+    pairs = [part for name in names for part in (F.lit(name), F.col(name))]
+    return letters.select(
+        "message_id",
+        F.lit(None).cast("string").alias("key"),
+        F.col("raw").alias("value"),
+        F.create_map(*pairs).alias("attributes"),
+    )
+
+
 def routed(checked: DataFrame) -> DataFrame:
     """Add ``route``, "main" or "dead", to write both outputs in one pass."""
     return checked.withColumn(

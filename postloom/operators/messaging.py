@@ -88,9 +88,24 @@ def positions_within(
     is a whole number that is unique within a key, such as an arrival number.
 
     Name the position with the fewest keys first: a later one whose keys
-    include them is then numbered without another shuffle.
+    include them is then numbered without another shuffle, and with
+    ``spark.sql.requireAllClusterKeysForCoPartition`` off, as ``build_session`` sets it,
+    the joins keep that partitioning too: the rows are shuffled once.
     """
-    blocked = df.withColumn("_block", F.col(order) - F.pmod(order, F.lit(span)))
+    # Keys without nulls make plain equal joins, which fit the windows' partitioning.
+    every = list(dict.fromkeys(key for keys in positions.values() for key in keys))
+    plain = {}
+    for key in every:
+        kind = df.schema[key].dataType.simpleString()
+        plain[f"_has_{key}"] = F.col(key).isNotNull()
+        plain[f"_key_{key}"] = F.coalesce(F.col(key), F.lit("0").cast(kind))
+    blocked = df.withColumns(
+        {**plain, "_block": F.col(order) - F.pmod(order, F.lit(span))}
+    )
+    positions = {
+        name: [f"_{part}_{key}" for key in keys for part in ("has", "key")]
+        for name, keys in positions.items()
+    }
     numbered = blocked
     for name, keys in positions.items():
         within = Window.partitionBy(*keys, "_block").orderBy(order)
@@ -110,14 +125,14 @@ def positions_within(
                 F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
             )
         )
-        same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+        same = [F.col(key) == F.col(f"_of_{key}") for key in keys]
         matching = reduce(Column.__and__, same, F.col("_block") == F.col("_at"))
         numbered = (
             numbered.join(starts, matching, "inner")
             .withColumn(name, F.col(name) + F.col("_start"))
             .drop("_at", "_start", *[f"_of_{key}" for key in keys])
         )
-    return numbered.drop("_block")
+    return numbered.drop("_block", *plain)
 
 
 def keyed_order(

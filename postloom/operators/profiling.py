@@ -63,55 +63,67 @@ def field_types(
     )
 
 
-def _paths(value: Column, path: Column, depth: int) -> Column:
-    """(path, type) of a value and, down to ``depth``, of all it holds."""
-    own = F.array(F.struct(path.alias("path"), json_type_name(value).alias("type")))
-    if depth == 0:
-        return own
-    members = F.map_entries(value.try_cast("map<string,variant>"))
-    inner = F.flatten(
+def _step(rows: DataFrame) -> DataFrame:
+    """Rows (path, type, value): an open one becomes its type and its members, open.
+
+    A row is open while its type is null. One generator for each level, so no
+    lambda holds another.
+    """
+    shape = F.schema_of_variant("value")
+    within = F.when(
+        shape.startswith("OBJECT"),
         F.transform(
-            members,
-            lambda m: _paths(
-                m["value"], F.concat(path, F.lit("."), m["key"]), depth - 1
-            ),
-        )
-    )
-    items = F.flatten(
+            F.map_entries(F.col("value").try_cast("map<string,variant>")),
+            lambda m: _row(F.concat(F.col("path"), F.lit("."), m["key"]), None, m["value"]),
+        ),
+    ).when(
+        shape.startswith("ARRAY"),
         F.transform(
-            value.try_cast("array<variant>"),
-            lambda item: _paths(item, F.concat(path, F.lit("[]")), depth - 1),
-        )
+            F.col("value").try_cast("array<variant>"),
+            lambda item: _row(F.concat(F.col("path"), F.lit("[]")), None, item),
+        ),
     )
-    shape = F.schema_of_variant(value)
-    return (
-        F.when(shape.startswith("OBJECT"), F.concat(own, inner))
-        .when(shape.startswith("ARRAY"), F.concat(own, items))
-        .otherwise(own)
+    closed = F.array(
+        _row(F.col("path"), F.coalesce("type", json_type_name(F.col("value"))), None)
+    )
+    members = F.when(F.col("type").isNull(), F.coalesce(within, F.array()))
+    return rows.select(F.inline(F.concat(closed, F.coalesce(members, F.array()))))
+
+
+def _row(path: Column, kind: Column | None, value: Column | None) -> Column:
+    return F.struct(
+        path.alias("path"),
+        (F.lit(None).cast("string") if kind is None else kind).alias("type"),
+        (F.lit(None).cast("variant") if value is None else value).alias("value"),
     )
 
 
 def schema_paths(df: DataFrame, value: str = "value", depth: int = 4) -> DataFrame:
-    """Every path down to ``depth`` with its types: occurrences and records.
+    """Every path down to ``depth`` with its types and how often it occurs.
 
-    All list items count, not a sample of them.
+    All list items count, not a sample of them. What lies deeper shows as one row
+    of type ``...`` for each value cut off.
     """
     parsed = pin(df.select(value), "_doc", F.try_parse_json(value)).filter(
         F.col("_doc").isNotNull()
     )
+    rows = parsed.select(F.inline(F.array(_row(F.lit("$"), None, F.col("_doc")))))
+    for _ in range(depth + 1):
+        rows = _step(rows)
+    kinds = F.coalesce("type", F.lit("..."))
     return (
-        parsed.select(F.inline(_paths(F.col("_doc"), F.lit("$"), depth)))
+        rows.select("path", kinds.alias("type"))
         .groupBy("path", "type")
         .agg(F.count("*").alias("occurrences"))
     )
 
 
 def schema_merged(df: DataFrame, value: str = "value") -> DataFrame:
-    """One row: the schema that all records fit, and how many there are."""
+    """For each top-level type, the schema that all its records fit, and their number."""
     parsed = pin(df.select(value), "_doc", F.try_parse_json(value)).filter(
         F.col("_doc").isNotNull()
     )
-    return parsed.agg(
+    return parsed.groupBy(json_type_name(F.col("_doc")).alias("type")).agg(
         F.schema_of_variant_agg("_doc").alias("merged_schema"),
         F.count("*").alias("records"),
     )

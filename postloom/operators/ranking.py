@@ -44,6 +44,6 @@ def filter_posts(
     return posts
 
 
-def first_messages(messages: DataFrame, max_messages: int = 10) -> DataFrame:
+def first_messages(messages: DataFrame, max_messages: int) -> DataFrame:
     """The first messages in arrival order (``seq``)."""
     return messages.orderBy("seq").limit(max_messages)

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.functions import epoch_seconds, utc_now
 from postloom.operators.contract import check_contract, error_reason
 from postloom.operators.envelope import open_envelopes
-from postloom.sinks.files import append_table, write_hour_partitions, write_json_archive
+from postloom.sinks.files import Batch, append_table, write_hour_partitions, write_json_archive
 
 
 def receive(lines: DataFrame, missing_id: str = "zero") -> DataFrame:
     """Open envelopes and check their payloads, one row per line.
 
     Adds ``message_id``, ``post``, and for rows that cannot be stored
-    ``failed_stage`` and ``error_reason``. A post without a creation time has
-    no hour to be stored under and fails at stage "partition".
+    ``failed_stage`` and ``error_reason``. A post without a creation time, or
+    with one outside the years 1 to 9999, has no hour to be stored under and
+    fails at stage "partition". ``landed_at`` and ``position`` tell the order of
+    arrival: the time of the batch and the row's place in it.
     """
     opened = open_envelopes(lines).withColumn("text", F.col("payload").cast("string"))
     checked = check_contract(opened, "text", missing_id)
@@ -23,13 +26,14 @@ def receive(lines: DataFrame, missing_id: str = "zero") -> DataFrame:
         F.when(F.col("status") != "ok", "envelope")
         .when(F.col("payload").isNull(), "decode")
         .when(F.col("reason").isNotNull(), "contract")
-        .when(F.col("post.creation_date").isNull(), "partition")
+        .when(epoch_seconds(F.col("post.creation_date")).isNull(), "partition")
     )
     cause = (
         F.when(F.col("status") != "ok", F.col("status"))
         .when(F.col("payload").isNull(), "bad_base64")
         .when(F.col("reason").isNotNull(), error_reason())
         .when(F.col("post.creation_date").isNull(), "no_creation_date")
+        .when(epoch_seconds(F.col("post.creation_date")).isNull(), "bad_creation_date")
     )
     return checked.select(
         F.col("value").alias("raw"),
@@ -37,12 +41,16 @@ def receive(lines: DataFrame, missing_id: str = "zero") -> DataFrame:
         "post",
         stage.alias("failed_stage"),
         cause.alias("error_reason"),
+        F.current_timestamp().alias("landed_at"),
+        F.monotonically_increasing_id().alias("position"),
     )
 
 
 def stored(received: DataFrame) -> DataFrame:
     """The rows every store takes."""
-    return received.filter(F.col("failed_stage").isNull()).select("message_id", "post")
+    return received.filter(F.col("failed_stage").isNull()).select(
+        "message_id", "post", "landed_at", "position"
+    )
 
 
 def refused(
@@ -50,9 +58,7 @@ def refused(
 ) -> DataFrame:
     """The rows that go to the dead letters."""
     if timestamp is None:
-        timestamp = F.date_format(
-            F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-        )
+        timestamp = utc_now()
     return received.filter(F.col("failed_stage").isNotNull()).select(
         "message_id",
         "raw",
@@ -63,7 +69,7 @@ def refused(
     )
 
 
-def land(received: DataFrame, root: str, batch_id: int | None = None) -> None:
+def land(received: DataFrame, root: str, batch: Batch | None = None) -> None:
     """Write one received batch to the JSON archive, the hour-partitioned
     files, the table, and the dead letters.
 
@@ -71,8 +77,8 @@ def land(received: DataFrame, root: str, batch_id: int | None = None) -> None:
     out caches it first (see streaming/ingest.py).
     """
     posts = stored(received)
-    flat = posts.select("message_id", "post.*")
-    write_json_archive(posts, f"{root}/json", batch_id)
-    write_hour_partitions(flat, f"{root}/parquet", batch_id)
-    append_table(flat, f"{root}/table", batch_id)
-    append_table(refused(received), f"{root}/dead_letters", batch_id)
+    flat = posts.select("message_id", "post.*", "landed_at", "position")
+    write_json_archive(posts, f"{root}/json", batch)
+    write_hour_partitions(flat, f"{root}/parquet", batch)
+    append_table(flat, f"{root}/table", batch)
+    append_table(refused(received), f"{root}/dead_letters", batch)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions import (
     clean_title,
+    epoch_day,
     epoch_ts,
     filled,
     has_text,
@@ -14,6 +15,7 @@ from postloom.functions import (
     sentiment,
 )
 from postloom.operators.newest import newest_capture
+from postloom.operators.pinning import pin
 from postloom.operators.quality import (
     Check,
     column_exists,
@@ -37,9 +39,12 @@ def silver(posts: DataFrame) -> DataFrame:
     """Newest capture of each question, cleaned and classed.
 
     The title test follows the de-duplication: a question whose newest capture
-    has no title is gone even if an older one had one.
+    has no title is gone even if an older one had one. It is worked out before,
+    so that layers that need no title do not move it.
     """
-    narrow = posts.select(
+    titled = pin(posts, "_has_text", has_text(F.col("title")))
+    narrow = titled.select(
+        "_has_text",
         "question_id",
         "title",
         F.col("owner.display_name").alias("author"),
@@ -51,7 +56,7 @@ def silver(posts: DataFrame) -> DataFrame:
         "last_activity_date",
         "message_id",
     )
-    kept = newest_capture(narrow).filter(has_text(F.col("title")))
+    kept = newest_capture(narrow).filter("_has_text")
     score, answers = F.col("score"), F.col("answer_count")
     return kept.select(
         "question_id",
@@ -69,13 +74,13 @@ def silver(posts: DataFrame) -> DataFrame:
 
 def silver_table(silver_rows: DataFrame) -> DataFrame:
     """Silver with the day it is partitioned by."""
-    return silver_rows.withColumn("created_date", F.to_date("created_ts"))
+    return silver_rows.withColumn("created_date", epoch_day(F.col("creation_date")))
 
 
 def daily(silver_rows: DataFrame) -> DataFrame:
     """Counts, votes and authors for each day and class."""
     return silver_rows.groupBy(
-        F.to_date("created_ts").alias("report_date"), "sentiment"
+        epoch_day(F.col("creation_date")).alias("report_date"), "sentiment"
     ).agg(
         F.count("*").alias("post_count"),
         F.avg("score_filled").alias("avg_score"),

@@ -261,7 +261,10 @@ def _with(last: str, body: str) -> str:
 
     visit(last)
     parts = [f"{name} AS ({_CTES[name]})" for name in ordered]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    # A body may go on with expressions of its own.
+    more = body.lstrip().removeprefix("WITH ") if body.lstrip().startswith("WITH ") else None
+    start = "WITH " + ",\n".join(parts)
+    return f"{start}\n{body}" if more is None else f"{start},\n{more}"
 
 
 _POST_COLUMNS = """question_id, title, link, score, answer_count, view_count,
@@ -449,15 +452,30 @@ SELECT CASE WHEN k = 12 THEN 'ARRAY<BIGINT>' ELSE
     count(*) AS records
 FROM messages WHERE k NOT IN (1, 11) GROUP BY 1"""
 
+# What the types of a field merge to over all objects: one type, or VARIANT.
 _MERGED_SCHEMA = """
-SELECT 'OBJECT<answer_count: BIGINT, content_license: STRING, creation_date: BIGINT, '
-    || 'is_answered: BOOLEAN, last_activity_date: BIGINT, link: STRING, '
-    || 'owner: OBJECT<account_id: BIGINT, display_name: STRING, link: STRING, '
-    || 'profile_image: VOID, reputation: BIGINT, user_id: BIGINT, '
-    || 'user_type: STRING>, question_id: BIGINT, score: BIGINT, '
-    || 'tags: ARRAY<STRING>, title: STRING, view_count: BIGINT>' AS merged_schema,
-    count(*) AS records
-FROM accepted"""
+WITH objects AS (SELECT * FROM messages WHERE k NOT IN (1, 11, 12))
+SELECT 'list' AS type, 'ARRAY<BIGINT>' AS merged_schema, count(*) AS records
+FROM messages WHERE k = 12 HAVING count(*) > 0
+UNION ALL
+SELECT 'dict', 'OBJECT<accepted_answer_id: BIGINT, answer_count: '
+    || CASE WHEN bool_and(k = 17) THEN 'VOID' ELSE 'BIGINT' END || ', content_license: '
+    || CASE WHEN bool_and(k = 31) THEN 'VOID' ELSE 'STRING' END || ', creation_date: '
+    || CASE WHEN bool_and(k = 53) THEN 'VOID' ELSE 'BIGINT' END || ', is_answered: '
+    || CASE WHEN bool_or(k = 14) THEN 'VARIANT' ELSE 'BOOLEAN' END
+    || ', last_activity_date: BIGINT, link: STRING, owner: '
+    || CASE WHEN bool_or(k = 13) THEN 'VARIANT' ELSE 'OBJECT<account_id: BIGINT, '
+       || 'display_name: STRING, link: STRING, profile_image: VOID, reputation: BIGINT, '
+       || 'user_id: BIGINT, user_type: STRING>' END || ', question_id: '
+    || CASE WHEN bool_or(k = 15) THEN 'VARIANT' WHEN bool_or(k = 19) THEN 'DECIMAL(20,0)'
+       ELSE 'BIGINT' END || ', score: '
+    || CASE WHEN bool_or(k = 5) THEN 'VARIANT' WHEN bool_or(k = 10) THEN 'DECIMAL(11,1)'
+       ELSE 'BIGINT' END || ', tags: '
+    || CASE WHEN bool_or(k = 6) THEN 'ARRAY<VARIANT>' ELSE 'ARRAY<STRING>' END || ', title: '
+    || CASE WHEN bool_or(k = 8) AND bool_or(k <> 8 AND title IS NOT NULL) THEN 'VARIANT'
+       ELSE 'STRING' END || ', view_count: '
+    || CASE WHEN bool_or(k = 16) THEN 'VARIANT' ELSE 'BIGINT' END || '>', count(*)
+FROM objects HAVING count(*) > 0"""
 
 ORACLE: dict[str, str] = {
     "bronze_posts": _with(
@@ -506,8 +524,7 @@ FROM captures""",
          ORDER BY report_date NULLS FIRST
          RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS BIGINT)
         AS rolling_calendar
-FROM daily
-WHERE report_date IS NULL OR day(report_date) NOT BETWEEN 8 AND 19""",
+FROM daily""",
     ),
     "gold_lag": _with(
         "windowed",
@@ -579,6 +596,13 @@ FROM accepted""",
         "checked",
         """SELECT message_id, value AS raw, error_reason, 'publish' AS failed_stage,
     'post-producer' AS source, '2024-02-01T00:00:00' AS timestamp
+FROM checked WHERE error_reason IS NOT NULL""",
+    ),
+    "publish_dead": _with(
+        "checked",
+        """SELECT message_id, CAST(NULL AS VARCHAR) AS key, value, error_reason,
+    'publish' AS failed_stage, 'post-producer' AS source,
+    '2024-02-01T00:00:00' AS timestamp
 FROM checked WHERE error_reason IS NOT NULL""",
     ),
     "split_counts": _with(
@@ -608,19 +632,21 @@ FROM envelopes WHERE payload_text IS NOT NULL""",
     "partitioned_readback": _with(
         "captures",
         f"""SELECT message_id, question_id, score, creation_date, {_HOUR_COLUMNS}
-FROM captures WHERE creation_date IS NOT NULL""",
+FROM captures""",
     ),
     "hour_partition_counts": _with(
         "captures",
         f"""SELECT {_HOUR_COLUMNS}, count(*) AS posts, max(score) AS top_score
-FROM captures WHERE creation_date IS NOT NULL GROUP BY 1, 2, 3, 4""",
+FROM captures GROUP BY 1, 2, 3, 4""",
     ),
     "object_latest": _with(
         "captures",
         f"""SELECT {_HOUR_PATH} AS hour_path, question_id,
     arg_max(message_id, seq) AS message_id,
     list(score ORDER BY seq DESC)[1] AS score
-FROM captures WHERE creation_date IS NOT NULL GROUP BY 1, 2""",
+FROM captures WHERE creation_date IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT NULL, question_id, message_id, score
+FROM captures WHERE creation_date IS NULL""",
     ),
     "append_field_addition": _with(
         "captures",
@@ -629,21 +655,22 @@ FROM captures WHERE creation_date IS NOT NULL GROUP BY 1, 2""",
 FROM captures""",
     ),
     "topic_scan": _with(
-        "messages",
+        "checked",
         """SELECT
-    CASE WHEN k IN (1, 3, 12, 15, 19) THEN NULL WHEN k = 2 THEN NULL
-         ELSE question_id END AS question_id,
-    CASE WHEN k IN (1, 12) THEN NULL WHEN k = 8 THEN '5' ELSE title END AS title,
-    CASE WHEN k IN (1, 4, 5, 10, 12) THEN NULL ELSE score END AS score,
-    CASE WHEN k IN (1, 12) THEN NULL WHEN k = 6 THEN '1' WHEN k = 7 THEN 'a'
-         WHEN k = 18 THEN '' ELSE array_to_string(tags, '|') END AS tags,
-    CASE WHEN k IN (1, 12) THEN NULL ELSE link END AS link
-FROM messages WHERE k <> 11""",
+    CASE WHEN error_reason IS NULL AND k <> 2 THEN question_id END AS question_id,
+    CASE WHEN error_reason IS NULL THEN title END AS title,
+    CASE WHEN error_reason IS NULL THEN score END AS score,
+    CASE WHEN error_reason IS NOT NULL THEN NULL
+         ELSE coalesce(array_to_string(tags, '|'), '') END AS tags,
+    CASE WHEN error_reason IS NULL THEN link END AS link,
+    error_reason,
+    CASE WHEN error_reason IS NOT NULL THEN value END AS raw
+FROM checked""",
     ),
     "topic_write_roundtrip": _with(
         "posts",
-        """SELECT question_id, title, score, array_to_string(tags, '|') AS tags, link
-FROM posts ORDER BY seq LIMIT 10""",
+        f"""SELECT {_POST_COLUMNS}, CAST(NULL AS VARCHAR) AS error_reason
+FROM posts""",
     ),
     "topic_limit": _with(
         "messages",
@@ -700,11 +727,18 @@ GROUP BY question_id HAVING count(*) > 1""",
     ),
     "dq_bronze": _with("posts", _BRONZE_CHECKS),
     "dq_silver": _with("silver_checks", _SILVER_CHECKS),
+    "dq_checkpoint": _with(
+        "posts",
+        _BRONZE_CHECKS.replace(
+            "FROM posts",
+            "FROM (SELECT * FROM posts WHERE batch_id = (SELECT max(batch_id) FROM posts))",
+        ),
+    ),
     "key_presence": _with("messages", _KEY_PRESENCE),
     "field_types": _with("messages", _FIELD_TYPES),
     "schema_paths": _with("messages", _SCHEMA_PATHS),
     "record_shapes": _with("messages", _RECORD_SHAPES),
-    "schema_merged": _with("accepted", _MERGED_SCHEMA),
+    "schema_merged": _with("messages", _MERGED_SCHEMA),
     "stream_ingest": _with(
         "received",
         f"""SELECT 'json' AS store, message_id, post_text AS content, 'json' AS place
@@ -718,6 +752,10 @@ UNION ALL SELECT 'dead_letters',
     envelope, failed_stage || '/' || failure
 FROM received WHERE failed_stage IS NOT NULL""",
     ),
+    "stream_archive_latest": _with(
+        "received",
+        "SELECT message_id, post_text AS json FROM received WHERE failed_stage IS NULL",
+    ),
     "stream_dead_letters": _with(
         "checked",
         """SELECT value AS raw, error_reason, 'publish' AS failed_stage,

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from postloom import functions as pf
 from postloom.operators import contract, messaging, newest, profiling, quality, ranking
 from postloom.operators.envelope import open_envelopes
-from postloom.plans import medallion, serving
+from postloom.plans import landing, medallion, serving
+from postloom.plans.checkpoint import run_checkpoint
 from postloom.schema import POST, STORED
 from postloom.session import scratch_path
 from postloom.sinks import files
@@ -145,12 +146,7 @@ def gold_rolling(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def gold_rolling_calendar(spark: SparkSession, root: str) -> DataFrame:
-    # Days 8 to 19 are left out, so that rows and calendar days differ.
-    days = medallion.daily(_silver(spark, root)).filter(
-        F.col("report_date").isNull()
-        | ~F.dayofmonth("report_date").between(8, 19)
-    )
-    return days.select(
+    return medallion.daily(_silver(spark, root)).select(
         "report_date",
         "sentiment",
         medallion.rolling_rows().alias("rolling_rows"),
@@ -182,7 +178,7 @@ def silver_day_partitions(spark: SparkSession, root: str) -> DataFrame:
         medallion.silver_table(_silver(spark, root)), path, "created_date", "sentiment"
     )
     return (
-        spark.read.parquet(path)
+        files.read_table(spark, path)
         .groupBy("created_date", "sentiment")
         .agg(
             F.count("*").alias("posts"),
@@ -196,7 +192,7 @@ def silver_day_partitions(spark: SparkSession, root: str) -> DataFrame:
 def gold_readback_pruned(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "gold")
     files.replace_table(_gold(spark, root), path, "report_date", "sentiment")
-    gold = serving.date_range(spark.read.parquet(path), *RANGE)
+    gold = serving.date_range(files.read_table(spark, path), *RANGE)
     return serving.with_sentiments(gold, ["POSITIVE", "NEGATIVE"]).select(
         "report_date", "sentiment", "post_count", "posts_rolling_7d"
     )
@@ -298,6 +294,19 @@ def dead_letters(spark: SparkSession, root: str) -> DataFrame:
     return contract.dead_letters(_checked(spark, root), timestamp=F.lit(FIXED_TIME))
 
 
+@query
+def publish_dead(spark: SparkSession, root: str) -> DataFrame:
+    letters = contract.dead_letters(_checked(spark, root), timestamp=F.lit(FIXED_TIME))
+    rows = contract.dead_messages(letters)
+    names = ["error_reason", "failed_stage", "source", "timestamp"]
+    return rows.select(
+        "message_id",
+        "key",
+        "value",
+        *[F.col("attributes")[name].alias(name) for name in names],
+    )
+
+
 @query
 def split_counts(spark: SparkSession, root: str) -> DataFrame:
     rows = contract.routed(_checked(spark, root))
@@ -340,12 +349,6 @@ def json_archive(spark: SparkSession, root: str) -> DataFrame:
     return files.read_json_archive(spark, path)
 
 
-def _placed(spark: SparkSession, root: str) -> DataFrame:
-    """Captures that have an hour to be stored under."""
-    rows = event_posts.captures(spark, root)
-    return rows.filter(F.col("creation_date").isNotNull())
-
-
 @query
 def hour_partition_path(spark: SparkSession, root: str) -> DataFrame:
     path = pf.object_path(F.col("creation_date"), F.col("question_id"))
@@ -353,10 +356,15 @@ def hour_partition_path(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _hour_files(spark: SparkSession, root: str) -> DataFrame:
+    """Captures read back from their hours, and those without one, which none can hold."""
     path = scratch_path(spark, "hours")
-    rows = _placed(spark, root).select("message_id", "question_id", "score", "creation_date")
-    files.write_hour_partitions(rows, path)
-    return files.read_hour_partitions(spark, path, rows.schema)
+    rows = event_posts.captures(spark, root).select(
+        "message_id", "question_id", "score", "creation_date"
+    )
+    timed = pf.epoch_seconds(F.col("creation_date")).isNotNull()
+    files.write_hour_partitions(rows.filter(timed), path)
+    kept = files.read_hour_partitions(spark, path, rows.schema)
+    return kept.unionByName(rows.filter(~timed), allowMissingColumns=True)
 
 
 @query
@@ -376,7 +384,10 @@ def hour_partition_counts(spark: SparkSession, root: str) -> DataFrame:
 @query
 def object_latest(spark: SparkSession, root: str) -> DataFrame:
     hour = pf.hour_path(F.col("creation_date"))
-    rows = newest.latest_object(_placed(spark, root), hour)
+    rows = event_posts.captures(spark, root)
+    untimed = pf.epoch_seconds(F.col("creation_date")).isNull()
+    # A capture without a time has no object, so that none replaces it.
+    rows = newest.latest_object(rows.filter(~untimed), hour).unionByName(rows.filter(untimed))
     return rows.select(hour.alias("hour_path"), "question_id", "message_id", "score")
 
 
@@ -406,11 +417,10 @@ def topic_scan(spark: SparkSession, root: str) -> DataFrame:
 @query
 def topic_write_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "topic")
-    first = ranking.first_messages(event_posts.posts(spark, root), 10)
-    files.write_topic(
-        files.as_lines(first.select("question_id", "title", "score", "tags", "link")), path
-    )
-    return topics.topic_posts(topics.read_topic(spark, path)).withColumn("tags", _tags())
+    fields = POST.fieldNames()
+    files.write_topic(files.as_lines(event_posts.posts(spark, root).select(*fields)), path)
+    rows = topics.topic_posts(topics.read_topic(spark, path), fields)
+    return rows.select(*_flat_post(), "error_reason")
 
 
 @query
@@ -506,12 +516,23 @@ def dq_silver(spark: SparkSession, root: str) -> DataFrame:
     files.replace_table(rows, f"{path}/silver", "created_date", "sentiment")
     # A suite runs on the stored table: its passes then read columns of that,
     # and do not work silver out again.
-    stored = spark.read.schema(rows.schema).parquet(f"{path}/silver")
+    stored = files.read_table(spark, f"{path}/silver", rows.schema)
     found = quality.run_suite(stored, medallion.silver_suite(), "posts_silver", RUN_ID)
     files.store_results(found, f"{path}/results")
     return spark.read.schema(found.schema).parquet(f"{path}/results")
 
 
+@query
+def dq_checkpoint(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "checkpoint")
+    tables.expose_view(event_posts.posts(spark, root), "posts_bronze")
+    suite = medallion.bronze_suite()
+    # The second attempt at a run replaces the first.
+    for _ in range(2):
+        found = run_checkpoint(spark, "posts_bronze", suite, RUN_ID, path)
+    return found
+
+
 # --- schema profiles ------------------------------------------------------
 
 
@@ -538,9 +559,7 @@ def record_shapes(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def schema_merged(spark: SparkSession, root: str) -> DataFrame:
-    # Of published messages: raw ones hold lists too, which leaves no schema.
-    published = contract.publishable(_checked(spark, root))
-    return profiling.schema_merged(published)
+    return profiling.schema_merged(_lines(spark, root))
 
 
 # --- streams --------------------------------------------------------------
@@ -550,7 +569,7 @@ def schema_merged(spark: SparkSession, root: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "ingest")
     files.write_topic(event_posts.envelopes(spark, root), f"{path}/topic")
-    lines = topics.stream_topic(spark, f"{path}/topic")
+    lines = topics.stream_topic(spark, f"{path}/topic", max_files=16)
     ingest.start_ingest(lines, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     archive = files.read_json_archive(spark, f"{path}/out/json")
     hours = files.read_hour_partitions(spark, f"{path}/out/parquet", STORED)
@@ -575,6 +594,24 @@ def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query
+def stream_archive_latest(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "latest")
+    envelopes = event_posts.envelopes(spark, root)
+    # Every message comes twice, the second time to a stream with its own checkpoint.
+    files.write_topic(envelopes, f"{path}/topic")
+    for run in ("first", "second"):
+        lines = topics.stream_topic(spark, f"{path}/topic", max_files=16)
+        ingest.run_batches(
+            lines,
+            lambda batch, own: files.write_json_archive(
+                landing.stored(landing.receive(batch)), f"{path}/json", own
+            ),
+            f"{path}/{run}",
+        ).awaitTermination()
+    return files.latest_archive(spark, f"{path}/json")
+
+
 def _routed_stream(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "routing")
     # The topic's lines carry no message id, so the rows have none either.

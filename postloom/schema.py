@@ -36,7 +36,15 @@ POST = T.StructType(
 )
 
 # What the stores keep of a delivered post.
-STORED = T.StructType([T.StructField("message_id", T.StringType()), *POST.fields])
+STORED = T.StructType(
+    [
+        T.StructField("message_id", T.StringType()),
+        *POST.fields,
+        # Order of arrival: when the batch landed, and the row's place in it.
+        T.StructField("landed_at", T.TimestampType()),
+        T.StructField("position", T.LongType()),
+    ]
+)
 
 # Push envelope; ``data`` is base64.
 ENVELOPE = T.StructType(

@@ -13,6 +13,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join may use a partitioning by some of its keys (operators/messaging.py).
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Streaming de-duplication state lives on local disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

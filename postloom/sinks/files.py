@@ -1,23 +1,38 @@
 """Writing and reading the landing formats.
 
-A write that takes ``batch_id`` goes to its own ``batch=<id>`` folder and
-replaces it, so a batch that is run again after a failure leaves one copy.
+A write that takes a ``Batch`` goes to the ``run=`` and ``batch=`` folders of its own
+and replaces them, so a batch that is run again after a failure leaves one copy,
+and a stream with another checkpoint, whose batches count from 0 again, replaces
+nothing. What a broker delivers twice is kept twice; the readers of the last
+delivery give one row for each message id or object.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.functions import post_json
 from postloom.functions.timekeys import hour_keys
+from postloom.operators.newest import first_per_key
 from postloom.schema import HOUR_KEYS, with_hour_keys
 
 
-def batch_folder(root: str, batch_id: int | None) -> str:
+@dataclass(frozen=True)
+class Batch:
+    """A micro-batch: the id of the stream's checkpoint, and the batch's number in it."""
+
+    run: str
+    number: int
+
+
+def batch_folder(root: str, batch: Batch | None) -> str:
     """Folder of one batch, or the root itself for an unbatched write."""
-    return root if batch_id is None else f"{root}/batch={batch_id}"
+    return root if batch is None else f"{root}/run={batch.run}/batch={batch.number}"
 
 
 def spread(df: DataFrame, *partition_keys: str) -> DataFrame:
@@ -31,17 +46,19 @@ def spread(df: DataFrame, *partition_keys: str) -> DataFrame:
 
 
 def write_json_archive(
-    posts: DataFrame, root: str, batch_id: int | None = None
+    posts: DataFrame, root: str, batch: Batch | None = None
 ) -> None:
     """Archive decoded posts as JSON lines, the message id beside each.
 
-    ``posts`` has ``message_id`` and the struct ``post``. Nulls are kept.
+    ``posts`` has ``message_id``, the struct ``post`` and, where known, the order of
+    arrival (``landed_at``, ``position``). Nulls are kept.
     """
+    arrival = [c for c in ("landed_at", "position") if c in posts.columns]
     (
-        posts.select("message_id", "post")
+        posts.select("message_id", "post", *arrival)
         .write.mode("overwrite")
         .option("ignoreNullFields", "false")
-        .json(batch_folder(root, batch_id))
+        .json(batch_folder(root, batch))
     )
 
 
@@ -55,6 +72,41 @@ def read_json_archive(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def last_delivery(rows: DataFrame, *keys: str) -> DataFrame:
+    """The row of each key that arrived last; rows with a null key all stay."""
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    order = [F.desc("landed_at"), F.desc("position")]
+    latest = first_per_key(rows.filter(known), list(keys), order)
+    return latest.unionByName(rows.filter(~known))
+
+
+def latest_archive(spark: SparkSession, root: str) -> DataFrame:
+    """The archive with one object for each message id: the one delivered last."""
+    schema = "message_id string, post string, landed_at timestamp, position bigint"
+    rows = last_delivery(spark.read.schema(schema).json(root), "message_id")
+    return rows.select("message_id", F.col("post").alias("json"))
+
+
+def latest_objects(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The hour layout with one object for each question and hour: the last delivered."""
+    rows = read_hour_partitions(spark, root, schema)
+    return last_delivery(rows, *HOUR_KEYS, "question_id")
+
+
+def compact_hours(spark: SparkSession, root: str, target: str, schema: T.StructType) -> None:
+    """Rewrite a streamed hour layout to ``target`` with few files for each hour."""
+    rows = read_hour_partitions(spark, root, schema).select(*schema.fieldNames(), *HOUR_KEYS)
+    (
+        spread(rows, *HOUR_KEYS)
+        .sortWithinPartitions(*HOUR_KEYS, "question_id")
+        .write.mode("overwrite")
+        .partitionBy(*HOUR_KEYS)
+        .parquet(target)
+    )
+
+
 def with_hour(posts: DataFrame, epoch: str = "creation_date") -> DataFrame:
     """Add the four hour partition columns."""
     return posts.withColumns(hour_keys(F.col(epoch)))
@@ -63,17 +115,26 @@ def with_hour(posts: DataFrame, epoch: str = "creation_date") -> DataFrame:
 def write_hour_partitions(
     posts: DataFrame,
     root: str,
-    batch_id: int | None = None,
+    batch: Batch | None = None,
     epoch: str = "creation_date",
 ) -> None:
-    """Parquet under ``year=/month=/day=/hour=``, ordered by question."""
-    (
-        spread(with_hour(posts, epoch), *HOUR_KEYS)
-        .sortWithinPartitions(*HOUR_KEYS, "question_id")
-        .write.mode("overwrite")
-        .partitionBy(*HOUR_KEYS)
-        .parquet(batch_folder(root, batch_id))
-    )
+    """Parquet under ``year=/month=/day=/hour=``, ordered by question.
+
+    The folders of run and batch lie below the hour, so a read of one hour lists
+    that hour only; ``compact_hours`` rewrites what streams have cut small.
+    """
+    rows = spread(with_hour(posts, epoch), *HOUR_KEYS)
+    writer = rows.sortWithinPartitions(*HOUR_KEYS, "question_id").write.mode("overwrite")
+    keys = HOUR_KEYS
+    if batch is not None:
+        rows = rows.withColumns({"run": F.lit(batch.run), "batch": F.lit(batch.number)})
+        keys = [*HOUR_KEYS, "run", "batch"]
+        writer = (
+            rows.sortWithinPartitions(*HOUR_KEYS, "question_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+        )
+    writer.partitionBy(*keys).parquet(root)
 
 
 def read_hour_partitions(
@@ -83,12 +144,12 @@ def read_hour_partitions(
     return spark.read.schema(with_hour_keys(schema)).parquet(root)
 
 
-def append_table(df: DataFrame, root: str, batch_id: int | None = None) -> None:
+def append_table(df: DataFrame, root: str, batch: Batch | None = None) -> None:
     """Append to a parquet table; the new rows may have new columns."""
-    if batch_id is None:
+    if batch is None:
         df.write.mode("append").parquet(root)
     else:
-        df.write.mode("overwrite").parquet(batch_folder(root, batch_id))
+        df.write.mode("overwrite").parquet(batch_folder(root, batch))
 
 
 def read_appended(
@@ -108,23 +169,39 @@ def replace_table(df: DataFrame, root: str, partition: str, cluster: str) -> Non
     """Full refresh, partitioned by a date and sorted within by ``cluster``.
 
     The sort gives each row group a narrow range of cluster values, so a
-    filter on them skips the others.
+    filter on them skips the others. The rows go to a folder of their own, and a
+    row of the table's log then names it: readers (``read_table``) see the old table
+    until that row is there, and a refresh that fails leaves the old one.
     """
+    version = uuid.uuid4().hex
     (
         spread(df, partition)
         .sortWithinPartitions(partition, cluster)
-        .write.mode("overwrite")
-        .partitionBy(partition)
-        .parquet(root)
+        .write.partitionBy(partition)
+        .parquet(f"{root}/version={version}")
+    )
+    log = df.sparkSession.range(1).select(
+        F.lit(version).alias("version"), F.current_timestamp().alias("since")
     )
+    log.write.mode("append").parquet(f"{root}/log")
 
 
-def write_routed(checked: DataFrame, root: str, batch_id: int | None = None) -> None:
+def read_table(
+    spark: SparkSession, root: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """The newest version of a table that ``replace_table`` wrote."""
+    log = spark.read.schema("version string, since timestamp").parquet(f"{root}/log")
+    version = log.orderBy(F.desc("since"), F.desc("version")).first()["version"]
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{root}/version={version}")
+
+
+def write_routed(checked: DataFrame, root: str, batch: Batch | None = None) -> None:
     """Write valid and faulty messages in one pass, apart by ``route``."""
     (
         checked.write.mode("overwrite")
         .partitionBy("route")
-        .parquet(batch_folder(root, batch_id))
+        .parquet(batch_folder(root, batch))
     )
 
 
@@ -154,5 +231,13 @@ def to_kafka_rows(published: DataFrame) -> DataFrame:
 
 
 def store_results(results: DataFrame, root: str) -> None:
-    """Append check results to a table partitioned by run."""
-    results.write.mode("append").partitionBy("run_id").parquet(root)
+    """Store check results in a table partitioned by run and table checked.
+
+    A run that is repeated replaces its own results.
+    """
+    (
+        results.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id", "table_name")
+        .parquet(root)
+    )

@@ -6,12 +6,11 @@ All sources yield frames that have at least ``value``; the Kafka source adds
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions import not_blank_line
-from postloom.operators.pinning import pin
-from postloom.schema import POST
+from postloom.operators.contract import check_contract, error_reason
 
 
 def read_topic(spark: SparkSession, path: str) -> DataFrame:
@@ -19,21 +18,61 @@ def read_topic(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(not_blank_line(F.col("value")))
 
 
-def stream_topic(
-    spark: SparkSession, path: str, max_files: int | None = None
-) -> DataFrame:
+def stream_topic(spark: SparkSession, path: str, max_files: int) -> DataFrame:
     """The same as a stream; ``max_files`` bounds each micro-batch."""
-    reader = spark.readStream.format("text")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
     return reader.load(path).filter(not_blank_line(F.col("value")))
 
 
-def topic_posts(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Five fields of every message, as a consumer prints them."""
-    posts = pin(lines, "_post", F.from_json(value, POST))
-    fields = ["question_id", "title", "score", "tags", "link"]
-    return posts.select(*[F.col(f"_post.{field}") for field in fields])
+def topic_posts(
+    lines: DataFrame, fields: list[str] | None = None, value: str = "value"
+) -> DataFrame:
+    """Some fields of every message, as a consumer prints them, and ``error_reason``.
+
+    Lines that cannot be read as a post have null fields, the reason, and their
+    text as ``raw``; for others both are null. A missing ``question_id`` is null.
+    """
+    checked = check_contract(lines, value, missing_id="reject")
+    fields = fields or ["question_id", "title", "score", "tags", "link"]
+    no_id = (F.col("reason") == "missing_id") & (F.col("bad_fields") == "")
+    sound = F.col("reason").isNull() | no_id
+
+    def shown(field: str) -> Column:
+        there = F.col("reason").isNull() if field == "question_id" else sound
+        return F.when(there, F.col(f"post.{field}")).alias(field)
+
+    return checked.select(
+        *[shown(field) for field in fields],
+        F.when(~sound, error_reason()).alias("error_reason"),
+        F.when(~sound, F.col(value)).alias("raw"),
+    )
+
+
+def kafka_rows(records: DataFrame) -> DataFrame:
+    """Records of Spark's Kafka source in the frame shape of this library.
+
+    Of headers with one key, which Kafka allows, the last counts.
+    """
+    headers = F.coalesce("headers", F.array())
+    names = F.array_distinct(F.transform(headers, lambda header: header["key"]))
+    last = F.transform(
+        names,
+        lambda name: F.struct(
+            name.alias("key"),
+            F.element_at(F.filter(headers, lambda header: header["key"] == name), -1)["value"]
+            .cast("string")
+            .alias("value"),
+        ),
+    )
+    return records.select(
+        F.concat_ws("-", "topic", "partition", "offset").alias("message_id"),
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        F.map_from_entries(last).alias("attributes"),
+        F.col("timestamp").alias("publish_ts"),
+        "partition",
+        F.col("offset").alias("seq"),
+    )
 
 
 def kafka_messages(
@@ -50,6 +89,8 @@ def kafka_messages(
     is "earliest" for a read from the beginning, "latest" for a subscription
     that sees new messages only (streams), or a JSON text of offsets.
     """
+    if not streaming and starting == "latest":
+        raise ValueError("a batch read has no new messages: start at 'earliest' or at offsets")
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     options = {
         "kafka.bootstrap.servers": servers,
@@ -59,20 +100,4 @@ def kafka_messages(
     }
     if streaming and max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
-    rows = reader.options(**options).load()
-    return rows.select(
-        F.concat_ws("-", "topic", "partition", "offset").alias("message_id"),
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
-        F.map_from_entries(
-            F.transform(
-                F.coalesce("headers", F.array()),
-                lambda header: F.struct(
-                    header["key"], header["value"].cast("string")
-                ),
-            )
-        ).alias("attributes"),
-        F.col("timestamp").alias("publish_ts"),
-        "partition",
-        F.col("offset").alias("seq"),
-    )
+    return kafka_rows(reader.options(**options).load())

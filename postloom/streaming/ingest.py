@@ -10,23 +10,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from postloom.functions import epoch_day
 from postloom.operators.contract import check_contract, dead_letters, routed, valid_posts
 from postloom.plans.landing import land, receive
-from postloom.sinks.files import write_routed
+from postloom.sinks.files import Batch, spread, write_routed
 
 
 def run_batches(
     stream: DataFrame,
-    write: Callable[[DataFrame, int], None],
+    write: Callable[[DataFrame, Batch], None],
     checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch to ``write``.
 
-    A batch that fails is run again from the checkpoint under the same id;
-    ``write`` has to replace what that id wrote before.
+    A batch that fails is run again from the checkpoint under the same number;
+    ``write`` has to replace what that batch wrote before. Numbers start at 0 in every
+    checkpoint, so a batch also carries the id that Spark keeps in the checkpoint.
     """
-    writer = stream.writeStream.foreachBatch(write).option(
+
+    def numbered(batch: DataFrame, number: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not run:
+            raise RuntimeError("the stream has no id")
+        write(batch, Batch(run, number))
+
+    writer = stream.writeStream.foreachBatch(numbered).option(
         "checkpointLocation", checkpoint
     )
     if available_now:
@@ -43,15 +52,15 @@ def start_ingest(
 ) -> StreamingQuery:
     """Store a stream of envelopes in all stores under ``root``.
 
-    Each micro-batch, bounded by the source's limit per trigger, is cached
-    while its four outputs are written, so messages are parsed once. Spark
+    Each micro-batch is cached while its four outputs are written, so messages are
+    parsed once; the source has to bound it (``stream_topic`` asks for a limit). Spark
     works lost cached blocks out again from the source.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, own: Batch) -> None:
         received = receive(batch, missing_id).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            land(received, root, batch_id)
+            land(received, root, own)
         finally:
             received.unpersist()
 
@@ -67,8 +76,8 @@ def start_routing(
 ) -> StreamingQuery:
     """Check raw messages and write both routes of each batch in one pass."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_routed(routed(check_contract(batch, missing_id=missing_id)), root, batch_id)
+    def write(batch: DataFrame, own: Batch) -> None:
+        write_routed(routed(check_contract(batch, missing_id=missing_id)), root, own)
 
     return run_batches(lines, write, checkpoint, available_now)
 
@@ -84,29 +93,32 @@ def routed_posts(written: DataFrame) -> DataFrame:
 
 
 def drop_redelivered(
-    messages: DataFrame, delay: str = "7 days", publish_ts: str = "publish_ts"
+    messages: DataFrame, delay: str, publish_ts: str = "publish_ts"
 ) -> DataFrame:
     """First delivery of each message of a stream.
 
     A redelivered message keeps its id and publish time. State is held for
     ``delay`` only, which must be no less than the time a broker may still
-    redeliver: older rows would be dropped as late. Where there is no such
-    bound use ``start_first_deliveries``.
+    redeliver: Spark drops older rows as late, and counts them in the query's
+    progress (``numRowsDroppedByWatermark``). Where there is no such bound use
+    ``start_first_deliveries``. Messages without an id cannot be told apart and all stay.
     """
-    return messages.withWatermark(publish_ts, delay).dropDuplicatesWithinWatermark(
+    timed = messages.withWatermark(publish_ts, delay)
+    once = timed.filter(F.col("message_id").isNotNull()).dropDuplicatesWithinWatermark(
         ["message_id"]
     )
+    return once.unionByName(timed.filter(F.col("message_id").isNull()))
 
 
 def _known_ids(
-    spark: SparkSession, root: str, days: list[str], batch_id: int
+    spark: SparkSession, root: str, days: list[str], own: Batch
 ) -> DataFrame | None:
-    """Ids that earlier batches stored under the given days, if any.
+    """Ids that other batches, of any run, stored under the given days, if any.
 
     Only the folders of these days are listed, so the cost of a batch does
     not grow with the age of the table.
     """
-    schema = "message_id string, publish_day string, batch bigint"
+    schema = "message_id string, publish_day string, run string, batch bigint"
     folders = f"{root}/publish_day={{{','.join(days)}}}"
     try:
         rows = spark.read.option("basePath", root).schema(schema).parquet(folders)
@@ -115,7 +127,8 @@ def _known_ids(
             raise
         return None
     # A batch that is run again must not meet its own first attempt.
-    return rows.filter(F.col("batch") < batch_id).select("message_id")
+    first_attempt = (F.col("run") == own.run) & (F.col("batch") == own.number)
+    return rows.filter(~first_attempt).select("message_id")
 
 
 def start_first_deliveries(
@@ -123,27 +136,34 @@ def start_first_deliveries(
 ) -> StreamingQuery:
     """Append messages that ``root`` does not hold yet, however late they are.
 
-    The table is partitioned by publish day and batch. As a redelivery keeps
-    its publish time, a batch is compared with the ids of its own days only,
+    The table is partitioned by publish day (UTC), run and batch. As a redelivery
+    keeps its publish time, a batch is compared with the ids of its own days only,
     and no streaming state is kept. A batch that is run again replaces the
-    partitions of its first attempt.
+    partitions of its first attempt. Messages without an id all stay.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, own: Batch) -> None:
         # The format carries "none" for messages without a publish time.
-        day = F.coalesce(F.date_format("publish_ts", "yyyy-MM-dd"), F.lit("none"))
-        fresh = batch.dropDuplicates(["message_id"]).withColumn("publish_day", day)
+        published = epoch_day(F.unix_seconds("publish_ts")).cast("string")
+        known = F.col("message_id").isNotNull()
+        once = batch.filter(known).dropDuplicates(["message_id"])
+        fresh = once.unionByName(batch.filter(~known)).withColumn(
+            "publish_day", F.coalesce(published, F.lit("none"))
+        )
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # At most one row per calendar day comes to the driver.
             days = [row[0] for row in fresh.select("publish_day").distinct().collect()]
-            known = _known_ids(batch.sparkSession, root, days, batch_id) if days else None
-            new = fresh if known is None else fresh.join(known, "message_id", "left_anti")
+            stored = _known_ids(batch.sparkSession, root, days, own) if days else None
+            new = fresh if stored is None else fresh.join(stored, "message_id", "left_anti")
+            numbered = new.withColumns(
+                {"run": F.lit(own.run), "batch": F.lit(own.number).cast("bigint")}
+            )
             (
-                new.withColumn("batch", F.lit(batch_id).cast("bigint"))
+                spread(numbered, "publish_day")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("publish_day", "batch")
+                .partitionBy("publish_day", "run", "batch")
                 .parquet(root)
             )
         finally:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postloom.functions import payload_length, payload_preview, title_preview
-from postloom.operators import messaging, ranking
+from postloom.operators import contract, messaging, ranking
 from postloom.operators.envelope import open_envelopes
 from postloom.sinks import files
 from postloom.sources import topics
@@ -64,6 +64,59 @@ def test_topic_skips_blank_lines(spark, scratch):
     assert topics.read_topic(spark, scratch).count() == 1
 
 
+def test_topic_lines_that_cannot_be_read_have_a_reason(spark, scratch):
+    lines = ["bad", "[1]", '{"question_id":1,"title":{"a":1}}', '{"question_id":2,"title":"t"}']
+    files.write_topic(spark.createDataFrame([(x,) for x in lines], "value string"), scratch)
+    found = topics.topic_posts(topics.read_topic(spark, scratch)).collect()
+    assert {(r["question_id"], r["title"], r["error_reason"], r["raw"]) for r in found} == {
+        (None, None, "bad_json", "bad"),
+        (None, None, "not_object", "[1]"),
+        (None, None, "bad_type: title", lines[2]),
+        (2, "t", None, None),
+    }
+
+
+def test_kafka_headers_may_repeat(spark):
+    schema = (
+        "topic string, partition int, offset long, key binary, value binary, timestamp timestamp, "
+        "headers array<struct<key: string, value: binary>>"
+    )
+    headers = [("a", b"1"), ("b", b"2"), ("a", b"3")]
+    rows = [("t", 0, 5, None, b"v", None, headers), ("t", 0, 6, b"k", None, None, None)]
+    found = topics.kafka_rows(spark.createDataFrame(rows, schema)).collect()
+    assert [r["attributes"] for r in found] == [{"a": "3", "b": "2"}, {}]
+    assert found[0]["message_id"] == "t-0-5"
+    with pytest.raises(ValueError, match="earliest"):
+        topics.kafka_messages(spark, "x:1", "t", streaming=False, starting="latest")
+
+
+def test_dead_letters_as_messages_go_to_a_sink(spark):
+    rows = spark.createDataFrame([("m1", "bad")], "message_id string, value string")
+    letters = contract.dead_letters(contract.check_contract(rows), timestamp=F.lit("t"))
+    row = files.to_kafka_rows(contract.dead_messages(letters)).first()
+    assert row["value"] == "bad" and len(row["headers"]) == 4
+
+
+def test_keyed_order_shuffles_rows_once(spark):
+    rows = spark.range(100).selectExpr("id AS seq", "IF(id % 7 = 0, NULL, concat('k', id % 3)) AS key")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        ordered = messaging.keyed_order(rows, span=10)
+        plan = ordered._jdf.queryExecution().executedPlan().toString()
+        found = ordered.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    sides = plan.split("partial_count")
+    assert len(exchanges) - (len(sides) - 1) * 3 <= 1, plan
+    assert len(found) == 100
+    for r in found:
+        same = [o for o in found if o["partition"] == r["partition"]]
+        assert r["offset"] == sum(o["seq"] < r["seq"] for o in same)
+        assert r["key_position"] == sum(o["seq"] < r["seq"] and o["key"] == r["key"] for o in same)
+
+
 def test_split_keyed(spark):
     lines = ["A:Message 1 from A", "B:x:y", ":empty key", "none", "C:"]
     rows = spark.createDataFrame([(x,) for x in lines], "line string")

@@ -121,6 +121,15 @@ def test_silver_is_the_same_for_doubled_input(frame):
     assert once == twice
 
 
+def test_gold_moves_no_title(frame):
+    rows = frame(post("m1", 1, "a b"))
+    plan = medallion.gold(medallion.silver(rows))._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Generate")]
+    assert "title" not in above and "_has_text" in above
+    # The test follows the de-duplication: the filter on it stands above the window.
+    assert above.rindex("_has_text") > above.index("Window")
+
+
 def test_hot_question_is_limited_before_the_shuffle(frame):
     rows = frame(*[post(f"m{i}", 1, "t", created=i) for i in range(200)])
     plan = medallion.silver(rows)._jdf.queryExecution().executedPlan().toString()

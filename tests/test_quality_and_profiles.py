@@ -85,8 +85,9 @@ def test_schema_paths(spark):
         ("$.b.c", "list", 1), ("$.b.c[]", "int", 1), ("$.b.c[]", "str", 1),
         ("$.b.c[]", "dict", 1), ("$.b.c[].d", "NoneType", 1),
     }
-    shallow = {r["path"] for r in profiling.schema_paths(lines(spark), depth=1).collect()}
-    assert shallow == {"$", "$[]", "$.a", "$.b"}
+    shallow = {(r["path"], r["type"]) for r in profiling.schema_paths(lines(spark), depth=1).collect()}
+    assert {path for path, kind in shallow if kind != "..."} == {"$", "$[]", "$.a", "$.b"}
+    assert {path for path, kind in shallow if kind == "..."} == {"$.b.c"}
 
 
 def test_shapes_and_merged_schema(spark):
@@ -96,4 +97,4 @@ def test_shapes_and_merged_schema(spark):
     shapes = {tuple(r) for r in profiling.record_shapes(df).collect()}
     assert shapes == {("OBJECT<a: BIGINT>", 2), ("OBJECT<a: BIGINT, b: STRING>", 1)}
     merged = profiling.schema_merged(df).first()
-    assert tuple(merged) == ("OBJECT<a: BIGINT, b: STRING>", 3)
+    assert tuple(merged) == ("dict", "OBJECT<a: BIGINT, b: STRING>", 3)

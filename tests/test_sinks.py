@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from postloom.functions import hour_path, object_path
+from postloom.functions import epoch_day, hour_path, object_path, utc_now
 from postloom.operators import contract, newest
 from postloom.sinks import files
 from postloom.sources.tables import latest_batch
@@ -43,11 +45,65 @@ def test_hour_partitions_keep_zeros_and_prune(spark, scratch):
 def test_batch_written_again_replaces_itself(spark, scratch):
     rows = spark.createDataFrame([(1, 0), (2, 0)], "question_id long, creation_date long")
     for _ in range(2):
-        files.write_hour_partitions(rows, scratch, batch_id=3)
-        files.append_table(rows, f"{scratch}-table", batch_id=3)
-    files.append_table(rows, f"{scratch}-table", batch_id=4)
-    assert files.read_hour_partitions(spark, scratch, rows.schema).count() == 2
-    assert files.read_appended(spark, f"{scratch}-table", rows.schema).count() == 4
+        files.write_hour_partitions(rows, scratch, files.Batch("a", 3))
+        files.append_table(rows, f"{scratch}-table", files.Batch("a", 3))
+    files.append_table(rows, f"{scratch}-table", files.Batch("a", 4))
+    # Another checkpoint counts its batches from the start again.
+    files.append_table(rows, f"{scratch}-table", files.Batch("b", 3))
+    files.write_hour_partitions(rows, scratch, files.Batch("b", 3))
+    assert files.read_hour_partitions(spark, scratch, rows.schema).count() == 4
+    assert files.read_appended(spark, f"{scratch}-table", rows.schema).count() == 6
+    assert os.path.isdir(f"{scratch}/year=1970/month=01/day=01/hour=00/run=a/batch=3")
+
+
+def test_last_delivery_and_compaction(spark, scratch):
+    schema = "message_id string, question_id long, creation_date long, landed_at timestamp, position long"
+    early, late = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2)
+    rows = [("m1", 5, 0, early, 1), ("m2", 5, 60, early, 2), (None, 6, 0, early, 3)]
+    again = [("m1", 5, 0, late, 0), (None, 6, 0, late, 1)]
+    for run, part in (("a", rows), ("b", again)):
+        frame = spark.createDataFrame(part, schema)
+        files.write_hour_partitions(frame, f"{scratch}/hours", files.Batch(run, 0))
+        post = frame.select("message_id", F.struct("question_id").alias("post"), "landed_at", "position")
+        files.write_json_archive(post, f"{scratch}/json", files.Batch(run, 0))
+    latest = files.latest_objects(spark, f"{scratch}/hours", frame.schema).collect()
+    assert {(r["message_id"], r["question_id"], r["landed_at"]) for r in latest} == {
+        ("m1", 5, late), (None, 6, late)
+    }
+    archive = files.latest_archive(spark, f"{scratch}/json").collect()
+    assert sorted(str(r["message_id"]) for r in archive) == ["None", "None", "m1", "m2"]
+    files.compact_hours(spark, f"{scratch}/hours", f"{scratch}/compact", frame.schema)
+    assert files.read_hour_partitions(spark, f"{scratch}/compact", frame.schema).count() == 5
+    folder = f"{scratch}/compact/year=1970/month=01/day=01/hour=00"
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 1
+
+
+def test_results_of_a_repeated_run_replace_themselves(spark, scratch):
+    rows = spark.createDataFrame([("r1", "t", 1.0), ("r2", "t", 2.0)], "run_id string, table_name string, observed double")
+    files.store_results(rows, scratch)
+    files.store_results(rows.filter("run_id = 'r1'"), scratch)
+    files.store_results(rows.filter("run_id = 'r1'").withColumn("table_name", F.lit("u")), scratch)
+    assert spark.read.parquet(scratch).count() == 3
+
+
+def test_times_do_not_depend_on_the_zone(spark, scratch):
+    rows = spark.createDataFrame([(1704070800,), (-1,), (10**18,), (1704070800000,), (None,)], "t long")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        found = rows.select(hour_path(F.col("t")), epoch_day(F.col("t")).cast("string")).collect()
+        now = spark.range(1).select(utc_now()).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [tuple(r) for r in found] == [
+        ("year=2024/month=01/day=01/hour=01", "2024-01-01"),
+        ("year=1969/month=12/day=31/hour=23", "1969-12-31"),
+        (None, None),
+        (None, None),
+        (None, None),
+    ]
+    apart = datetime.datetime.fromisoformat(now) - datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    assert abs(apart.total_seconds()) < 60
 
 
 def test_json_archive_keeps_nulls_and_letters(spark, scratch):
@@ -87,8 +143,12 @@ def test_replace_table_refreshes_and_prunes(spark, scratch):
             F.lit("NEUTRAL").alias("sentiment"),
         )
         files.replace_table(rows, scratch, "day", "sentiment")
-    back = spark.read.parquet(scratch)
+    back = files.read_table(spark, scratch)
     assert back.count() == 3
+    broken = rows.withColumn("sentiment", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        files.replace_table(broken, scratch, "day", "sentiment")
+    assert files.read_table(spark, scratch).count() == 3
     chosen = back.filter("day = date'2024-01-02' AND sentiment = 'NEUTRAL'")
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan

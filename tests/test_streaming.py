@@ -5,7 +5,10 @@ from __future__ import annotations
 import base64
 import datetime
 import json
+import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from postloom.schema import STORED
@@ -71,22 +74,61 @@ def test_ingest_and_restart(spark, scratch):
 
 def test_batch_that_fails_is_run_again_once_only(spark, scratch):
     """The first attempt at a batch dies after its first store is written."""
-    from postloom.plans.landing import land, receive, stored
+    from postloom.plans.landing import land, receive, stored as kept
 
     good = {"question_id": 1, "creation_date": 0}
     second = {**good, "question_id": 2}
     add_lines(spark, f"{scratch}/topic", [envelope(1, good), envelope(2, second)])
-    batch = topics.read_topic(spark, f"{scratch}/topic")
-    files.write_json_archive(stored(receive(batch)), f"{scratch}/out/json", 0)
-    land(receive(batch), f"{scratch}/out", 0)
+    attempts = []
+
+    def write(batch, own):
+        attempts.append(own)
+        files.write_json_archive(kept(receive(batch)), f"{scratch}/out/json", own)
+        if len(attempts) == 1:
+            raise RuntimeError("lost")
+        land(receive(batch), f"{scratch}/out", own)
+
+    for attempt in range(2):
+        lines = topics.stream_topic(spark, f"{scratch}/topic", max_files=1)
+        query = ingest.run_batches(lines, write, f"{scratch}/checkpoint")
+        if attempt == 0:
+            with pytest.raises(StreamingQueryException, match="lost"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+    assert len(attempts) == 2 and attempts[0] == attempts[1]
     assert files.read_json_archive(spark, f"{scratch}/out/json").count() == 2
     assert files.read_appended(spark, f"{scratch}/out/table", STORED).count() == 2
 
 
+def test_a_second_checkpoint_destroys_nothing(spark, scratch):
+    good = {"question_id": 1, "creation_date": 0}
+    add_lines(spark, f"{scratch}/topic", [envelope(1, good)])
+    assert ingested(spark, scratch) == [1]
+    add_lines(spark, f"{scratch}/other", [envelope(2, {**good, "question_id": 2}), envelope(1, good)])
+    lines = topics.stream_topic(spark, f"{scratch}/other", max_files=1)
+    ingest.start_ingest(lines, f"{scratch}/out", f"{scratch}/second").awaitTermination()
+    table = files.read_appended(spark, f"{scratch}/out/table", STORED)
+    assert sorted(r["question_id"] for r in table.collect()) == [1, 1, 2]
+    latest = files.latest_archive(spark, f"{scratch}/out/json").collect()
+    assert sorted(r["message_id"] for r in latest) == ["m1", "m2"]
+
+
+def test_times_out_of_range_do_not_stop_the_stream(spark, scratch):
+    good = {"question_id": 1, "creation_date": 1763996420}
+    odd = [{**good, "creation_date": t} for t in (10**18, 1704067200000, -(10**18))]
+    add_lines(spark, f"{scratch}/topic", [envelope(i, r) for i, r in enumerate([good, *odd])])
+    assert ingested(spark, scratch) == [1]
+    letters = spark.read.parquet(f"{scratch}/out/dead_letters").collect()
+    assert {(r["message_id"], r["failed_stage"], r["error_reason"]) for r in letters} == {
+        (f"m{i}", "partition", "bad_creation_date") for i in (1, 2, 3)
+    }
+
+
 def test_routing(spark, scratch):
     add_lines(spark, f"{scratch}/topic", ['{"question_id": 1}', "bad", '{"question_id": null}'])
     for _ in range(2):
-        lines = topics.stream_topic(spark, f"{scratch}/topic").withColumn(
+        lines = topics.stream_topic(spark, f"{scratch}/topic", 4).withColumn(
             "message_id", F.md5("value")
         )
         ingest.start_routing(lines, f"{scratch}/out", f"{scratch}/checkpoint").awaitTermination()
@@ -130,6 +172,36 @@ def test_redelivery_within_the_watermark(spark, scratch):
     assert found == ["m1", "m2", "m3", "m4"]
 
 
+def test_messages_without_an_id_all_stay(spark, scratch):
+    rows = [(None, datetime.datetime(2024, 1, 1), f"v{i}") for i in range(3)]
+    rows += [("m1", datetime.datetime(2024, 1, 1), "x")] * 2
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{scratch}/topic")
+
+    def stream():
+        return spark.readStream.schema(SCHEMA).parquet(f"{scratch}/topic")
+
+    ingest.start_first_deliveries(stream(), f"{scratch}/out", f"{scratch}/c1").awaitTermination()
+    once = ingest.drop_redelivered(stream(), "1 day").writeStream.format("parquet")
+    once = once.option("checkpointLocation", f"{scratch}/c2").trigger(availableNow=True)
+    once.start(f"{scratch}/once").awaitTermination()
+    for path in ("out", "once"):
+        found = [r["message_id"] for r in spark.read.parquet(f"{scratch}/{path}").collect()]
+        assert sorted(map(str, found)) == ["None"] * 3 + ["m1"]
+
+
+def test_first_deliveries_write_few_files(spark, scratch):
+    rows = spark.range(1000).selectExpr(
+        "concat('m', id) AS message_id",
+        "timestamp_seconds(1704067200 + id % 30 * 86400) AS publish_ts",
+        "'v' AS value",
+    )
+    rows.repartition(16).write.parquet(f"{scratch}/topic")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{scratch}/topic")
+    ingest.start_first_deliveries(stream, f"{scratch}/out", f"{scratch}/c").awaitTermination()
+    written = sum(f.endswith(".parquet") for _, _, names in os.walk(f"{scratch}/out") for f in names)
+    assert written <= 60
+
+
 def test_first_deliveries_however_late(spark, scratch):
     def run():
         stream = (
