@@ -156,7 +156,8 @@ def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFra
     ``nodes`` has node, id, n, sketch (of ``width`` bytes) and component. Only pairs of
     different components are compared. Mode ``first`` gives each text its first
     partner, ``best`` each outside the node's largest component its most similar one,
-    and ``all`` every partner of those.
+    and ``all`` every partner of those; ``own`` then lists the nodes (tree, node) of
+    each text, and a pair is given by the first tree only that has it in one node.
     """
     spread = 4 * (width * similarity * (1 - similarity)) ** 0.5
     least = int(width * similarity - spread)
@@ -184,6 +185,13 @@ def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFra
             rows.column(c).to_numpy() for c in ("node", "id", "n", "component")
         )
         sketch = _table(rows.column("sketch").combine_chunks(), np.uint8, width)
+        if mode == "all":
+            trees = rows.column("tree").to_numpy()
+            own_nodes = rows.column("own").combine_chunks()
+            where = own_nodes.value_parent_indices().to_numpy()
+            listed = own_nodes.flatten()
+            by_tree = np.zeros((len(node), TREES), np.int64)
+            by_tree[where, listed.field("tree").to_numpy()] = listed.field("node").to_numpy()
         starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         lefts, rights = [], []
         for low, high in zip(starts, [*starts[1:], len(node)]):
@@ -198,6 +206,11 @@ def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFra
                 small = np.minimum(sizes[u], sizes[others])
                 fit = small >= similarity * np.maximum(sizes[u], sizes[others]) - 1e-9
                 others = others[fit & (component[others] != component[u])]
+                if mode == "all":
+                    once = (others > u) | (component[others] == names[counts.argmax()])
+                    before = by_tree[others, : trees[u]] == by_tree[u, : trees[u]]
+                    before &= by_tree[u, : trees[u]] != 0
+                    others = others[once & ~before.any(axis=1)]
                 agreed = (sketch[others] == sketch[u]).sum(axis=1)
                 if mode == "best" and len(agreed):
                     others, agreed = others[[agreed.argmax()]], agreed[[agreed.argmax()]]
@@ -212,7 +225,7 @@ def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFra
             )
 
     return (
-        nodes.select("node", "id", "n", "sketch", "component")
+        nodes.select("node", "id", "n", "sketch", "component", *(["tree", "own"] * (mode == "all")))
         .repartition(parallelism(nodes.sparkSession), "node")
         .sortWithinPartitions("node", "id")
         .mapInArrow(compare, "a long, b long")
@@ -274,6 +287,9 @@ def _class_links(docs: DataFrame, classes: DataFrame, words: int, similarity: fl
             if wide is None:
                 wide = stored(_wide(sets.join(mixed.select("id").distinct(), "id")), "path-wide")
             seen = mixed.where((F.col("work") <= WORK) | F.lit(level >= TOKENS - 1))
+            if mode == "all":
+                each = F.collect_list(F.struct("tree", "node")).alias("own")
+                seen = seen.join(seen.groupBy("id").agg(each), "id")
             seen = seen.join(classes.select("id", "n"), "id").join(wide, "id")
             pairs = stored(_near(seen, similarity, WIDE, mode), "path-pairs")
             links = links.union(confirm(pairs))
