@@ -34,9 +34,9 @@ REPEAT_WINDOW = 5
 DIMENSIONS = 5
 # Least standard deviation by statistic: most texts have no symbol and no repeated
 # line at all, so that an estimate alone would call any single one an outlier.
-FLOORS = [0.10, 0.08, 0.15, 0.15, 0.10]
-# Rejected beyond this squared distance; a normal vector gets there once in 10**9 texts.
-CUTOFF = 50.0
+FLOORS = [0.10, 0.06, 0.15, 0.15, 0.10]
+# Rejected beyond this squared distance: chi-squared of five dimensions at 0.9999.
+CUTOFF = 25.74
 SHARE = 0.75  # of a group's texts in the estimate
 STEPS = 4
 LEAST_TEXTS = 50
