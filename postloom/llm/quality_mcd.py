@@ -68,7 +68,10 @@ def text_counts(column: pa.Array) -> dict[str, np.ndarray]:
         starts = np.unique(np.concatenate([run.offsets[:-1], breaks + 1]))
         starts = starts[starts < len(run.data)]
         stops = np.unique(np.concatenate([run.offsets[1:], breaks]))
-        ends = stops[np.searchsorted(stops, starts)]
+        at = np.searchsorted(stops, starts)
+        # The end of the text before is not that of a text's first line.
+        at += (stops[at] == starts) & (run.data[starts] != 10)
+        ends = stops[at]
         text = np.searchsorted(run.offsets, starts, "right") - 1
         filled = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
         starts, ends, text = starts[filled], ends[filled], text[filled]
