@@ -11,6 +11,8 @@ from __future__ import annotations
 _BLANK_TITLE = "(' ' || chr(9) || ' ')"
 _BLANK_LINE = "(' ' || chr(9))"
 
+# Fixed values within: the patterns that clean titles, the limits of the engagement
+# classes (50 votes with 10 answers, 20, 0) and the seven rows of the rolling sum.
 _CTES = {
     "numbered": """
 SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
