@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from postloom.llm.tokens import Kept, KEPT_PARTS, PartEncoder, byte_letters, encoder, plain, ragged, text_runs
 
-RUN_BYTES = 1 << 23
+RUN_BYTES = 1 << 22
 _NONE = np.int64(1) << 40
 
 

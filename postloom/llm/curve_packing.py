@@ -28,7 +28,7 @@ LENGTH = 2_048
 END_ID = 1
 HASHED = 128  # dimensions of a document's vector
 DIMENSIONS, BITS = 4, 12  # of the curve
-RUN_BYTES = 1 << 23
+RUN_BYTES = 1 << 22
 _PROJECTION = np.random.default_rng(424_242).standard_normal((HASHED, DIMENSIONS))
 
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import regex
 
 # Encoded parts that a Python worker keeps; then it starts anew.
-KEPT_PARTS = 250_000
+KEPT_PARTS = 200_000
 
 # Bytes after a space at which a part may start. Left out are white space, bytes that
 # may start other white space, and "<", since a special token ends what is before it.

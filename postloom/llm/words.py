@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are worked through in runs of about so many bytes (one text at least).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
