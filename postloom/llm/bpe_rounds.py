@@ -79,6 +79,8 @@ class ByteBpe(PartEncoder):
                     if p
                     for w in (["\0" + p] if p in self.special else self._cut(p))
                 ]
+        if part.isascii() and part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
+            return [part]
         if plain(part):
             return self._WORDS.findall(part)
         byte_of = self.byte_of

@@ -1,8 +1,9 @@
 """Token ids of whole texts, with each distinct part of a text encoded once.
 
-Texts are cut at single spaces into parts that no token crosses (a part keeps
-the space before it). A part is compared as a string, not as a hash, and the ids
-of many texts are put together by places in one flat array.
+Texts are cut at single spaces and where ASCII letters begin or end, into parts
+that no token crosses (a word keeps the space before it where tokens do). A part is
+compared as a string, not as a hash, and the ids of many texts are put together by
+places in one flat array.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from postloom.llm.words import SPACES
+
 # Encoded parts that a Python worker keeps; then it starts anew.
 KEPT_PARTS = 200_000
 
@@ -23,6 +26,13 @@ KEPT_PARTS = 200_000
 _STARTS = np.ones(256, bool)
 _STARTS[[*range(0x00, 0x21), ord("<"), *range(0x7F, 0xC3), 0xE1, 0xE2, 0xE3]] = False
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+# Other ASCII bytes at which a run of letters may begin or end. Apostrophes are part
+# of tokens, and bars of special ones.
+_OTHER = np.zeros(256, bool)
+_OTHER[[b for b in range(0x80) if not _LETTER[b] and chr(b) not in "'|"]] = True
+
 # Letters, digits and signs whose handling is alike in all Unicode versions.
 _PLAIN = regex.compile("[\t\n\r\x20-\x7e¡-¬®-įı-ž]*")
 
@@ -89,6 +99,14 @@ class PartEncoder:
         """Ids of distinct parts in a row, and the number of each."""
         raise NotImplementedError
 
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """Whether a part may start at each byte but the first."""
+        before, after = data[:-1], data[1:]
+        edge = _LETTER[before] & _OTHER[after]
+        edge |= _OTHER[before] & ~SPACES[before] & _LETTER[after]
+        edge[:-1] |= (data[1:-1] == 0x20) & _STARTS[data[2:]]
+        return edge
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of each; a null counts as empty."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -100,8 +118,11 @@ class PartEncoder:
         size = int(bounds[-1] - bounds[0])
         data = np.frombuffer(buffers[2] or b"", np.uint8)[bounds[0] : bounds[0] + size]
         bounds = bounds - bounds[0]
-        starts = np.flatnonzero((data[:-1] == 0x20) & _STARTS[data[1:]]) if size else []
-        offsets = np.unique(np.concatenate([starts, bounds]).astype(np.int64))
+        edge = np.zeros(size + 1, bool)
+        if size > 1:
+            edge[1:-1] = self.cuts(data)
+        edge[bounds] = True
+        offsets = np.flatnonzero(edge)
         parts = pa.Array.from_buffers(
             pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]
         ).dictionary_encode()
@@ -142,12 +163,25 @@ class LibraryWords(PartEncoder):
         self.letters = byte_letters()
         self.words = Kept()
 
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """Whether a part may start at each byte but the first; spaces stay apart."""
+        before, after = data[:-1], data[1:]
+        edge = _LETTER[before] & _OTHER[after]
+        edge |= _OTHER[before] & _LETTER[after]
+        edge[:-1] |= (data[1:-1] == 0x20) & _STARTS[data[2:]] & ~_LETTER[data[2:]]
+        return edge
+
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct parts in a row, and the number of each."""
         if len(self.words.places) > KEPT_PARTS:
             self.words.forget()
         found = [
-            self._WORDS.findall(p.lower()) if plain(p) and "<|" not in p else None for p in parts
+            [p.lower()]
+            if p.isascii() and p.isalpha()
+            else self._WORDS.findall(p.lower())
+            if plain(p) and "<|" not in p
+            else None
+            for p in parts
         ]
         whole = [p for p, words in zip(parts, found) if words is None]
         # Parts that take the whole library are kept under a name no word can have.
