@@ -26,7 +26,7 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """The rows of ``frame``, written once below ``spark.checkpoint.dir`` and reread."""
     spark = frame.sparkSession
     path = scratch_path(spark, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
