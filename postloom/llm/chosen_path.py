@@ -6,12 +6,15 @@ at each level a tree selects one minwise token of a class, and classes with the
 same tokens so far share a node. A small node is compared exhaustively, a large
 one branches again. A node that stays large at the last level holds texts that
 agree on many tokens; its members are compared with its first one, and if that
-leaves it in more than one component, its trees go on branching from there. Two
-texts of similarity 0.8 part at a level with a chance of a fifth, so sixteen
-trees miss a link that is decided at level 3 once in 70,000 times.
-
-Candidates are confirmed on full sets of 64-bit shingle hashes. Since only
-components are asked for, candidates within one component are passed over.
+leaves it in more than one component, those outside its largest component are
+compared with all of it, however large it is: in blocks of bounded size, which
+many tasks share. Two texts of similarity 0.8 part at a level with a chance of a
+fifth, so sixteen trees miss a link that is decided at level 3 once in 70,000
+times, and one that is decided at level 4 once in 5,000.
+
+Candidates are confirmed on full sets of 64-bit shingle hashes: those of nodes
+with much to compare within the block, others by a join. Since only components are
+asked for, candidates within one component are passed over.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.llm.components import components
@@ -30,14 +33,16 @@ from postloom.llm.words import _power, grams, hashes, mix, slices
 TOKENS = 64  # minwise tokens of a set
 WIDE = 512  # of a set that is compared closely
 TREES = 16
-LEVELS = 4  # between two confirmations
+LEVELS = 4
 LEAF = 32  # largest node that is small
-WORK = 1 << 20  # most comparisons in one node
+WORK = 1 << 20  # comparisons in one node beyond which blocks hold full sets
+CHUNK, CHUNK_SETS = 1_024, 1 << 21  # texts and shingles of either side of a block, about
 
 _FACTORS = np.random.default_rng(7_031).integers(0, 1 << 63, WIDE, np.uint64) * np.uint64(
     2
 ) + np.uint64(1)
 _POSITION = 0x2545F4914F6CDD1D
+_STEP = 1 << 30  # more than chunks of a node
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[list[np.ndarray]]:
@@ -155,13 +160,17 @@ def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFra
 
     ``nodes`` has node, id, n, sketch (of ``width`` bytes) and component. Only pairs of
     different components are compared. Mode ``first`` gives each text its first
-    partner, ``best`` each outside the node's largest component its most similar one,
-    and ``all`` every partner of those; ``own`` then lists the nodes (tree, node) of
-    each text, and a pair is given by the first tree only that has it in one node.
+    partner. The other modes take the rows of ``_blocks``: ``best`` gives each text
+    outside the node's largest component its most similar one, and ``all`` every partner
+    of those; ``own`` then lists the nodes (tree, node) of each text, and a pair is given
+    by the first tree only that has it in one node. ``exact`` is ``all`` with the full
+    sets (hashes) at hand: it gives the pairs that have the similarity.
     """
     spread = 4 * (width * similarity * (1 - similarity)) ** 0.5
     least = int(width * similarity - spread)
+    percent = round(100 * similarity)
     first = mode == "first"
+    whole = mode in ("all", "exact")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -171,68 +180,133 @@ def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFra
             rows = pa.Table.from_batches([batch])
             if rest is not None:
                 rows = pa.concat_tables([rest, rows])
-            node = rows.column("node").to_numpy()
-            last = int(np.searchsorted(node, node[-1]))
-            yield from pairs_of(rows.slice(0, last))
-            rest = rows.slice(last)
+            starts = starts_of(rows)
+            for low, high in zip(starts, starts[1:]):
+                yield from pairs_of(rows.slice(low, high - low))
+            rest = rows.slice(starts[-1])
         if rest is not None:
             yield from pairs_of(rest)
 
+    def starts_of(rows: pa.Table) -> np.ndarray:
+        keys = np.stack([rows.column(c).to_numpy() for c in ("node", "block")])
+        change = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
+        return np.flatnonzero(np.concatenate([[True], change]))
+
     def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """The pairs of one block."""
         if rows.num_rows < 2:
             return
-        node, ids, sizes, component = (
-            rows.column(c).to_numpy() for c in ("node", "id", "n", "component")
-        )
+        rows = rows.combine_chunks()
+        ids, sizes, component = (rows.column(c).to_numpy() for c in ("id", "n", "component"))
+        seen = np.arange(len(ids))
+        if first:
+            outside = seen
+        else:
+            part, block = rows.column("part").to_numpy(), rows.column("block")[0].as_py()
+            home = part < 0
+            outside = seen[~home]
+        if not len(outside):
+            return
         sketch = _table(rows.column("sketch").combine_chunks(), np.uint8, width)
-        if mode == "all":
+        if whole:
             trees = rows.column("tree").to_numpy()
             own_nodes = rows.column("own").combine_chunks()
             where = own_nodes.value_parent_indices().to_numpy()
             listed = own_nodes.flatten()
-            by_tree = np.zeros((len(node), TREES), np.int64)
+            by_tree = np.zeros((len(ids), TREES), np.int64)
             by_tree[where, listed.field("tree").to_numpy()] = listed.field("node").to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-        lefts, rights = [], []
-        for low, high in zip(starts, [*starts[1:], len(node)]):
-            own = component[low:high]
-            names, counts = np.unique(own, return_counts=True)
-            if len(names) == 1:
-                continue
-            seen = np.arange(low, high)
-            outside = seen if first else seen[own != names[counts.argmax()]]
-            for u in outside:
-                others = seen[:u - low] if first else seen
-                small = np.minimum(sizes[u], sizes[others])
-                fit = small >= similarity * np.maximum(sizes[u], sizes[others]) - 1e-9
-                others = others[fit & (component[others] != component[u])]
-                if mode == "all":
-                    once = (others > u) | (component[others] == names[counts.argmax()])
-                    before = by_tree[others, : trees[u]] == by_tree[u, : trees[u]]
-                    before &= by_tree[u, : trees[u]] != 0
-                    others = others[once & ~before.any(axis=1)]
-                agreed = (sketch[others] == sketch[u]).sum(axis=1)
-                if mode == "best" and len(agreed):
-                    others, agreed = others[[agreed.argmax()]], agreed[[agreed.argmax()]]
-                others = others[agreed >= least]
-                others = others[:1] if first else others
-                lefts.append(ids[others])
-                rights.append(np.full(len(others), ids[u]))
-        if lefts:
-            a, b = np.concatenate(lefts), np.concatenate(rights)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-            )
+        if mode == "exact":
+            flat = [np.frombuffer(h.as_buffer(), np.uint64) for h in rows.column("hashes")]
+            upto = np.cumsum([0, *(len(h) for h in flat)])
+            names, codes = np.unique(np.concatenate(flat), return_inverse=True)
+            held = np.zeros(len(names), bool)
+        lefts, rights, counts = [], [], []
+        for u in outside:
+            if first:
+                others = seen[:u]
+            elif block >= 0:
+                others = seen if block % _STEP == 0 else seen[home]
+            else:
+                others = seen[part != part[u]]
+            small = np.minimum(sizes[u], sizes[others])
+            fit = small >= similarity * np.maximum(sizes[u], sizes[others]) - 1e-9
+            others = others[fit & (component[others] != component[u])]
+            if whole:
+                once = (others > u) | home[others]
+                before = by_tree[others, : trees[u]] == by_tree[u, : trees[u]]
+                before &= by_tree[u, : trees[u]] != 0
+                others = others[once & ~before.any(axis=1)]
+            agreed = (sketch[others] == sketch[u]).sum(axis=1)
+            if mode == "best" and len(agreed):
+                others, agreed = others[[agreed.argmax()]], agreed[[agreed.argmax()]]
+            others, agreed = others[agreed >= least], agreed[agreed >= least]
+            if mode == "exact" and len(others):
+                mine = codes[upto[u] : upto[u + 1]]
+                held[mine] = True
+                both = np.array([np.count_nonzero(held[codes[upto[o] : upto[o + 1]]]) for o in others])
+                held[mine] = False
+                alike = 100 * both >= percent * (sizes[u] + sizes[others] - both)
+                others, agreed = others[alike], agreed[alike]
+            if first:
+                others, agreed = others[:1], agreed[:1]
+            lefts.append(np.full(len(others), ids[u]))
+            rights.append(ids[others])
+            counts.append(agreed.astype(np.int64))
+        a, b = np.concatenate(lefts), np.concatenate(rights)
+        nodes_of = pa.array(np.full(len(a), rows.column("node")[0].as_py(), np.int64))
+        columns = [nodes_of, pa.array(a), pa.array(b), pa.array(np.concatenate(counts))]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "u", "v", "agreed"])
+
+    columns = ["node", "id", "n", "sketch", "component"]
+    if first:
+        blocks = nodes.select(*columns, F.lit(0).cast("long").alias("block"))
+    else:
+        columns += ["block", "part", *(["tree", "own"] * whole), *(["hashes"] * (mode == "exact"))]
+        blocks = _blocks(nodes).select(*columns)
+    found = (
+        blocks.repartition(parallelism(nodes.sparkSession), "node", "block")
+        .sortWithinPartitions("node", "block", "id")
+        .mapInArrow(compare, "node long, u long, v long, agreed long")
+    )
+    if mode == "best":
+        most = F.max(F.struct("agreed", "v")).alias("most")
+        found = found.groupBy("node", "u").agg(most).select("u", F.col("most.v").alias("v"))
+    return found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+
+
+def _blocks(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with block and part: each row once for every block that it belongs to.
 
+    ``nodes`` has id, component, home (the node's largest component), inside and
+    outside: the numbers of chunks of either. Block ``i * _STEP + j`` joins chunk i of the
+    members outside with chunk j of those inside, and for j = 0 also the chunk i with
+    itself; the block below zero of i < k joins two chunks of the members outside.
+    Part is the chunk of a member outside, and -1 of one inside.
+    """
+    outer = F.col("component") != F.col("home")
+    chunks = F.when(outer, F.col("outside")).otherwise(F.col("inside"))
+    chunk = F.pmod(F.xxhash64(F.lit(11), "id"), chunks)
+    step = F.lit(_STEP)
+
+    def with_other(k):
+        low, high = F.least("chunk", k), F.greatest("chunk", k)
+        return -(low * step + high)
+
+    inner = F.transform(_upto("outside"), lambda i: i * step + F.col("chunk"))
+    outer_blocks = F.concat(
+        F.transform(_upto("inside"), lambda j: F.col("chunk") * step + j),
+        F.transform(F.filter(_upto("outside"), lambda k: k != F.col("chunk")), with_other),
+    )
     return (
-        nodes.select("node", "id", "n", "sketch", "component", *(["tree", "own"] * (mode == "all")))
-        .repartition(parallelism(nodes.sparkSession), "node")
-        .sortWithinPartitions("node", "id")
-        .mapInArrow(compare, "a long, b long")
-        .distinct()
+        nodes.withColumns({"chunk": chunk, "part": F.when(outer, chunk).otherwise(F.lit(-1).cast("long"))})
+        .withColumn("block", F.explode(F.when(F.col("part") < 0, inner).otherwise(outer_blocks)))
     )
 
 
+def _upto(count: str) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets have that similarity."""
 
@@ -265,56 +339,68 @@ def _class_links(docs: DataFrame, classes: DataFrame, words: int, similarity: fl
 
     opened = classes.withColumn("trees", F.array(*(F.lit(t) for t in range(TREES))))
     features = classes.select("id", "n", "sketch")
-    sets = links = labels = None
-    level = 0
-    while True:
-        last = min(level + LEVELS, TOKENS) - 1
-        nodes, large, level = _descended(classes, opened, level, last)
-        if labels is None:
-            one = nodes.where(F.col("size") <= LEAF).join(features, "id")
-            near = _near(one.withColumn("component", F.col("id")), similarity, TOKENS, "first")
-            stars = large.where(F.col("id") != F.col("pivot")).select(
-                F.col("pivot").alias("a"), F.col("id").alias("b")
-            )
-            pairs = stored(near.union(stars).distinct(), "path-pairs")
-            # All texts that any later pair can hold are in these nodes.
-            sets = stored(_sets(docs, nodes.select("id").distinct(), words), "path-sets")
-            links = confirm(pairs)
-            labels = stored(components(links), "path-labels")
-        wide = None
-        for mode in ("best", "all"):
-            mixed = stored(_mixed(nodes, labels), "path-mixed")
-            if wide is None:
-                wide = stored(_wide(sets.join(mixed.select("id").distinct(), "id")), "path-wide")
-            seen = mixed.where((F.col("work") <= WORK) | F.lit(level >= TOKENS - 1))
-            if mode == "all":
-                each = F.collect_list(F.struct("tree", "node")).alias("own")
-                seen = seen.join(seen.groupBy("id").agg(each), "id")
-            seen = seen.join(classes.select("id", "n"), "id").join(wide, "id")
-            pairs = stored(_near(seen, similarity, WIDE, mode), "path-pairs")
-            links = links.union(confirm(pairs))
-            labels = stored(components(links), "path-labels")
-        again = mixed.where(F.col("work") > WORK)
-        level += 1
-        if level >= TOKENS or again.isEmpty():
-            return labels
-        trees = again.groupBy("id").agg(F.collect_set("tree").alias("trees"))
-        opened = classes.join(stored(trees, "path-open"), "id")
-
-
-def _mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """id, tree, node, component and work of the nodes with several components."""
+    nodes, large = _descended(classes, opened)
+    one = nodes.where(F.col("size") <= LEAF).join(features, "id")
+    near = _near(one.withColumn("component", F.col("id")), similarity, TOKENS, "first")
+    stars = large.where(F.col("id") != F.col("pivot")).select(
+        F.col("pivot").alias("a"), F.col("id").alias("b")
+    )
+    pairs = stored(near.union(stars).distinct(), "path-pairs")
+    # All texts that any later pair can hold are in these nodes.
+    sets = stored(_sets(docs, nodes.select("id").distinct(), words), "path-sets")
+    links = confirm(pairs)
+    labels = stored(components(links), "path-labels")
+    mixed = stored(_mixed(nodes, labels, classes), "path-mixed")
+    wide = stored(_wide(sets.join(mixed.select("id").distinct(), "id")), "path-wide")
+    pairs = stored(_near(mixed.join(wide, "id"), similarity, WIDE, "best"), "path-pairs")
+    links = links.union(confirm(pairs))
+    labels = stored(components(links), "path-labels")
+    mixed = stored(_mixed(nodes, labels, classes), "path-mixed")
+    each = F.collect_list(F.struct("tree", "node")).alias("own")
+    seen = mixed.join(mixed.groupBy("id").agg(each), "id").join(wide, "id")
+    much = seen.where(F.col("work") > WORK).join(sets, "id")
+    links = links.union(stored(_near(much, similarity, WIDE, "exact"), "path-links"))
+    pairs = stored(_near(seen.where(F.col("work") <= WORK), similarity, WIDE, "all"), "path-pairs")
+    return stored(components(links.union(confirm(pairs))), "path-labels")
+
+
+def _mixed(nodes: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """The nodes with several components: id, n, tree, node, component and what is to do.
+
+    That is work (comparisons), home (the largest component), and inside and outside:
+    the numbers of chunks of its members and of the others.
+    """
     named = nodes.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    named = stored(named, "path-named")
+    named = stored(named.join(classes.select("id", "n"), "id"), "path-named")
     apart = (
         named.groupBy("node", "component")
-        .agg(F.count("*").alias("count"))
+        .agg(F.count("*").alias("count"), F.sum("n").alias("shingles"))
         .groupBy("node")
-        .agg(F.sum("count").alias("all"), F.max("count").alias("most"))
-        .where(F.col("all") > F.col("most"))
-        .select("node", ((F.col("all") - F.col("most")) * F.col("all")).alias("work"))
+        .agg(
+            F.sum("count").alias("all"),
+            F.sum("shingles").alias("shingles"),
+            F.max(F.struct("count", "shingles", "component")).alias("most"),
+        )
+        .withColumn("others", F.col("all") - F.col("most.count"))
+        .where(F.col("others") > 0)
+        .withColumn("work", F.col("others") * F.col("all"))
+        .select(
+            "node",
+            "work",
+            F.col("most.component").alias("home"),
+            _chunks(F.col("most.count"), F.col("most.shingles")).alias("inside"),
+            _chunks(F.col("others"), F.col("shingles") - F.col("most.shingles")).alias("outside"),
+        )
     )
-    return named.join(apart, "node").select("id", "tree", "node", "component", "work")
+    return named.join(apart, "node").select(
+        "id", "n", "tree", "node", "component", "work", "home", "inside", "outside"
+    )
+
+
+def _chunks(count: Column, shingles: Column) -> Column:
+    """Number of chunks that so many texts with so many shingles are dealt over."""
+    cut = F.greatest(F.ceil(count / CHUNK), F.ceil(shingles / CHUNK_SETS))
+    return F.when(F.col("work") > WORK, cut).otherwise(1).cast("long")
 
 
 def _wide(sets: DataFrame) -> DataFrame:
@@ -334,16 +420,13 @@ def _wide(sets: DataFrame) -> DataFrame:
     return sets.select("id", "hashes").mapInArrow(sketch, "id long, sketch binary")
 
 
-def _descended(
-    classes: DataFrame, opened: DataFrame, level: int, last: int
-) -> tuple[DataFrame, DataFrame, int]:
-    """Small nodes met from ``level`` to ``last`` and large ones of the last level.
+def _descended(classes: DataFrame, opened: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Small nodes met on all levels and large ones of the last level.
 
-    Gives the rows (id, tree, node, size, pivot) of both, of the large ones alone, and
-    the level that was reached.
+    Gives the rows (id, tree, node, size, pivot) of both, and of the large ones alone.
     """
     nodes = None
-    while True:
+    for level in range(LEVELS):
         keyed = stored(_branched(opened, level), "path-nodes")
         sizes = stored(
             keyed.groupBy("node")
@@ -353,14 +436,14 @@ def _descended(
         )
         shared = stored(keyed.join(sizes, "node"), "path-shared")
         large = shared.where(F.col("size") > LEAF)
-        done = level == last or large.isEmpty()
+        done = level == LEVELS - 1 or large.isEmpty()
         met = shared if done else shared.where(F.col("size") <= LEAF)
         nodes = met if nodes is None else nodes.union(met)
         if done:
-            return nodes, large, level
-        level += 1
+            break
         trees = large.groupBy("id").agg(F.collect_list("tree").alias("trees"))
         opened = classes.join(trees, "id")
+    return nodes, large
 
 
 def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:

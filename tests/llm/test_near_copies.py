@@ -73,3 +73,15 @@ def test_components(spark):
         x: root(x) for x in parent if any(x in p and p[0] != p[1] for p in links)
     }
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_large_family_without_links_but_few(frame):
+    """2,800 texts, mutually 0.75 alike; forty of them have one partner at 0.806."""
+    stem = " ".join(f"s{i}" for i in range(99))
+    tails = [[f"t{doc}x{i}" for i in range(16)] for doc in range(2_800)]
+    linked = {2_760 + i: 50 * i for i in range(40)}
+    for doc, partner in linked.items():
+        tails[doc][:4] = tails[partner][:4]
+    rows = [(doc, f"{stem} {' '.join(tail)}") for doc, tail in enumerate(tails)]
+    found = {r.doc_id: r.component_id for r in near_copies(frame(rows), 4).collect()}
+    assert found == {doc: linked.get(doc, doc) for doc, _ in rows}
