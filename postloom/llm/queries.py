@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from postloom.llm import (
     quality_mcd,
     sparse_suffix,
     string_kernel,
+    suffix_runs,
+    vertical_scan,
 )
 from postloom.llm.storage import share_package, table
 
@@ -78,6 +82,33 @@ def op10_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sparse_suffix.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def planted_order(doc_id: int | None, count: int) -> np.ndarray | None:
+    """Word at each place of the texts that the contract of op12 makes periodic."""
+    if doc_id is None or not count:
+        return None
+    drawn = zlib.crc32(str(doc_id).encode())
+    if drawn % 10:
+        return None
+    group = drawn // 10
+    first = group % count
+    period = 1 + (count - first) // (3 + group % 8)
+    places = np.arange(count)
+    return np.where(places < first, places, first + (places - first) % period)
+
+
+def op12_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, some made periodic first."""
+    docs = table(spark, sf_dir, "documents")
+    return suffix_runs.run_digests(suffix_runs.periodic_runs(docs, arrange=planted_order))
+
+
+def op13_vertical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each vector whose vec_id is divisible by 50."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return vertical_scan.hard_negatives(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the pipeline over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -94,6 +125,8 @@ _BUILDERS = [
     op8_host_graph,
     op9_chosen_path,
     op10_sparse_suffix,
+    op12_suffix_runs,
+    op13_vertical_scan,
     pipeline,
 ]
 
