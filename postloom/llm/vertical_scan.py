@@ -24,7 +24,7 @@ from postloom.llm.storage import stored
 
 BLOCK = 4_096  # vectors of a block, about
 SLAB = 1_024  # anchors that meet a block in one group, about
-COLUMNS = 8  # columns read between two looks at the bitmap
+COLUMNS = 16  # columns read between two looks at the bitmap
 SCALE = 256
 POSITIVES, NEGATIVES = 5, 3
 # Integer components of this size or more would not add up in 64 bits.
@@ -93,56 +93,76 @@ class _Block:
         self.labels = rows.column("label").to_numpy()
         self.columns = np.ascontiguousarray(_matrix(rows.column("vector")).T)
         self.low, self.high = self.columns.min(axis=1), self.columns.max(axis=1)
-
-    def steps(self, anchor: np.ndarray):
-        """Columns in the anchor's order by the few, with the least and most the rest adds."""
+        self.most = int(np.abs(self.columns).max())
+        self._doubles = None
+
+    def numbers(self, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Columns and anchor as doubles where all sums are whole numbers below 2**53."""
+        if self.most * int(np.abs(anchor).max()) * len(anchor) >= 1 << 53:
+            return self.columns, anchor
+        if self._doubles is None:
+            self._doubles = self.columns.astype(np.float64)
+        return self._doubles, anchor.astype(np.float64)
+
+    def scan(self, anchor: np.ndarray, start: np.ndarray, look) -> tuple[np.ndarray, np.ndarray]:
+        """Places and whole scores of the rows that are left of the bitmap ``start``.
+
+        Columns are read in the anchor's order, some at a time. After each step ``look`` has
+        the scores so far and the least and most that the rest can add, and says which
+        rows stay. Rows are moved together whenever half of them are gone.
+        """
+        columns, weights = self.numbers(anchor)
         order = np.argsort(-np.abs(anchor), kind="stable")
         ends = np.sort(np.stack([anchor * self.low, anchor * self.high]), axis=0)[:, order]
         rest = np.zeros((2, len(order) + 1), np.int64)
         rest[:, :-1] = np.cumsum(ends[:, ::-1], axis=1)[:, ::-1]
+        left = np.arange(len(self.ids))
+        alive, score = start.copy(), np.zeros(len(left), columns.dtype)
         for at in range(0, len(order), COLUMNS):
+            count = np.count_nonzero(alive)
+            if not count:
+                break
+            if 2 * count <= len(alive):
+                columns, left, score = columns[:, alive], left[alive], score[alive]
+                alive = np.ones(count, bool)
             taken = order[at : at + COLUMNS]
-            yield taken, *rest[:, at + len(taken)]
+            score += weights[taken] @ columns[taken]
+            alive &= look(score, alive, *rest[:, at + len(taken)])
+        return left[alive], score[alive].astype(np.int64)
 
     def best_alike(self, anchor_id, label, anchor, count) -> tuple[np.ndarray, np.ndarray]:
         """Places and whole scores of the rows of a label that may be among the best."""
-        left = np.flatnonzero((self.labels == label) & (self.ids != anchor_id))
-        score = np.zeros(len(left), np.int64)
-        for taken, least, most in self.steps(anchor):
-            if not len(left):
-                break
-            score += anchor[taken] @ self.columns[taken[:, None], left]
-            if len(left) > count:
-                # The count-th best of what each row reaches at least.
-                bar = np.partition(score, len(left) - count)[len(left) - count] + least
-                stay = score + most >= bar
-                if not stay.all():
-                    left, score = left[stay], score[stay]
-        return left, score
+
+        def look(score, alive, least, most):
+            # The count-th best of what each row reaches at least.
+            reached = score[alive]
+            if len(reached) <= count:
+                return alive
+            at = len(reached) - count
+            return score + most >= np.partition(reached, at)[at] + least
+
+        return self.scan(anchor, (self.labels == label) & (self.ids != anchor_id), look)
 
     def within(self, label, anchor, low, high, count) -> tuple[np.ndarray, np.ndarray]:
         """Places and whole scores of rows of other labels that may be the best of a window.
 
         ``low`` and ``high`` have one window each.
         """
-        left = np.flatnonzero(self.labels != label)
-        score = np.zeros(len(left), np.int64)
         bar = low.copy()
-        for taken, least, most in self.steps(anchor):
-            if not len(left):
-                break
-            score += anchor[taken] @ self.columns[taken[:, None], left]
-            alive = np.zeros(len(left), bool)
-            for w in range(len(low)):
+
+        def look(score, alive, least, most):
+            reached = np.sort(score[alive])
+            stay = np.zeros(len(score), bool)
+            for w in range(len(bar)):
                 # Rows whose interval lies within the window set the bar of this window.
-                inside = score[(score + least >= low[w]) & (score + most <= high[w])]
-                if len(inside) >= count:
-                    at = len(inside) - count
-                    bar[w] = max(bar[w], np.partition(inside, at)[at] + least)
-                alive |= (score + most >= bar[w]) & (score + least <= high[w])
-            if not alive.all():
-                left, score = left[alive], score[alive]
-        return left, score
+                first = np.searchsorted(reached, low[w] - least, "left")
+                last = np.searchsorted(reached, high[w] - most, "right")
+                if last - first >= count:
+                    bar[w] = max(bar[w], int(reached[last - count]) + least)
+                stay |= (score >= bar[w] - most) & (score <= high[w] - least)
+            return stay
+
+        return self.scan(anchor, self.labels != label, look)
 
 
 def _best(frame: DataFrame, keys: list[str], other: str, count: int) -> DataFrame:
