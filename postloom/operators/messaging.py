@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -11,12 +12,25 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Subscription:
-    """A named view of a topic: from when on, and which attributes match."""
+    """A named view of a topic: from when on, and which attributes match.
+
+    ``created`` is an ISO time, in UTC unless it names its own offset.
+    """
 
     name: str
     created: str | None = None
     attributes: dict[str, str] = field(default_factory=dict)
 
+    def start(self) -> Column | None:
+        """The start as a timestamp, whatever the session's zone; None without one."""
+        if self.created is None:
+            return None
+        at = datetime.datetime.fromisoformat(self.created)
+        if at.tzinfo is None:
+            at = at.replace(tzinfo=datetime.timezone.utc)
+        zero = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+        return F.timestamp_micros(F.lit((at - zero) // datetime.timedelta(microseconds=1)))
+
     def accepts(self) -> Column:
         """Predicate over ``publish_ts`` and ``attributes``."""
         tests = [
@@ -24,9 +38,8 @@ class Subscription:
             for key, value in self.attributes.items()
         ]
         if self.created is not None:
-            tests.append(
-                F.col("publish_ts") >= F.lit(self.created).cast("timestamp")
-            )
+            since = F.col("publish_ts") >= self.start()
+            tests.append(F.coalesce(since, F.lit(False)))
         return reduce(Column.__and__, tests, F.lit(True))
 
 

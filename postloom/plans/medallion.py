@@ -118,9 +118,13 @@ def previous_count() -> Column:
 
 def gold(silver_rows: DataFrame) -> DataFrame:
     """Daily figures with rolling sum, previous day and change."""
+    return gold_of(daily(silver_rows))
+
+
+def gold_of(daily_rows: DataFrame) -> DataFrame:
+    """The same from daily figures."""
     return (
-        daily(silver_rows)
-        .withColumns(
+        daily_rows.withColumns(
             {
                 "posts_rolling_7d": rolling_rows(),
                 "prev_day_posts": previous_count(),

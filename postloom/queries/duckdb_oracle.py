@@ -753,6 +753,26 @@ UNION ALL SELECT 'dead_letters',
     CASE WHEN k NOT IN (60, 61, 62) THEN message_id END,
     envelope, failed_stage || '/' || failure
 FROM received WHERE failed_stage IS NOT NULL""",
+    ),
+    "stream_object_latest": _with(
+        "captures",
+        f"""SELECT {_HOUR_PATH} AS hour_path, question_id,
+    arg_max(message_id, seq) AS message_id,
+    list(score ORDER BY seq DESC)[1] AS score
+FROM captures WHERE creation_date IS NOT NULL GROUP BY 1, 2""",
+    ),
+    "gold_incremental": _with("gold", "SELECT * FROM gold"),
+    "authors_by_range": _with(
+        "silver",
+        """WITH days AS (
+    SELECT DISTINCT CAST(created_ts AS DATE) AS day FROM silver WHERE created_ts IS NOT NULL
+), ranges AS (
+    SELECT CAST(day - INTERVAL 6 DAYS AS DATE) AS first_day, day AS last_day FROM days
+    UNION SELECT min(day), max(day) FROM days
+)
+SELECT first_day, last_day, count(DISTINCT author) AS authors
+FROM ranges JOIN silver ON CAST(created_ts AS DATE) BETWEEN first_day AND last_day
+GROUP BY 1, 2""",
     ),
     "stream_archive_latest": _with(
         "received",
@@ -775,3 +795,10 @@ FROM checked GROUP BY 1, 2""",
         "messages", "SELECT message_id, value FROM messages"
     ),
 }
+
+# Other ways to the same rows.
+ORACLE |= {
+    "stream_ingest_committed": ORACLE["stream_ingest"],
+    "stream_fanout": ORACLE["subscription_fanout"],
+    "stream_subscription_start": ORACLE["subscription_start"],
+}

@@ -3,21 +3,30 @@
 from __future__ import annotations
 
 import datetime
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom import functions as pf
-from postloom.operators import contract, messaging, newest, profiling, quality, ranking
+from postloom.operators import (
+    contract,
+    distinct,
+    messaging,
+    newest,
+    profiling,
+    quality,
+    ranking,
+)
 from postloom.operators.envelope import open_envelopes
-from postloom.plans import landing, medallion, serving
+from postloom.plans import incremental, landing, medallion, serving
 from postloom.plans.checkpoint import run_checkpoint
 from postloom.schema import POST, STORED
 from postloom.session import scratch_path
-from postloom.sinks import files
+from postloom.sinks import commits, files, objects
 from postloom.sources import event_posts, tables, topics
-from postloom.streaming import ingest
+from postloom.streaming import ingest, subscriptions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -594,6 +603,135 @@ def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query
+def stream_ingest_committed(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "committed")
+    out = f"{path}/out"
+    files.write_topic(event_posts.envelopes(spark, root), f"{path}/topic")
+    topic = topics.read_topic(spark, f"{path}/topic")
+    # A batch of another run reaches two stores and dies before its commit.
+    lost, own = landing.stored(landing.receive(topic)), files.Batch("lost", 0)
+    files.write_json_archive(lost, f"{out}/json", own)
+    flat = lost.select("message_id", "post.*", "landed_at", "position")
+    files.append_table(flat, f"{out}/table", own)
+    lines = topics.stream_topic(spark, f"{path}/topic", max_files=16)
+    ingest.start_committed_ingest(lines, out, f"{path}/checkpoint").awaitTermination()
+
+    def rows(store: str, content: str, place: Column) -> DataFrame:
+        return commits.read_committed(spark, out, store).select(
+            F.lit(store).alias("store"),
+            "message_id",
+            F.col(content).alias("content"),
+            place.alias("place"),
+        )
+
+    return (
+        rows("json", "json", F.lit("json"))
+        .unionByName(rows("parquet", "title", F.concat_ws("-", "year", "month", "day", "hour")))
+        .unionByName(rows("table", "title", F.lit("table")))
+        .unionByName(rows("dead_letters", "raw", F.concat_ws("/", "failed_stage", "error_reason")))
+    )
+
+
+def _batches_by_time(spark: SparkSession, rows: DataFrame, path: str, files_of: int) -> DataFrame:
+    """A stream of rows in order of arrival, one file a micro-batch."""
+    dealt = rows.repartitionByRange(files_of, "seq").sortWithinPartitions("seq")
+    dealt.write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query
+def stream_object_latest(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "objects")
+    fields = ["seq", "question_id", "message_id", "score", "creation_date"]
+    rows = event_posts.captures(spark, root).select(*fields)
+    stream = _batches_by_time(spark, rows, f"{path}/topic", 3)
+    ingest.run_batches(
+        stream,
+        lambda batch, own: objects.upsert_objects(batch, f"{path}/objects", ("seq",)),
+        f"{path}/checkpoint",
+    ).awaitTermination()
+    held = objects.read_objects(spark, f"{path}/objects", rows.schema)
+    hour = pf.hour_path(F.col("creation_date"))
+    return held.select(hour.alias("hour_path"), "question_id", "message_id", "score")
+
+
+@query
+def gold_incremental(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "incremental")
+    rows = event_posts.posts(spark, root).select(
+        "seq", "question_id", "title", "owner", "score", "answer_count",
+        "creation_date", "last_activity_date", "message_id",
+    )
+    stream = _batches_by_time(spark, rows, f"{path}/topic", 3)
+    ingest.run_batches(
+        stream,
+        lambda batch, own: incremental.refresh_gold(batch, f"{path}/gold", own),
+        f"{path}/checkpoint",
+    ).awaitTermination()
+    return incremental.read_gold(spark, f"{path}/gold")
+
+
+@query
+def authors_by_range(spark: SparkSession, root: str) -> DataFrame:
+    """Distinct authors of the seven days that end with each day, and of all days."""
+    path = scratch_path(spark, "authors")
+    day = pf.epoch_day(F.col("creation_date"))
+    rows = _silver(spark, root).select(day.alias("report_date"), "sentiment", "author")
+    rows.write.parquet(f"{path}/silver")
+    rows = spark.read.schema(rows.schema).parquet(f"{path}/silver")
+    numbers = distinct.new_numbers(rows, "author")
+    numbers.write.parquet(f"{path}/dictionary")
+    dictionary = spark.read.schema(numbers.schema).parquet(f"{path}/dictionary")
+    maps = distinct.bitmaps(rows, ["report_date", "sentiment"], "author", dictionary)
+    maps.write.parquet(f"{path}/bitmaps")
+    maps = spark.read.schema(maps.schema).parquet(f"{path}/bitmaps")
+    days = rows.select("report_date").where("report_date IS NOT NULL").distinct()
+    ranges = days.select(
+        F.date_sub("report_date", 6).alias("first_day"), F.col("report_date").alias("last_day")
+    ).unionByName(
+        days.agg(F.min("report_date").alias("first_day"), F.max("report_date").alias("last_day"))
+    )
+    found = distinct.count_by_range(maps, ranges, "report_date")
+    return found.select("first_day", "last_day", F.col("values").alias("authors"))
+
+
+def _timed_messages(spark: SparkSession, root: str) -> DataFrame:
+    rows = event_posts.messages(spark, root)
+    return rows.select("seq", "message_id", "publish_ts", "value", "attributes")
+
+
+@query
+def stream_fanout(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "fanout")
+    stream = _batches_by_time(spark, _timed_messages(spark, root), f"{path}/topic", 4)
+    started = subscriptions.start_fan_out(
+        stream, SUBSCRIPTIONS, f"{path}/out", f"{path}/checkpoints"
+    )
+    for own in started.values():
+        own.awaitTermination()
+    copies = [
+        spark.read.schema(stream.schema)
+        .parquet(f"{path}/out/{name}")
+        .select(F.lit(name).alias("subscription"), "message_id", F.length("value").alias("chars"))
+        for name in started
+    ]
+    return functools.reduce(DataFrame.unionByName, copies)
+
+
+@query
+def stream_subscription_start(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "start")
+    rows = _timed_messages(spark, root)
+    dealt = rows.repartitionByRange(8, "publish_ts")
+    dealt.write.parquet(f"{path}/topic")
+    subscriptions.index_topic(spark, f"{path}/topic", rows.schema, f"{path}/index")
+    subscriptions.start_from_time(
+        spark, f"{path}/index", rows.schema, SUBSCRIPTIONS[2], f"{path}/out", f"{path}/checkpoint"
+    ).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{path}/out").select("message_id", "seq")
+
+
 @query
 def stream_archive_latest(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "latest")

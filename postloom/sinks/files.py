@@ -9,7 +9,6 @@ delivery give one row for each message id or object.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,12 @@ from postloom.functions import post_json
 from postloom.functions.timekeys import hour_keys
 from postloom.operators.newest import first_per_key
 from postloom.schema import HOUR_KEYS, with_hour_keys
+from postloom.sinks.versions import (
+    claim_version,
+    done_versions,
+    publish_version,
+    version_folder,
+)
 
 
 @dataclass(frozen=True)
@@ -169,31 +174,33 @@ def replace_table(df: DataFrame, root: str, partition: str, cluster: str) -> Non
     """Full refresh, partitioned by a date and sorted within by ``cluster``.
 
     The sort gives each row group a narrow range of cluster values, so a
-    filter on them skips the others. The rows go to a folder of their own, and a
-    row of the table's log then names it: readers (``read_table``) see the old table
-    until that row is there, and a refresh that fails leaves the old one.
+    filter on them skips the others. The rows go to a folder of their own number, which
+    is then marked as done: readers (``read_table``) see the old table until then, and
+    a refresh that fails leaves the old one.
     """
-    version = uuid.uuid4().hex
+    spark = df.sparkSession
+    number = claim_version(spark, root)
     (
         spread(df, partition)
         .sortWithinPartitions(partition, cluster)
         .write.partitionBy(partition)
-        .parquet(f"{root}/version={version}")
+        .parquet(version_folder(root, number))
     )
-    log = df.sparkSession.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("since")
-    )
-    log.write.mode("append").parquet(f"{root}/log")
+    publish_version(spark, root, number)
 
 
 def read_table(
     spark: SparkSession, root: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """The newest version of a table that ``replace_table`` wrote."""
-    log = spark.read.schema("version string, since timestamp").parquet(f"{root}/log")
-    version = log.orderBy(F.desc("since"), F.desc("version")).first()["version"]
+    """The newest version of a table that ``replace_table`` wrote.
+
+    Versions count up whatever the clock says; ``drop_versions`` removes old ones.
+    """
+    done = done_versions(spark, root)
+    if not done:
+        raise FileNotFoundError(f"no version of {root} has been written")
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{root}/version={version}")
+    return reader.parquet(version_folder(root, done[-1]))
 
 
 def write_routed(checked: DataFrame, root: str, batch: Batch | None = None) -> None:
