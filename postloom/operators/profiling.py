@@ -63,8 +63,8 @@ def field_types(
     )
 
 
-def _step(rows: DataFrame) -> DataFrame:
-    """Rows (path, type, value): an open one becomes its type and its members, open.
+def _step(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows (keys, path, type, value): an open one becomes its type and its members, open.
 
     A row is open while its type is null. One generator for each level, so no
     lambda holds another.
@@ -87,7 +87,7 @@ def _step(rows: DataFrame) -> DataFrame:
         _row(F.col("path"), F.coalesce("type", json_type_name(F.col("value"))), None)
     )
     members = F.when(F.col("type").isNull(), F.coalesce(within, F.array()))
-    return rows.select(F.inline(F.concat(closed, F.coalesce(members, F.array()))))
+    return rows.select(*keys, F.inline(F.concat(closed, F.coalesce(members, F.array()))))
 
 
 def _row(path: Column, kind: Column | None, value: Column | None) -> Column:
@@ -104,20 +104,69 @@ def schema_paths(df: DataFrame, value: str = "value", depth: int = 4) -> DataFra
     All list items count, not a sample of them. What lies deeper shows as one row
     of type ``...`` for each value cut off.
     """
-    parsed = pin(df.select(value), "_doc", F.try_parse_json(value)).filter(
+    return shape_states(df, value=value, depth=depth)
+
+
+def shape_states(
+    df: DataFrame, *keys: str, value: str = "value", depth: int = 4
+) -> DataFrame:
+    """``schema_paths`` for each batch: keys, path, type and occurrences.
+
+    The states of batches add up (``merged_shapes``), so a profile of all records needs
+    none of them again.
+    """
+    parsed = pin(df.select(*keys, value), "_doc", F.try_parse_json(value)).filter(
         F.col("_doc").isNotNull()
     )
-    rows = parsed.select(F.inline(F.array(_row(F.lit("$"), None, F.col("_doc")))))
+    # The keys travel beside the document, in front of the levels.
+    rows = parsed.select(*keys, F.inline(F.array(_row(F.lit("$"), None, F.col("_doc")))))
     for _ in range(depth + 1):
-        rows = _step(rows)
+        rows = _step(rows, *keys)
     kinds = F.coalesce("type", F.lit("..."))
     return (
-        rows.select("path", kinds.alias("type"))
-        .groupBy("path", "type")
+        rows.select(*keys, "path", kinds.alias("type"))
+        .groupBy(*keys, "path", "type")
         .agg(F.count("*").alias("occurrences"))
     )
 
 
+def merged_shapes(states: DataFrame) -> DataFrame:
+    """path, type and occurrences over all states."""
+    return states.groupBy("path", "type").agg(F.sum("occurrences").alias("occurrences"))
+
+
+def schema_drift(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Paths whose types differ between two states, and how.
+
+    ``change`` is "new", "gone", "widened" (more types than before), "narrowed" (fewer) or
+    "changed" (some new, some gone). Types are listed in order, joined by ``|``.
+    """
+
+    def types(state: DataFrame, name: str) -> DataFrame:
+        return state.groupBy("path").agg(F.sort_array(F.collect_set("type")).alias(name))
+
+    both = types(before, "_before").join(types(after, "_after"), "path", "full")
+    more = F.size(F.array_except("_after", "_before")) > 0
+    fewer = F.size(F.array_except("_before", "_after")) > 0
+    change = (
+        F.when(F.col("_before").isNull(), "new")
+        .when(F.col("_after").isNull(), "gone")
+        .when(more & fewer, "changed")
+        .when(more, "widened")
+        .when(fewer, "narrowed")
+    )
+    return (
+        both.withColumn("change", change)
+        .where(F.col("change").isNotNull())
+        .select(
+            "path",
+            "change",
+            F.array_join("_before", "|").alias("types_before"),
+            F.array_join("_after", "|").alias("types_after"),
+        )
+    )
+
+
 def schema_merged(df: DataFrame, value: str = "value") -> DataFrame:
     """For each top-level type, the schema that all its records fit, and their number."""
     parsed = pin(df.select(value), "_doc", F.try_parse_json(value)).filter(

@@ -90,7 +90,8 @@ def duplicated(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _result(check: Check, table: str, run_id: str, observed: Column) -> Column:
+def check_result(check: Check, table: str, run_id: str, observed: Column) -> Column:
+    """One row of a suite's result."""
     observed = observed.cast("double")
     kept = observed.isNotNull()
     if check.low is not None:
@@ -129,7 +130,7 @@ def run_suite(
         if check.name == "unique":
             found = duplicated(df, check.column).agg(F.count("*").alias("_dups"))
             parts.append(
-                found.select(_result(check, table, run_id, F.col("_dups")).alias("r"))
+                found.select(check_result(check, table, run_id, F.col("_dups")).alias("r"))
             )
         elif check.name != "column_exists":
             aggregates[number] = check.observed().alias(f"_m{number}")
@@ -138,13 +139,13 @@ def run_suite(
     rows = []
     for number, check in enumerate(checks):
         if number in aggregates:
-            rows.append(_result(check, table, run_id, F.col(f"_m{number}")))
+            rows.append(check_result(check, table, run_id, F.col(f"_m{number}")))
         elif check.name == "column_exists":
             rows.append(
-                _result(check, table, run_id, F.lit(int(check.column in columns)))
+                check_result(check, table, run_id, F.lit(int(check.column in columns)))
             )
         elif check.column not in columns:
-            rows.append(_result(check, table, run_id, F.lit(None)))
+            rows.append(check_result(check, table, run_id, F.lit(None)))
     if rows:
         parts.append(totals.select(F.explode(F.array(*rows)).alias("r")))
     return reduce(DataFrame.unionByName, parts).select("r.*")

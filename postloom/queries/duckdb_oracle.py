@@ -424,6 +424,28 @@ _SCHEMA_PATHS = (
     + "\n) GROUP BY path, type HAVING sum(records) > 0"
 )
 
+# Types of each path in the messages of early and late batches, where they differ.
+_DRIFT = f"""
+WITH earlier AS (
+    SELECT path, list(type ORDER BY type) AS types
+    FROM ({_SCHEMA_PATHS.replace("FROM messages", "FROM (SELECT * FROM messages WHERE k < 18)")})
+    GROUP BY path
+), later AS (
+    SELECT path, list(type ORDER BY type) AS types
+    FROM ({_SCHEMA_PATHS.replace("FROM messages", "FROM (SELECT * FROM messages WHERE k >= 18)")})
+    GROUP BY path
+), compared AS (
+    SELECT path, e.types AS before, l.types AS after,
+        CASE WHEN e.types IS NULL THEN 'new' WHEN l.types IS NULL THEN 'gone'
+             WHEN e.types = l.types THEN NULL
+             WHEN list_has_all(l.types, e.types) THEN 'widened'
+             WHEN list_has_all(e.types, l.types) THEN 'narrowed' ELSE 'changed' END AS change
+    FROM earlier e FULL JOIN later l USING (path)
+)
+SELECT path, change, array_to_string(before, '|') AS types_before,
+    array_to_string(after, '|') AS types_after
+FROM compared WHERE change IS NOT NULL"""
+
 # Spark's type text of a message; keys come in name order.
 _OWNER_SHAPE = """'OBJECT<account_id: BIGINT, display_name: '
     || CASE WHEN k = 71 THEN 'VOID' ELSE 'STRING' END
@@ -650,6 +672,27 @@ FROM captures WHERE creation_date IS NOT NULL GROUP BY 1, 2
 UNION ALL SELECT NULL, question_id, message_id, score
 FROM captures WHERE creation_date IS NULL""",
     ),
+    "object_lookup": _with(
+        "captures",
+        f"""SELECT message_id, question_id, score, {_HOUR_PATH} AS hour_path
+FROM captures WHERE creation_date IS NOT NULL AND question_id IN (7, 42, 500, 901)""",
+    ),
+    "contract_versions": _with(
+        "captures",
+        """SELECT message_id, reason,
+    CASE WHEN reason IS NULL THEN question_id END AS question_id,
+    CASE WHEN reason IS NULL THEN own_title END AS title,
+    CASE WHEN reason IS NULL THEN CAST(score AS DOUBLE) END AS score,
+    CASE WHEN reason IS NULL THEN
+        CASE WHEN seq % 4 = 0 THEN 'untagged' ELSE array_to_string(tags, '|') END END AS tags,
+    CASE WHEN reason IS NULL THEN
+        CASE WHEN seq % 4 = 2 THEN content_license ELSE 'CC BY-SA 4.0' END END
+        AS content_license
+FROM (SELECT *, CASE WHEN seq % 4 = 3 THEN 'unknown_version' WHEN k = 1 THEN 'bad_json'
+    WHEN k = 2 THEN 'bad_type' WHEN k = 3 THEN 'missing: question_id' END AS reason
+    FROM captures)""",
+    ),
+    "schema_drift": _with("messages", _DRIFT),
     "append_field_addition": _with(
         "captures",
         """SELECT message_id, question_id,
@@ -800,5 +843,7 @@ FROM checked GROUP BY 1, 2""",
 ORACLE |= {
     "stream_ingest_committed": ORACLE["stream_ingest"],
     "stream_fanout": ORACLE["subscription_fanout"],
+    "stream_keyed_order": ORACLE["keyed_order"],
+    "stream_checks": f"SELECT * FROM ({ORACLE['dq_bronze']}) WHERE check_name <> 'unique'",
     "stream_subscription_start": ORACLE["subscription_start"],
 }

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postloom import functions as pf
 from postloom.operators import (
@@ -19,14 +20,15 @@ from postloom.operators import (
     quality,
     ranking,
 )
+from postloom.operators import versions as contract_versions_of
 from postloom.operators.envelope import open_envelopes
 from postloom.plans import incremental, landing, medallion, serving
 from postloom.plans.checkpoint import run_checkpoint
 from postloom.schema import POST, STORED
 from postloom.session import scratch_path
-from postloom.sinks import commits, files, objects
+from postloom.sinks import checked, commits, files, objects
 from postloom.sources import event_posts, tables, topics
-from postloom.streaming import ingest, subscriptions
+from postloom.streaming import ingest, positions, subscriptions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +44,7 @@ def query(build: Query) -> Query:
 FIXED_TIME = "2024-02-01T00:00:00"
 RUN_ID = "20240201-000000-check"
 RANGE = (datetime.date(2024, 1, 10), datetime.date(2024, 1, 16))
+LOOKED_UP = [7, 42, 500, 901]
 NEW_FIELD_BATCH = 19738  # 2024-01-16 as a day number
 
 SUBSCRIPTIONS = [
@@ -400,6 +403,17 @@ def object_latest(spark: SparkSession, root: str) -> DataFrame:
     return rows.select(hour.alias("hour_path"), "question_id", "message_id", "score")
 
 
+@query
+def object_lookup(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "lookup")
+    rows = event_posts.captures(spark, root).select(
+        "message_id", "question_id", "score", "creation_date"
+    )
+    files.write_hour_partitions(rows.filter("creation_date IS NOT NULL"), path)
+    found = files.lookup_questions(spark, path, rows.schema, LOOKED_UP)
+    return found.select("message_id", "question_id", "score", pf.hour_path(F.col("creation_date")).alias("hour_path"))
+
+
 @query
 def append_field_addition(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "append")
@@ -453,6 +467,68 @@ def topic_log_lines(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+# --- versions of the contract ---------------------------------------------
+
+
+def _versions() -> list[contract_versions_of.Version]:
+    """Three versions: a wider id, then tags, then a license and no link."""
+
+    def fields(text: str) -> T.StructType:
+        names = [part.split(" ") for part in text.split(", ")]
+        return T.StructType(
+            [T.StructField(name, kinds[kind], name != "question_id") for name, kind in names]
+        )
+
+    kinds = {
+        "int": T.IntegerType(),
+        "bigint": T.LongType(),
+        "double": T.DoubleType(),
+        "string": T.StringType(),
+        "list": T.ArrayType(T.StringType()),
+    }
+    defaults = {"tags": ["untagged"], "content_license": "CC BY-SA 4.0"}
+    of = contract_versions_of.Version
+    return [
+        of("v1", fields("question_id int, title string, score int, link string")),
+        of("v2", fields("question_id bigint, title string, score int, link string, tags list")),
+        of(
+            "v3",
+            fields("question_id bigint, title string, score double, tags list, content_license string"),
+            defaults,
+        ),
+    ]
+
+
+@query
+def contract_versions(spark: SparkSession, root: str) -> DataFrame:
+    rows = event_posts.captures(spark, root).withColumn("title", F.col("own_title"))
+    every = _versions()
+    written = F.lit("{}")
+    for number, version in enumerate(every):
+        record = F.to_json(F.struct(*version.fields.fieldNames()))
+        written = F.when(F.col("seq") % 4 == number, record).otherwise(written)
+    faulty = (
+        F.when(F.col("k") == 1, "not json")
+        .when(F.col("k") == 2, '{"question_id":"x"}')
+        .when(F.col("k") == 3, '{"title":"no id"}')
+        .otherwise(written)
+    )
+    named = F.concat(F.lit("v"), F.col("seq") % 4 + 1)
+    messages = rows.select(
+        "message_id",
+        faulty.alias("value"),
+        F.create_map(F.lit("schema_version"), named).alias("attributes"),
+    )
+    found = contract_versions_of.resolve(messages, every, every[-1])
+    return found.select(
+        "message_id",
+        "reason",
+        *[F.col(f"post.{n}").alias(n) for n in ("question_id", "title", "score")],
+        _tags(F.col("post.tags")),
+        "post.content_license",
+    )
+
+
 # --- keys and subscriptions -----------------------------------------------
 
 
@@ -472,6 +548,25 @@ def keyed_order(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query
+def stream_keyed_order(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "order")
+    rows = messaging.split_keyed(event_posts.keyed_lines(spark, root)).select("seq", "key")
+    # A stream takes files by their age, so each batch is written after the one before it.
+    part = F.floor(F.col("seq") * 7 / (rows.agg(F.max("seq")).scalar() + 1))
+    for number in range(7):
+        rows.where(part == number).coalesce(1).write.mode("append").parquet(f"{path}/topic")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    stream = stream.parquet(f"{path}/topic")
+    # Totals every three batches: some batches start from totals, some from counts as well.
+    positions.start_keyed_order(
+        stream, f"{path}/out", f"{path}/checkpoint", every=3
+    ).awaitTermination()
+    return spark.read.parquet(f"{path}/out/rows").select(
+        "seq", "key", "partition", "offset", "key_position"
+    )
+
+
 @query
 def subscription_filter(spark: SparkSession, root: str) -> DataFrame:
     only = messaging.Subscription("purchases", attributes={"key": "purchase"})
@@ -542,6 +637,27 @@ def dq_checkpoint(spark: SparkSession, root: str) -> DataFrame:
     return found
 
 
+@query
+def stream_checks(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "observed")
+    rows = event_posts.posts(spark, root).select("seq", *POST.fieldNames())
+    # Uniqueness does not add up over batches; dq_bronze has it.
+    suite = [check for check in medallion.bronze_suite() if check.name != "unique"]
+    stream = _batches_by_time(spark, rows, f"{path}/topic", 4)
+
+    def write(batch: DataFrame, own: files.Batch) -> None:
+        checked.write_checked(
+            batch,
+            suite,
+            f"{path}/states",
+            own,
+            lambda out: files.append_table(out, f"{path}/table", own),
+        )
+
+    ingest.run_batches(stream, write, f"{path}/checkpoint").awaitTermination()
+    return checked.merged_results(spark, suite, f"{path}/states", "posts_bronze", RUN_ID)
+
+
 # --- schema profiles ------------------------------------------------------
 
 
@@ -571,6 +687,18 @@ def schema_merged(spark: SparkSession, root: str) -> DataFrame:
     return profiling.schema_merged(_lines(spark, root))
 
 
+@query
+def schema_drift(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "drift")
+    # Four batches; the last one has the messages whose fields are all faultless or null.
+    lines = _lines(spark, root).withColumn("batch", F.least(F.floor(F.col("k") / 6), F.lit(3)))
+    profiling.shape_states(lines, "batch").write.parquet(path)
+    states = spark.read.parquet(path)
+    before = profiling.merged_shapes(states.filter("batch < 3"))
+    after = profiling.merged_shapes(states.filter("batch >= 3"))
+    return profiling.schema_drift(before, after)
+
+
 # --- streams --------------------------------------------------------------
 
 

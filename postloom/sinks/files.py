@@ -139,7 +139,21 @@ def write_hour_partitions(
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
         )
-    writer.partitionBy(*keys).parquet(root)
+    # One question is looked up in all hours: its filter skips row groups without it.
+    writer.option("parquet.bloom.filter.enabled#question_id", "true").partitionBy(*keys).parquet(
+        root
+    )
+
+
+def lookup_questions(
+    spark: SparkSession, root: str, schema: T.StructType, question_ids: list[int]
+) -> DataFrame:
+    """All stored captures of a few questions, from the hour layout.
+
+    The ids reach the scan, which skips row groups by their bounds and Bloom filters.
+    """
+    rows = read_hour_partitions(spark, root, schema)
+    return rows.filter(F.col("question_id").isin(*question_ids))
 
 
 def read_hour_partitions(
