@@ -29,8 +29,26 @@ def epoch_day(epoch: Column) -> Column:
 
 def utc_now() -> Column:
     """The current time as text, in UTC whatever the session's zone."""
-    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
-    return F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    micros = F.unix_micros(F.current_timestamp())
+    return utc_text(micros)
+
+
+def utc_text(micros: Column) -> Column:
+    """Epoch microseconds as text such as ``2024-01-15T08:30:00.000001``, in UTC.
+
+    Put together from numbers: a time shifted by the zone's offset would be wrong in the
+    hours that the zone skips or repeats.
+    """
+    seconds = F.floor(micros / 1_000_000).cast("bigint")
+    of_day = F.pmod(seconds, F.lit(86_400)).cast("int")
+    clock = F.format_string(
+        "T%02d:%02d:%02d.%06d",
+        F.floor(of_day / 3_600).cast("int"),
+        F.floor(of_day / 60).cast("int") % 60,
+        of_day % 60,
+        F.pmod(micros, F.lit(1_000_000)).cast("int"),
+    )
+    return F.concat(epoch_day(seconds).cast("string"), clock)
 
 
 def hour_keys(epoch: Column) -> dict[str, Column]:

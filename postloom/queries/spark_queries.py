@@ -864,16 +864,19 @@ def stream_subscription_start(spark: SparkSession, root: str) -> DataFrame:
 def stream_archive_latest(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "latest")
     envelopes = event_posts.envelopes(spark, root)
-    # Every message comes twice, the second time to a stream with its own checkpoint.
+    # Every message comes twice, first with another title to a stream of its own.
     files.write_topic(envelopes, f"{path}/topic")
+
+    def archive(batch: DataFrame, own: files.Batch, older: bool) -> None:
+        posts = landing.stored(landing.receive(batch))
+        if older:
+            posts = posts.withColumn("post", F.col("post").withField("title", F.lit("older")))
+        files.write_json_archive(posts, f"{path}/json", own)
+
     for run in ("first", "second"):
         lines = topics.stream_topic(spark, f"{path}/topic", max_files=16)
         ingest.run_batches(
-            lines,
-            lambda batch, own: files.write_json_archive(
-                landing.stored(landing.receive(batch)), f"{path}/json", own
-            ),
-            f"{path}/{run}",
+            lines, functools.partial(archive, older=run == "first"), f"{path}/{run}"
         ).awaitTermination()
     return files.latest_archive(spark, f"{path}/json")
 

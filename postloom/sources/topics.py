@@ -81,13 +81,14 @@ def kafka_messages(
     topic: str,
     streaming: bool = True,
     starting: str = "earliest",
-    max_offsets: int | None = None,
+    max_offsets: int = 1_000_000,
 ) -> DataFrame:
     """A Kafka topic in the frame shape of this library.
 
     Needs the public spark-sql-kafka connector on the class path. ``starting``
     is "earliest" for a read from the beginning, "latest" for a subscription
-    that sees new messages only (streams), or a JSON text of offsets.
+    that sees new messages only (streams), or a JSON text of offsets. ``max_offsets``
+    bounds each micro-batch, which streams here keep in memory or on disk while it is stored.
     """
     if not streaming and starting == "latest":
         raise ValueError("a batch read has no new messages: start at 'earliest' or at offsets")
@@ -98,6 +99,6 @@ def kafka_messages(
         "startingOffsets": starting,
         "includeHeaders": "true",
     }
-    if streaming and max_offsets is not None:
+    if streaming:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     return kafka_rows(reader.options(**options).load())

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +17,10 @@ from postloom.sinks.commits import land_committed
 from postloom.sinks.files import Batch, spread, write_routed
 
 
+# Parts that messages without a publish time are dealt over.
+UNTIMED_PARTS = 256
+
+
 def run_batches(
     stream: DataFrame,
     write: Callable[[DataFrame, Batch], None],
@@ -155,6 +159,12 @@ def _known_ids(
     return rows.filter(~first_attempt).select("message_id")
 
 
+def _untimed_part() -> Column:
+    """Where a message without a publish time goes: "none-" and a hash of its id."""
+    part = F.pmod(F.xxhash64("message_id"), F.lit(UNTIMED_PARTS)).cast("string")
+    return F.when(F.col("message_id").isNull(), "none").otherwise(F.concat(F.lit("none-"), part))
+
+
 def start_first_deliveries(
     messages: DataFrame, root: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
@@ -162,22 +172,24 @@ def start_first_deliveries(
 
     The table is partitioned by publish day (UTC), run and batch. As a redelivery
     keeps its publish time, a batch is compared with the ids of its own days only,
-    and no streaming state is kept. A batch that is run again replaces the
-    partitions of its first attempt. Messages without an id all stay.
+    and no streaming state is kept. Messages without a publish time are dealt by their id
+    over ``UNTIMED_PARTS`` parts, of which a batch lists those of its own ids. A batch that
+    is run again replaces the partitions of its first attempt. Messages without an id
+    all stay, and are never compared.
     """
 
     def write(batch: DataFrame, own: Batch) -> None:
-        # The format carries "none" for messages without a publish time.
         published = epoch_day(F.unix_seconds("publish_ts")).cast("string")
         known = F.col("message_id").isNotNull()
         once = batch.filter(known).dropDuplicates(["message_id"])
         fresh = once.unionByName(batch.filter(~known)).withColumn(
-            "publish_day", F.coalesce(published, F.lit("none"))
+            "publish_day", F.coalesce(published, _untimed_part())
         )
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # At most one row per calendar day comes to the driver.
-            days = [row[0] for row in fresh.select("publish_day").distinct().collect()]
+            # At most one row per calendar day and part comes to the driver.
+            named = fresh.filter(known).select("publish_day").distinct()
+            days = [row[0] for row in named.collect()]
             stored = _known_ids(batch.sparkSession, root, days, own) if days else None
             new = fresh if stored is None else fresh.join(stored, "message_id", "left_anti")
             numbered = new.withColumns(

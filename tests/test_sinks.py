@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postloom.functions import epoch_day, hour_path, object_path, utc_now
+from postloom.functions.timekeys import utc_text
 from postloom.operators import contract, newest
 from postloom.sinks import files
 from postloom.sources.tables import latest_batch
@@ -178,3 +179,22 @@ def test_kafka_rows(spark):
 def test_latest_batch(spark):
     rows = spark.createDataFrame([(1, 10), (2, 20), (3, 20)], "seq long, batch_id long")
     assert {r["seq"] for r in latest_batch(rows).collect()} == {2, 3}
+
+
+def test_utc_text_in_skipped_hours(spark):
+    """New York skips 02:00 to 03:00 on 2024-03-10, and repeats an hour in November."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        micros = [1710037800000001, 1710039600000000, 1730611800000000, -1, 0]
+        rows = spark.createDataFrame([(m,) for m in micros], "m long")
+        found = [r[0] for r in rows.select(utc_text(F.col("m"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == [
+        "2024-03-10T02:30:00.000001",
+        "2024-03-10T03:00:00.000000",
+        "2024-11-03T05:30:00.000000",
+        "1969-12-31T23:59:59.999999",
+        "1970-01-01T00:00:00.000000",
+    ]

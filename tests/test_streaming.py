@@ -225,3 +225,29 @@ def test_first_deliveries_however_late(spark, scratch):
     assert run() == ["m0", "m1", "m200", "m300", "mNone"]
     add_messages(spark, f"{scratch}/topic", None)
     assert run() == ["m0", "m1", "m200", "m300", "mNone"]
+
+
+def test_untimed_messages_are_listed_by_part(spark, scratch, monkeypatch):
+    """A batch of one untimed message lists one of the parts that such messages fill."""
+    listed, known = [], ingest._known_ids
+
+    def listing(session, root, days, own):
+        listed.append(days)
+        return known(session, root, days, own)
+
+    monkeypatch.setattr(ingest, "_known_ids", listing)
+
+    def run(*ids):
+        rows = spark.createDataFrame([(i, None, "v") for i in ids], SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(f"{scratch}/topic")
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1)
+        ingest.start_first_deliveries(
+            stream.parquet(f"{scratch}/topic"), f"{scratch}/out", f"{scratch}/c"
+        ).awaitTermination()
+        return sorted(str(r["message_id"]) for r in spark.read.parquet(f"{scratch}/out").collect())
+
+    ids = [f"m{n}" for n in range(40)]
+    assert run(*ids) == sorted(ids)
+    assert len(listed[0]) > 10
+    assert run("m7", None) == sorted([*ids, "None"])
+    assert len(listed[1]) == 1 and listed[1][0] in listed[0]
