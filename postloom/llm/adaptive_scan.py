@@ -6,8 +6,11 @@ difference estimate its whole length. A list is kept in blocks of bounded size,
 and a block in blocks of columns. A query scans a block column by column: after
 each, a hypothesis test compares the partial distance with the tenth best distance
 so far and abandons the candidates that are hardly among the nearest; what is left
-at the end is measured exactly on the original vectors. Every vector is in the
-index; the sample only decides on lists and gives each query a first bound.
+at the end is measured exactly on the original vectors, and the blocks that a task scans
+after it go by the tenth best distance that its blocks have given the query. Every
+vector is in the index; the sample only decides on lists and gives each query a first
+bound. A query that ends with fewer rows than there are candidates for is searched
+again in all lists without the test.
 
 Queries travel in bundles of bounded size, and a list is cut into blocks, so that
 neither a list nor a crowd of queries with a third of all rows meets in one task.
@@ -28,11 +31,12 @@ from postloom.llm.storage import stored
 NEAREST = 10
 SAMPLE = 16_384  # vectors for centroids and first bounds, at most about so many
 MOST_LISTS = 4_096
-# Lists are probed until this share of the sample's own neighbours would be found. Within
-# the sample neighbours are further off than among all vectors, so it finds more there.
-TARGET, TRIALS = 0.95, 256
+# Lists are probed until this share of the neighbours of some different vectors of the sample
+# would be found, each tried against all others of it.
+TARGET, TRIALS = 0.98, 1_024
 BLOCK, BUNDLE = 512, 256  # vectors of a block, queries of a bundle, about
 COLUMNS = 16
+HELD = 16_384  # queries whose nearest a task keeps
 CONFIDENCE = 2.5  # of the test; the chance to abandon a near one falls with its square
 _SEED = 5
 
@@ -113,14 +117,15 @@ def learn(vectors: DataFrame) -> Lists | None:
 
 def _probes(lists: Lists) -> int:
     """Number of lists in which ``TARGET`` of the neighbours within the sample lie."""
-    step = -(-len(lists.sample) // TRIALS)
-    tried = np.arange(0, len(lists.sample), step)
-    apart = _squares(lists.sample[tried], lists.sample)
+    # A crowd of equal vectors counts once: its members find each other in one list.
+    points = np.unique(lists.sample, axis=0)
+    tried = np.random.default_rng(_SEED).permutation(len(points))[:TRIALS]
+    apart = _squares(points[tried], points)
     apart[np.arange(len(tried)), tried] = np.inf
     count = min(NEAREST, apart.shape[1])
     near = np.argpartition(apart, count - 1, axis=1)[:, :count]
-    owner = _squares(lists.sample, lists.centroids).argmin(axis=1)
-    order = lists.order(lists.sample[tried])
+    owner = _squares(points, lists.centroids).argmin(axis=1)
+    order = lists.order(points[tried])
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(order.shape[1])[None, :], axis=1)
     needed = np.take_along_axis(place, owner[near], axis=1)
@@ -182,8 +187,13 @@ def _blocks(vectors: DataFrame, lists: Lists) -> tuple[DataFrame, np.ndarray]:
     return stored(made, "scan-blocks"), sizes
 
 
-def _bundles(queries: DataFrame, lists: Lists, sizes: np.ndarray, nearest: int) -> DataFrame:
-    """list, query_ids, query_vectors and bounds: the queries that probe a list, in bundles."""
+def _bundles(
+    queries: DataFrame, lists: Lists, sizes: np.ndarray, nearest: int, every: bool = False
+) -> DataFrame:
+    """list, query_ids, query_vectors and bounds: the queries that probe a list, in bundles.
+
+    With ``every`` all lists are probed, without a bound.
+    """
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["list", "query_id", "vector", "bound"]
@@ -195,11 +205,11 @@ def _bundles(queries: DataFrame, lists: Lists, sizes: np.ndarray, nearest: int)
             # As many lists as the sample asks for, and as hold enough candidates.
             held = np.cumsum(sizes[order], axis=1) - sizes[order]
             wanted = (np.arange(order.shape[1])[None, :] < lists.probes) | (held < nearest + 1)
-            wanted &= sizes[order] > 0
+            wanted = (wanted | every) & (sizes[order] > 0)
             apart = np.maximum(_squares(vectors, lists.sample), 0)
             apart[ids[:, None] == lists.sample_ids[None, :]] = np.inf
             bound = np.full(len(ids), np.inf)
-            if apart.shape[1] >= nearest:
+            if apart.shape[1] >= nearest and not every:
                 bound = np.partition(apart, nearest - 1, axis=1)[:, nearest - 1] * (1 + 1e-6) + 1e-9
             row, place = np.nonzero(wanted)
             raw = [v.tobytes() for v in vectors]
@@ -285,42 +295,44 @@ def _scan_block(
             yield int(query), int(ids[left[i]]), float(exact[i])
 
 
-def neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST) -> DataFrame:
-    """query_id, rank, vec_id and score: the nearest found of each query, nearest first.
-
-    Both frames have vec_id and embedding; other columns are left alone. Score is the
-    Euclidean distance of the original vectors in double precision; ties go to the
-    smaller vec_id. Rows that ``sound`` leaves out neither ask nor answer; repeated rows
-    count once, and of different vectors with one id the nearer one; a query with
-    fewer candidates than ``nearest`` gets them all; empty tables give no rows.
-    """
-    vectors = sound(vectors)
-    lists = learn(vectors)
-    schema = "query_id long, rank int, vec_id long, score double"
-    if lists is None:
-        return vectors.sparkSession.createDataFrame([], schema)
-    blocks, sizes = _blocks(vectors, lists)
-    width = lists.rotation.shape[0]
-    asked = sound(queries).where(F.size("embedding") == width)
-    bundles = stored(_bundles(asked, lists, sizes, nearest), "scan-bundles")
+def _scanned(blocks: DataFrame, bundles: DataFrame, rotation: np.ndarray, nearest: int) -> DataFrame:
+    """query_id, vec_id and score of what the probed blocks give each query, stored."""
+    width = rotation.shape[0]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Squared distances of the nearest so far, by query, for a bounded number of queries.
+        held: dict[tuple, np.ndarray] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], "<i8")
                 query_ids = np.frombuffer(row["query_ids"], "<i8")
+                raw = row["query_vectors"]
+                keys = [(int(q), raw[8 * width * i : 8 * width * (i + 1)]) for i, q in enumerate(query_ids)]
+                bounds = np.frombuffer(row["bounds"], np.float64).copy()
+                for i, key in enumerate(keys):
+                    if key in held and len(held[key]) == nearest:
+                        bounds[i] = min(bounds[i], held[key][-1] * (1 + 1e-6) + 1e-9)
                 found = list(
                     _scan_block(
                         ids,
                         np.frombuffer(row["columns"], np.float32),
                         np.frombuffer(row["originals"], np.float64).reshape(len(ids), width),
                         query_ids,
-                        np.frombuffer(row["query_vectors"], np.float64).reshape(-1, width),
-                        np.frombuffer(row["bounds"], np.float64),
-                        lists.rotation,
+                        np.frombuffer(raw, np.float64).reshape(-1, width),
+                        bounds,
+                        rotation,
                         nearest,
                     )
                 )
+                if len(held) > HELD:
+                    held.clear()
+                near: dict[int, list[float]] = {}
+                for query, _, score in found:
+                    near.setdefault(query, []).append(score * score)
+                if len(set(query_ids)) == len(keys):
+                    for key in (k for k in keys if k[0] in near):
+                        both = np.concatenate([held.get(key, np.zeros(0)), near[key[0]]])
+                        held[key] = np.sort(both)[:nearest]
                 columns = list(zip(*found)) or [()] * 3
                 kinds = [pa.int64(), pa.int64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(
@@ -334,6 +346,38 @@ def neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST) -
         .groupBy("query_id", "vec_id")
         .agg(F.min("score").alias("score"))
     )
+    return stored(found, "scan-found")
+
+
+def neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST) -> DataFrame:
+    """query_id, rank, vec_id and score: the nearest found of each query, nearest first.
+
+    Both frames have vec_id and embedding; other columns are left alone. Score is the
+    Euclidean distance of the original vectors in double precision; ties go to the
+    smaller vec_id. Rows that ``sound`` leaves out neither ask nor answer; repeated rows
+    count once, and of different vectors with one id the nearer one; a query with
+    fewer candidates than ``nearest`` gets them all; empty tables give no rows.
+    """
+    vectors = sound(vectors)
+    lists = learn(vectors)
+    schema = "query_id long, rank int, vec_id long, score double"
+    if lists is None:
+        return vectors.sparkSession.createDataFrame([], schema)
+    blocks, sizes = _blocks(vectors, lists)
+    width = lists.rotation.shape[0]
+    asked = sound(queries).where(F.size("embedding") == width)
+    bundles = stored(_bundles(asked, lists, sizes, nearest), "scan-bundles")
+
+    found = _scanned(blocks, bundles, lists.rotation, nearest)
+    # Equal vectors of one id were counted once for each when lists were filled.
+    enough = min(nearest, int(sizes.sum()) - 1)
+    counted = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"))
+    full = counted.where(F.col("n") >= enough)
+    short = stored(asked.join(full, "vec_id", "left_anti"), "scan-short")
+    if not short.isEmpty():
+        again = stored(_bundles(short, lists, sizes, nearest, every=True), "scan-bundles")
+        more = _scanned(blocks, again, lists.rotation, nearest)
+        found = found.join(short, found["query_id"] == short["vec_id"], "left_anti").union(more)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
