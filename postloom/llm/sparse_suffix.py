@@ -29,7 +29,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 GRAM = 6
 REACH = 32  # six-word hashes of which the least is retained; a power of two
 STEM = RUN - REACH + 1  # words that a run has from its minimiser on, at least
-_PLACE = np.uint64((1 << 24) - 1)
 
 
 def _minimisers(found: Words, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,13 +36,17 @@ def _minimisers(found: Words, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarra
     count = len(found) - RUN + 1
     if count <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least = (grams(hashed, GRAM) & ~_PLACE) | np.arange(len(found) - GRAM + 1, dtype=np.uint64)
+    least = grams(hashed, GRAM)
+    place = np.arange(len(least))
     step = 1
     while step < REACH:
-        least = np.minimum(least[:-step], least[step:])
+        # Of equal hashes the first place is taken, which does not depend on where it lies.
+        later = least[step:] < least[:-step]
+        place = np.where(later, place[step:], place[:-step])
+        least = np.where(later, least[step:], least[:-step])
         step *= 2
     starts = np.flatnonzero(found.text[:count] == found.text[RUN - 1 :])
-    return starts, (least[starts] & _PLACE).astype(np.int64)
+    return starts, place[starts]
 
 
 def _read(run: Slice) -> tuple[Words, np.ndarray]:

@@ -4,7 +4,16 @@ from __future__ import annotations
 
 import random
 
-from postloom.llm.sparse_suffix import repeated_passages, without_repeats
+import numpy as np
+
+from postloom.llm.sparse_suffix import (
+    REACH,
+    RUN,
+    _minimisers,
+    repeated_passages,
+    without_repeats,
+)
+from postloom.llm.words import Words
 from tests.llm import brute
 from tests.llm.conftest import ODD
 
@@ -66,3 +75,19 @@ def test_odd_rows(frame):
     assert cut.columns == made.columns and cut.count() == len(rows)
     assert [r.text for r in cut.where("doc_id = 9").collect()] == [" x"]
     assert repeated_passages(frame([])).collect() == []
+
+
+def test_minimisers_beyond_two_to_the_24th_word():
+    """Places are kept in full, so a passage late in a very long text has its own."""
+    count = (1 << 24) + 4_000
+    draw = np.random.default_rng(5)
+    hashed = draw.integers(0, 1 << 63, count, np.uint64)
+    late = count - 600
+    hashed[late : late + 120] = hashed[1_000:1_120]
+    starts = np.arange(count)
+    found = Words(starts, starts + 1, np.zeros(count, np.int8), np.array([count]))
+    firsts, places = _minimisers(found, hashed)
+    assert len(firsts) == count - RUN + 1
+    assert ((places >= firsts) & (places < firsts + REACH)).all()
+    early = places[1_000 : 1_000 + 71] - 1_000
+    assert (places[late : late + 71] - late == early).all()
