@@ -64,8 +64,8 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[list[np.ndarray]]:
             if end - first >= words:
                 sets.append(np.unique(wide[first : end - words + 1]))
             elif end > first:
-                whole = running[end] - running[first] + np.uint64(end - first)
-                sets.append(mix(np.array([whole])))
+                whole = running[end : end + 1] - running[first : first + 1]
+                sets.append(mix(whole + np.uint64(end - first)))
             else:
                 sets.append(np.zeros(0, np.uint64))
         yield sets
@@ -503,9 +503,43 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     )
 
 
-def first_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without those whose near copies come before them."""
-    gone = near_copies(docs, words, similarity).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone_id")
+def _row_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row_id``: the doc_id, or a number above all of them.
+
+    Rows of a doc_id that stands for several texts get one number for each text, in the
+    order of doc_ids. Such rows are told from two narrow columns; usually there are none,
+    and the join that names them is with an empty table.
+    """
+    doc, print_ = F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
+    pairs = docs.select(doc.alias("_doc"), print_.alias("_print")).where(F.col("_doc").isNotNull())
+    several = (
+        pairs.groupBy("_doc")
+        .agg(F.min("_print").alias("least"), F.max("_print").alias("most"))
+        .where(F.col("least") != F.col("most"))
+    )
+    crowded = stored(pairs.join(several, "_doc", "left_semi").distinct(), "path-crowded")
+    ordered = crowded.repartitionByRange(
+        parallelism(docs.sparkSession), "_doc", "_print"
+    ).sortWithinPartitions("_doc", "_print")
+    numbers = stored(ordered.withColumn("_number", F.monotonically_increasing_id()), "path-numbers")
+    highest = F.coalesce(pairs.agg(F.max("_doc")).scalar(), F.lit(0))
+    same = (doc == F.col("_doc")) & (print_ == F.col("_print"))
+    number = highest + 1 + F.col("_number")
+    return (
+        docs.join(numbers, same, "left")
+        .withColumn("_row_id", F.coalesce(number, doc))
+        .drop("_doc", "_print", "_number")
     )
-    return docs.join(gone.distinct(), docs["doc_id"].cast("long") == F.col("_gone_id"), "left_anti")
+
+
+def first_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without those whose near copies come before them.
+
+    Rows come in the order of doc_ids. Of several texts under one doc_id each is judged by
+    itself, after those whose doc_id is theirs alone; exact repeats of a row go or stay
+    with it; rows without a doc_id stay.
+    """
+    named = _row_ids(docs)
+    found = near_copies(named.select(F.col("_row_id").alias("doc_id"), "text"), words, similarity)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_row_id")).distinct()
+    return named.join(gone, "_row_id", "left_anti").drop("_row_id")

@@ -85,3 +85,23 @@ def test_large_family_without_links_but_few(frame):
     rows = [(doc, f"{stem} {' '.join(tail)}") for doc, tail in enumerate(tails)]
     found = {r.doc_id: r.component_id for r in near_copies(frame(rows), 4).collect()}
     assert found == {doc: linked.get(doc, doc) for doc, _ in rows}
+
+
+def test_first_copies_judge_texts_and_not_ids(spark, frame):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (1, text),
+        (2, text + " more"),  # a near copy of 1
+        (2, "another text that stands alone here"),
+        (3, "a third one that is only there once"),
+        (3, "a third one that is only there once"),
+        (5, "five words of its own text"),
+        (5, text + " again"),
+        (None, text),
+    ]
+    kept = first_copies(frame(rows, extra=True))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [rows[i] for i in (0, 2, 3, 4, 5, 7)], key=str
+    )
+    assert kept.columns == frame(rows, extra=True).columns
+    assert first_copies(frame([])).collect() == []
