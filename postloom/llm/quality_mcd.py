@@ -38,8 +38,9 @@ FLOORS = [0.10, 0.06, 0.15, 0.15, 0.10]
 # Rejected beyond this squared distance: chi-squared of five dimensions at 0.9999.
 CUTOFF = 25.74
 SHARE = 0.75  # of a group's texts in the estimate
-STEPS = 4
-LEAST_TEXTS = 50
+MOST_STEPS = 8
+LEAST_TEXTS = 50  # of a language or source; all texts together are estimated from any number
+SMALL_GROUPS = 10_000  # whose estimates (some 250 bytes each) are broadcast
 # Statistics of a short text are drawn to the usual by so many words and bytes more.
 PRIOR_WORDS, PRIOR_CHARS = 40, 200
 USUAL_LENGTH = 5.0
@@ -165,7 +166,7 @@ def _bin(distance: Column) -> Column:
 
 
 def _invert(products: DataFrame) -> DataFrame:
-    """Mean and inverse covariance of each group from its sums of products."""
+    """Mean, inverse covariance and log determinant of each subset from its sums of products."""
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -176,75 +177,114 @@ def _invert(products: DataFrame) -> DataFrame:
                 cov = np.zeros((DIMENSIONS, DIMENSIONS))
                 cov[np.triu_indices(DIMENSIONS)] = np.array(row.products) / n
                 cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
+                logdet = np.linalg.slogdet(cov + np.diag(np.square(FLOORS)))[1]
                 cov = cov * row.scale + np.diag(np.square(FLOORS))
-                rows.append((row.grouped, mean.tolist(), np.linalg.inv(cov).ravel().tolist()))
-            yield pd.DataFrame(rows, columns=["grouped", "mean", "inverse"])
+                inverse = np.linalg.inv(cov).ravel().tolist()
+                rows.append((row.grouped, row.start, mean.tolist(), inverse, logdet))
+            yield pd.DataFrame(rows, columns=["grouped", "start", "mean", "inverse", "logdet"])
 
     return products.mapInPandas(
-        solve, "grouped string, mean array<double>, inverse array<double>"
+        solve,
+        "grouped string, start int, mean array<double>, inverse array<double>, logdet double",
     )
 
 
-def estimates(vectors: DataFrame) -> DataFrame:
-    """MCD estimate of every group: grouped, mean, inverse.
-
-    ``vectors`` has grouped and x0..x4, one row for each text and group.
-    """
+def _starts(vectors: DataFrame) -> DataFrame:
+    """Two first estimates of every group: by quartiles, and by all of its texts."""
     xs = [F.col(f"x{i}") for i in range(DIMENSIONS)]
-    products = [xs[i] * xs[j] for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
-    quartiles = vectors.groupBy("grouped").agg(
-        *(F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, x in enumerate(xs))
+    found = vectors.groupBy("grouped").agg(
+        *(F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, x in enumerate(xs)),
+        *(F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)),
+        *(F.coalesce(F.var_pop(x), F.lit(0.0)).alias(f"v{i}") for i, x in enumerate(xs)),
     )
     spread = [(F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 for i in range(DIMENSIONS)]
-    model = quartiles.select(
-        "grouped",
-        F.array(*(F.col(f"q{i}")[1] for i in range(DIMENSIONS))).alias("mean"),
-        F.array(
-            *(
-                (1 / (spread[i] * spread[i] + FLOORS[i] ** 2) if i == j else F.lit(0.0))
-                for i in range(DIMENSIONS)
-                for j in range(DIMENSIONS)
-            )
-        ).alias("inverse"),
-    )
-    for _ in range(STEPS):
-        model = stored(model, "mcd-model")
-        binned = vectors.join(model, "grouped").select(
-            "grouped", *xs, _bin(_distance()).alias("bin")
+    kinds = [
+        ([F.col(f"q{i}")[1] for i in range(DIMENSIONS)], [w * w for w in spread]),
+        ([F.col(f"m{i}") for i in range(DIMENSIONS)], [F.col(f"v{i}") for i in range(DIMENSIONS)]),
+    ]
+
+    def start(number: int) -> Column:
+        mean, variance = kinds[number]
+        inverse = [
+            1 / (variance[i] + FLOORS[i] ** 2) if i == j else F.lit(0.0)
+            for i in range(DIMENSIONS)
+            for j in range(DIMENSIONS)
+        ]
+        return F.struct(
+            F.lit(number).alias("start"), F.array(*mean).alias("mean"), F.array(*inverse).alias("inverse")
+        )
+
+    every = F.explode(F.array(*(start(n) for n in range(len(kinds)))))
+    return found.select("grouped", every.alias("s")).select("grouped", "s.*")
+
+
+def _next_estimate(vectors: DataFrame, model: DataFrame, beside) -> DataFrame:
+    """Estimates from the nearest share of each group's texts (a concentration step)."""
+    xs = [F.col(f"x{i}") for i in range(DIMENSIONS)]
+    products = [xs[i] * xs[j] for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
+    keys = ["grouped", "start"]
+    binned = vectors.join(beside(model), "grouped").select(*keys, *xs, _bin(_distance()).alias("bin"))
+    upto, whole = Window.partitionBy(*keys).orderBy("bin"), Window.partitionBy(*keys)
+    near = (
+        binned.groupBy(*keys, "bin")
+        .agg(F.count("*").alias("n"))
+        .select(
+            *keys,
+            "bin",
+            (F.sum("n").over(upto) - F.col("n")).alias("before"),
+            F.sum("n").over(whole).alias("all"),
         )
-        upto = Window.partitionBy("grouped").orderBy("bin")
-        whole = Window.partitionBy("grouped")
-        near = (
-            binned.groupBy("grouped", "bin")
-            .agg(F.count("*").alias("n"))
-            .select(
-                "grouped",
-                "bin",
-                (F.sum("n").over(upto) - F.col("n")).alias("before"),
-                F.sum("n").over(upto).alias("upto"),
-                F.sum("n").over(whole).alias("all"),
-            )
-            .groupBy("grouped")
-            .agg(
-                F.max(F.when(F.col("before") < F.col("all") * SHARE, F.col("bin"))).alias("last"),
-                F.max(F.when(F.col("before") < F.col("all") * 0.5, F.col("bin"))).alias("middle"),
-            )
+        .groupBy(*keys)
+        .agg(
+            F.max(F.when(F.col("before") < F.col("all") * SHARE, F.col("bin"))).alias("last"),
+            F.max(F.when(F.col("before") < F.col("all") * 0.5, F.col("bin"))).alias("middle"),
         )
-        sums = (
-            binned.join(near, "grouped")
-            .where(F.col("bin") <= F.col("last"))
-            .groupBy("grouped")
-            .agg(
-                F.count("*").alias("n"),
-                F.array(*(F.sum(x) for x in xs)).alias("sums"),
-                F.array(*(F.sum(p) for p in products)).alias("products"),
-                F.max("middle").alias("middle"),
-            )
+    )
+    sums = (
+        binned.join(beside(near), keys)
+        .where(F.col("bin") <= F.col("last"))
+        .groupBy(*keys)
+        .agg(
+            F.count("*").alias("n"),
+            F.array(*(F.sum(x) for x in xs)).alias("sums"),
+            F.array(*(F.sum(p) for p in products)).alias("products"),
+            F.max("middle").alias("middle"),
         )
-        # Half of a normal sample lies within the median of chi-squared.
-        scale = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("middle") + 1) / 16) / MEDIAN_CHI2)
-        model = _invert(sums.withColumn("scale", scale))
-    return stored(model, "mcd-model")
+    )
+    # Half of a normal sample lies within the median of chi-squared.
+    scale = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("middle") + 1) / 16) / MEDIAN_CHI2)
+    return _invert(sums.withColumn("scale", scale))
+
+
+def beside_rows(count: int):
+    """How a table of ``count`` groups is joined to all texts: broadcast while it is small.
+
+    Beyond the bound it is a plain join, of which adaptive execution splits hot groups.
+    """
+    return F.broadcast if count <= SMALL_GROUPS else lambda frame: frame
+
+
+def estimates(vectors: DataFrame) -> DataFrame:
+    """MCD estimate of every group: grouped, mean, inverse.
+
+    ``vectors`` has grouped and x0..x4, one row for each text and group. From each of two
+    starts the nearest texts are taken again and again until no subset changes (its
+    determinant stands still) or ``MOST_STEPS`` are done; of each group's subsets the one
+    with the smallest determinant stays.
+    """
+    model = stored(_starts(vectors), "mcd-model")
+    beside = beside_rows(2 * model.select("grouped").distinct().count())
+    before = None
+    for _ in range(MOST_STEPS):
+        model = stored(_next_estimate(vectors, model, beside), "mcd-model")
+        state = model.agg(
+            F.sum(F.xxhash64("grouped", "start", F.round("logdet", 5)).cast("decimal(38,0)"))
+        ).first()[0]
+        if state == before:
+            break
+        before = state
+    least = F.min_by(F.struct("mean", "inverse"), F.struct("logdet", "start")).alias("best")
+    return stored(model.groupBy("grouped").agg(least).select("grouped", "best.*"), "mcd-model")
 
 
 def _group(level: int, *columns: str) -> Column:
@@ -259,8 +299,9 @@ def judged(docs: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id, text, lang and source; other columns are left alone.
     Null and empty texts have no words and so fail the base test; null
-    languages and sources are groups like others; repeated rows are judged
-    alike; of an empty table nothing is returned.
+    languages and sources are groups like others; groups with few texts go by the
+    estimate of their language, or of all texts however few these are; repeated rows are
+    judged alike; of an empty table nothing is returned.
     """
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     groups = [_group(2, "lang", "source"), _group(1, "lang"), _group(0)]
@@ -272,8 +313,10 @@ def judged(docs: DataFrame) -> DataFrame:
         F.explode(F.array(*names)).alias("grouped"), *xs
     )
     sizes = good.groupBy("grouped").agg(F.count("*").alias("n"))
-    enough = stored(sizes.where(F.col("n") >= LEAST_TEXTS).select("grouped"), "mcd-groups")
-    model = estimates(good.join(enough, "grouped"))
+    many = (F.col("n") >= LEAST_TEXTS) | (F.col("grouped") == _group(0))
+    enough = stored(sizes.where(many).select("grouped"), "mcd-groups")
+    beside = beside_rows(enough.count())
+    model = estimates(good.join(beside(enough), "grouped"))
     result = facts
     for i in range(len(names)):
         side = model.select(
@@ -281,7 +324,7 @@ def judged(docs: DataFrame) -> DataFrame:
             F.col("mean").alias(f"mean{i}"),
             F.col("inverse").alias(f"inverse{i}"),
         )
-        result = result.join(side, f"name{i}", "left")
+        result = result.join(beside(side), f"name{i}", "left")
     result = result.withColumn(
         "distance",
         F.coalesce(*(_distance(f"mean{i}", f"inverse{i}") for i in range(len(names)))),

@@ -79,3 +79,54 @@ def test_odd_rows(frame):
     assert quality_mcd.judged(frame([])).collect() == []
     assert quality_mcd.drop_rejected(made).count() == 80
     assert quality_mcd.drop_rejected(made).columns == made.columns
+
+
+def _plain_mcd(rows, starts):
+    """Least log determinant over many random starts, each taken until it stands still."""
+    draw, least = np.random.default_rng(9), (np.inf, None)
+    size = int(np.ceil(quality_mcd.SHARE * len(rows)))
+    floors = np.diag(np.square(quality_mcd.FLOORS))
+    for _ in range(starts):
+        own = rows[draw.choice(len(rows), 12, replace=False)]
+        for _ in range(30):
+            mean, cov = own.mean(axis=0), np.cov(own.T, bias=True) + floors
+            off = rows - mean
+            far = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
+            own = rows[np.argsort(far)[:size]]
+        logdet = np.linalg.slogdet(np.cov(own.T, bias=True) + floors)[1]
+        least = min(least, (logdet, tuple(own.mean(axis=0))))
+    return least
+
+
+def test_determinant_is_near_the_least(spark):
+    draw = np.random.default_rng(11)
+    clean = draw.multivariate_normal(np.zeros(5), np.eye(5) + 0.6, 1_500)
+    odd = draw.normal([5, -5, 5, -5, 0], 0.2, (300, 5))
+    rows = np.vstack([clean, odd])
+    frame = spark.createDataFrame(
+        [("g", *map(float, x)) for x in rows],
+        "grouped string, x0 double, x1 double, x2 double, x3 double, x4 double",
+    )
+    logdet, mean = _plain_mcd(rows, 40)
+    model = quality_mcd.estimates(frame).first()
+    assert np.abs(np.array(model["mean"]) - mean).max() < 0.1
+    inverse = np.array(model["inverse"]).reshape(5, 5)
+    off = rows - np.array(model["mean"])
+    far = np.einsum("ij,jk,ik->i", off, inverse, off)
+    own = rows[np.argsort(far)[: int(np.ceil(quality_mcd.SHARE * len(rows)))]]
+    floors = np.diag(np.square(quality_mcd.FLOORS))
+    ours = np.linalg.slogdet(np.cov(own.T, bias=True) + floors)[1]
+    assert ours < logdet + 0.1
+    assert far[1_500:].min() > quality_mcd.CUTOFF
+
+
+def test_small_tables_are_judged_too(frame):
+    draw = random.Random(4)
+    texts = [" ".join(f"word{draw.randrange(99)}" for _ in range(60)) for _ in range(40)]
+    rows = [(i, text, "en", "s") for i, text in enumerate(texts)]
+    rows.append((99, " ".join(f"#w{i}$%*" for i in range(60)), "en", "s"))
+    found = {r.doc_id: r for r in quality_mcd.judged(frame(rows)).collect()}
+    assert not found[99].base_failed and not found[99].kept and found[99].distance > quality_mcd.CUTOFF
+    assert all(found[i].kept for i in range(40))
+    (one,) = quality_mcd.judged(frame(rows[:1])).collect()
+    assert one.kept
