@@ -15,7 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,7 @@ from postloom.llm.storage import stored
 
 SEED = 20_240_601
 BUCKET_BYTES = 24 << 20
+RUN_OF = 4_096  # buckets
 ROW_BYTES = 16  # counted for a record beside its text
 
 
@@ -43,45 +44,66 @@ def shuffled(
 ) -> DataFrame:
     """All records with their columns, and ``shard`` and ``slot`` in a random order.
 
-    Columns of ``docs`` that are named shard or slot give way to these. The same
-    input files and seed give the same order, also when tasks are run again. Nulls
-    are records like others, repeated rows are placed each, an empty table gives no
-    rows; with fewer records than shards some shards are empty.
+    Columns of ``docs`` that are named shard or slot give way to these; all others stay,
+    whatever their names. The same input files, read in the same splits, and seed give
+    the same order, also when tasks are run again. Nulls are records like others, repeated
+    rows are placed each, an empty table gives no rows; with fewer records than shards
+    some shards are empty.
     """
-    keep = [c for c in docs.columns if c.lower() not in ("shard", "slot", "_bucket", "_row", "_at")]
-    source = docs.select(*keep)
+    keep = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    mark = "_"
+    while any(c.lower().startswith(mark) for c in keep):
+        mark += "_"
+    row_, bucket_, at_, base_, shard_ = (mark + n for n in ("row", "bucket", "at", "base", "shard"))
+    source = docs.select(*(F.col(f"`{c}`") for c in keep))
     total = source.agg(F.sum(record_size()), F.count("*")).first()
     rows = total[1]
     buckets = max(1, math.ceil((total[0] or 0) / bucket_bytes))
-    row = F.monotonically_increasing_id()
-    scattered = source.withColumn("_row", row).withColumn(
-        "_bucket", F.pmod(F.xxhash64(F.lit(seed), "_row"), F.lit(buckets)).cast("int")
+    scattered = source.withColumn(row_, F.monotonically_increasing_id()).withColumn(
+        bucket_, F.pmod(F.xxhash64(F.lit(seed), row_), F.lit(buckets)).cast("int")
     )
 
     def shuffle(key: tuple, bucket: pa.Table) -> pa.Table:
-        places = np.argsort(bucket.column("_row").to_numpy(), kind="stable")
+        places = np.argsort(bucket.column(row_).to_numpy(), kind="stable")
         order = places[fisher_yates(len(places), [seed, key[0].as_py()])]
         at = pa.array(np.arange(len(order)), pa.int64())
-        return bucket.take(pa.array(order)).drop_columns(["_row"]).append_column("_at", at)
+        return bucket.take(pa.array(order)).drop_columns([row_]).append_column(at_, at)
 
     schema = T.StructType(
-        [f for f in scattered.schema.fields if f.name != "_row"] + [T.StructField("_at", T.LongType())]
+        [f for f in scattered.schema.fields if f.name != row_] + [T.StructField(at_, T.LongType())]
     )
-    done = stored(scattered.groupBy("_bucket").applyInArrow(shuffle, schema), "shuffled")
-    # One number for each bucket of bounded size comes to the driver.
-    sizes = done.groupBy("_bucket").count().orderBy("_bucket").collect()
-    bases, before = [], 0
-    for size in sizes:
-        bases.append((size[0], before))
-        before += size[1]
-    base = docs.sparkSession.createDataFrame(bases, "_bucket int, _base long")
-    place = F.col("_base") + F.col("_at")
-    shard = F.expr(f"(_base + _at) * {shards}L DIV {max(rows, 1)}L")
-    first = F.expr(f"({shards}L - 1 + {max(rows, 1)}L * _shard) DIV {shards}L")
+    done = stored(scattered.groupBy(bucket_).applyInArrow(shuffle, schema), "shuffled")
+    base = _starts(done.groupBy(F.col(bucket_).alias("bucket")).agg(F.count("*").alias("n")))
+    base = base.select(F.col("bucket").alias(bucket_), F.col("before").alias(base_))
+    place = F.col(base_) + F.col(at_)
+    shard = F.expr(f"({base_} + {at_}) * {shards}L DIV {max(rows, 1)}L")
+    first = F.expr(f"({shards}L - 1 + {max(rows, 1)}L * {shard_}) DIV {shards}L")
     return (
-        done.join(base, "_bucket")
-        .withColumn("_shard", shard)
-        .select(*keep, F.col("_shard").cast("int").alias("shard"), (place - first).alias("slot"))
+        done.join(base, bucket_)
+        .withColumn(shard_, shard)
+        .select(
+            *(F.col(f"`{c}`") for c in keep),
+            F.col(shard_).cast("int").alias("shard"),
+            (place - first).alias("slot"),
+        )
+    )
+
+
+def _starts(sizes: DataFrame) -> DataFrame:
+    """bucket and before (records of all buckets below it), by sums of runs of buckets.
+
+    A task sees one run of ``RUN_OF`` buckets, and one task a row for each run.
+    """
+    run = F.floor(F.col("bucket") / RUN_OF)
+    sizes = stored(sizes.withColumn("run", run), "shuffled-sizes")
+    earlier = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = sizes.groupBy("run").agg(F.sum("n").alias("n")).select(
+        "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("of_run")
+    )
+    within = Window.partitionBy("run").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inside = sizes.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    return inside.join(runs, "run").select(
+        "bucket", (F.col("of_run") + F.col("inside")).alias("before")
     )
 
 

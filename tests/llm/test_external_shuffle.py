@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 
+from postloom.llm import external_shuffle
 from postloom.llm.external_shuffle import fisher_yates, shard_digests, shuffled, write_shards
 from tests.llm.conftest import ODD
 
@@ -59,3 +60,27 @@ def test_odd_rows_and_files(spark, frame, scratch):
     write_shards(made, scratch, 3)
     back = spark.read.parquet(scratch)
     assert back.count() == len(ODD) and back.select("shard").distinct().count() == 3
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(i, f"t{i}", i, i + 1, i + 2, i + 3, "d") for i in range(50)]
+    names = ["doc_id", "text", "_at", "_row", "_bucket", "_base", "d"]
+    made = spark.createDataFrame(rows, names)
+    placed = shuffled(made, 4, bucket_bytes=200)
+    assert placed.columns == [*names, "shard", "slot"]
+    found = placed.collect()
+    assert sorted(tuple(r)[:7] for r in found) == rows
+    sizes = [sorted(r.slot for r in found if r.shard == s) for s in range(4)]
+    assert all(s == list(range(len(s))) for s in sizes) and sum(map(len, sizes)) == 50
+
+
+def test_starts_of_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(external_shuffle, "RUN_OF", 7)
+    sizes = spark.range(100).where("id % 9 != 4").selectExpr("id AS bucket", "id % 5 + 1 AS n")
+    found = {r.bucket: r.before for r in external_shuffle._starts(sizes).collect()}
+    before = 0
+    for bucket in range(100):
+        if bucket % 9 != 4:
+            assert found.pop(bucket) == before
+            before += bucket % 5 + 1
+    assert not found
