@@ -59,12 +59,31 @@ def matched(rules: list[tuple[str, str, str]], host: Column, path: Column) -> tu
     return first([d + p for _, d, p in ordered]), first([v for v, _, _ in ordered])
 
 
-def _parents(hosts: DataFrame) -> DataFrame:
-    """Edges between each host and the domain above it, where that has a dot itself."""
-    above = F.regexp_extract("host", r"^[^.]+\.([^.]+\..+)$", 1)
-    each = hosts.select(F.col("host").alias("a"), above.alias("b")).where(F.col("b") != "")
+def _family(hosts: DataFrame) -> DataFrame:
+    """Edges (source, target) both ways between each domain of a host and the next above it.
+
+    A host with any number of labels is taken apart at all its dots, down to two labels.
+    """
+    labels = F.split("host", "[.]")
+    domain = F.explode(
+        F.transform(
+            F.sequence(F.lit(1), F.size("labels") - 1),
+            lambda i: F.array_join(F.slice("labels", i, F.size("labels")), "."),
+        )
+    )
+    above = F.regexp_extract("domain", r"^[^.]+[.]([^.]+[.].+)$", 1)
+    each = (
+        hosts.select(labels.alias("labels"))
+        .where(F.size("labels") > 2)
+        .select(domain.alias("domain"))
+        .distinct()
+        .select(F.col("domain").alias("a"), above.alias("b"))
+        .where((F.col("a") != "") & (F.col("b") != ""))
+    )
     pair = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
-    return each.select(F.explode(F.array(*pair)).alias("e")).select("e.a", "e.b")
+    return each.select(F.explode(F.array(*pair)).alias("e")).select(
+        F.col("e.a").alias("source"), F.col("e.b").alias("target")
+    )
 
 
 def edges_between(pages: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -75,13 +94,8 @@ def edges_between(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     )
     whole = F.when(F.col("link").startswith("//"), F.concat(F.lit("x:"), "link")).otherwise(F.col("link"))
     linked = links.select("source", host_of(whole).alias("target"))
-    up = hosts
-    # Domains above domains, as far as names of eight labels go at each step of their own.
-    family = _parents(up)
-    for _ in range(3):
-        up = family.select(F.col("b").alias("host")).distinct()
-        family = family.union(_parents(up))
-    family = family.distinct().select(F.col("a").alias("source"), F.col("b").alias("target"))
+    known = hosts.select("host").union(linked.select(F.col("target").alias("host"))).distinct()
+    family = _family(known)
     return (
         linked.union(family)
         .where((F.col("source") != "") & (F.col("target") != "") & (F.col("source") != F.col("target")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from postloom.llm import host_graph
 from postloom.llm.storage import table
@@ -92,3 +93,20 @@ def test_propagation_against_numpy(spark):
     for r in found:
         own[int(r.host[1:])] = r.score
     assert np.abs(own - score).max() < 1e-12
+
+
+def test_hosts_of_many_labels_reach_their_domain(spark):
+    host = "a.b.c.d.e.f.g.plain.com"
+    hosts = spark.createDataFrame([(host,), ("x.y.z.plain.com",), ("plain.com",), ("com",), ("",)], "host string")
+    found = {(r.source, r.target) for r in host_graph._family(hosts).collect()}
+    labels = host.split(".")
+    chain = [".".join(labels[i:]) for i in range(len(labels) - 1)]
+    other = ["x.y.z.plain.com", "y.z.plain.com", "z.plain.com", "plain.com"]
+    expected = {p for c in (chain, other) for p in zip(c, c[1:])}
+    assert found == expected | {(b, a) for a, b in expected}
+    pages = spark.createDataFrame(
+        [(1, "http://s.com/", '<a href="http://q.r.t.far.org/x">l</a>')], SCHEMA
+    ).select("page_id", host_graph.host_of(F.col("url")).alias("host"), "html")
+    edges = host_graph.edges_between(pages, pages.select("host"))
+    # Hosts that are only linked to have domains above them too.
+    assert ("r.t.far.org", "t.far.org") in {(r.source, r.target) for r in edges.collect()}
