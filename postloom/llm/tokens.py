@@ -20,6 +20,8 @@ from postloom.llm.words import SPACES
 
 # Encoded parts that a Python worker keeps; then it starts anew.
 KEPT_PARTS = 200_000
+# Bytes that kept words of the library may take, with about so many for each beside its text.
+KEPT_BYTES, ENTRY_BYTES = 88 << 20, 180
 
 # Bytes after a space at which a part may start. Left out are white space, bytes that
 # may start other white space, and "<", since a special token ends what is before it.
@@ -70,10 +72,12 @@ class Kept:
         self.places: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.bytes = 0
 
     def add(self, names: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         """Keep the ids of new strings."""
         first = len(self.starts)
+        self.bytes += sum(map(len, names)) + ENTRY_BYTES * len(names) + 4 * len(ids)
         self.places.update(zip(names, range(first, first + len(names))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
@@ -99,6 +103,10 @@ class PartEncoder:
         """Ids of distinct parts in a row, and the number of each."""
         raise NotImplementedError
 
+    def full(self, kept: Kept) -> bool:
+        """Whether to start anew before more is kept."""
+        return len(kept.places) > KEPT_PARTS
+
     def cuts(self, data: np.ndarray) -> np.ndarray:
         """Whether a part may start at each byte but the first."""
         before, after = data[:-1], data[1:]
@@ -134,7 +142,7 @@ class PartEncoder:
         if not len(parts):
             return np.zeros(0, np.int64)
         names = parts.dictionary.to_pylist()
-        if len(self.kept.places) > KEPT_PARTS:
+        if self.full(self.kept):
             self.kept.forget()
         fresh = [n for n in names if n not in self.kept.places]
         if fresh:
@@ -171,13 +179,17 @@ class LibraryWords(PartEncoder):
         edge[:-1] |= (data[1:-1] == 0x20) & _STARTS[data[2:]] & ~_LETTER[data[2:]]
         return edge
 
+    def full(self, kept: Kept) -> bool:
+        """Whether to start anew before more is kept: by bytes, so long parts count."""
+        return kept.bytes > KEPT_BYTES
+
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct parts in a row, and the number of each."""
-        if len(self.words.places) > KEPT_PARTS:
+        if self.full(self.words):
             self.words.forget()
         found = [
             [p.lower()]
-            if p.isascii() and p.isalpha()
+            if p.isalpha() and (p.isascii() or plain(p))
             else self._WORDS.findall(p.lower())
             if plain(p) and "<|" not in p
             else None
@@ -190,7 +202,14 @@ class LibraryWords(PartEncoder):
         fresh = [n for n in dict.fromkeys(flat) if n not in self.words.places and n[0] != "\0"]
         model, letters = self.tokenizer.model, self.letters
         encoded = [
-            [t.id for t in model.tokenize("".join([letters[b] for b in word.encode()]))]
+            [
+                t.id
+                for t in model.tokenize(
+                    word
+                    if word.isascii() and word.isalpha()
+                    else "".join([letters[b] for b in word.encode()])
+                )
+            ]
             for word in fresh
         ]
         whole = [p for p in dict.fromkeys(whole) if "\0" + p not in self.words.places]
