@@ -111,6 +111,8 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     ],
                     ["row", "doc_id", "key", "tie", "tokens", "ids"],
                 )
+        # The worker goes on to other stages, which need the memory.
+        words.forget()
 
     return docs.select(
         F.monotonically_increasing_id().alias("row"),

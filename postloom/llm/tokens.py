@@ -21,7 +21,7 @@ from postloom.llm.words import SPACES
 # Encoded parts that a Python worker keeps; then it starts anew.
 KEPT_PARTS = 200_000
 # Bytes that kept words of the library may take, with about so many for each beside its text.
-KEPT_BYTES, ENTRY_BYTES = 88 << 20, 180
+KEPT_BYTES, ENTRY_BYTES = 72 << 20, 180
 
 # Bytes after a space at which a part may start. Left out are white space, bytes that
 # may start other white space, and "<", since a special token ends what is before it.
@@ -183,6 +183,11 @@ class LibraryWords(PartEncoder):
         """Whether to start anew before more is kept: by bytes, so long parts count."""
         return kept.bytes > KEPT_BYTES
 
+    def forget(self) -> None:
+        """Drop all kept parts and words."""
+        self.kept.forget()
+        self.words.forget()
+
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct parts in a row, and the number of each."""
         if self.full(self.words):
