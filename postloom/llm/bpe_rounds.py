@@ -5,12 +5,15 @@ of every neighbouring pair is found by binary search over the sorted pair keys o
 the merges, the lowest rank of each word by a segmented minimum, and all pairs of
 that rank are merged (of overlapping ones, every second from the left); words in
 which nothing can be merged leave the array. That is the order of the sequential
-algorithm, as a merge only makes pairs of later ranks.
+algorithm, as a merge only makes pairs of later ranks. A very long word needs many
+rounds; it is merged by itself, with the places of its pairs filed by rank, so that a
+round costs what it merges and not what the word has left.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from postloom.llm.tokens import Kept, KEPT_PARTS, PartEncoder, byte_letters, encoder, plain, ragged, text_runs
 
 RUN_BYTES = 1 << 22
+LONG = 4_096  # bytes of a word beyond which it is merged by itself
 _NONE = np.int64(1) << 40
 
 
@@ -56,6 +60,7 @@ class ByteBpe(PartEncoder):
         keys = left * self.size + right
         order = np.argsort(keys, kind="stable")
         self.pair_keys, self.pair_ranks = keys[order], order
+        self.rank_places = np.argsort(order)
         self.pair_merged = np.array([vocabulary[a + b] for a, b in pairs], np.int64)[order]
 
         spelled = [b""] * self.size
@@ -110,6 +115,68 @@ class ByteBpe(PartEncoder):
 
     def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words in a row, and the number of each, by merge rounds."""
+        if max(map(len, words)) <= LONG:
+            return self._merged_together(words)
+        short = [w for w in words if len(w) <= LONG]
+        ids, counts = self._merged_together(short) if short else ([], [])
+        parts = iter(np.split(np.asarray(ids, np.int64), np.cumsum(counts, dtype=np.int64)))
+        each = [next(parts) if len(w) <= LONG else self._merged_alone(w) for w in words]
+        return np.concatenate(each), np.array([len(e) for e in each], np.int64)
+
+    def _merged_alone(self, word: bytes) -> np.ndarray:
+        """Ids of one word, by rounds over the places that are filed under the lowest rank.
+
+        A merged pair stays at the place of its left symbol; ``after`` and ``before`` name the
+        neighbours that are left. A place may be filed under pairs that are gone since, so a
+        round looks at the symbols again.
+        """
+        symbols = self.first_ids[np.frombuffer(word, np.uint8)]
+        size = len(symbols)
+        after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+        filed: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def file(places: np.ndarray) -> None:
+            keys = symbols[places] * self.size + symbols[after[places]]
+            at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+            known = self.pair_keys[at] == keys
+            places, rank = places[known], self.pair_ranks[at[known]]
+            order = np.argsort(rank, kind="stable")
+            places, rank = places[order], rank[order]
+            starts = np.flatnonzero(np.diff(rank, prepend=-1))
+            for low, high in zip(starts, [*starts[1:], len(rank)]):
+                lowest = int(rank[low])
+                if lowest not in filed:
+                    filed[lowest] = []
+                    heapq.heappush(ranks, lowest)
+                filed[lowest].append(places[low:high])
+
+        file(np.arange(size - 1))
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            places = np.unique(np.concatenate(filed.pop(lowest)))
+            at = self.rank_places[lowest]
+            left, right = divmod(int(self.pair_keys[at]), self.size)
+            places = places[(symbols[places] == left) & (after[places] < size)]
+            places = places[symbols[after[places]] == right]
+            if not len(places):
+                continue
+            if left == right:
+                # In a run of overlapping pairs, as in "aaa", every second one is merged.
+                nth = np.arange(len(places))
+                linked = np.concatenate([[False], after[places[:-1]] == places[1:]])
+                places = places[(nth - np.maximum.accumulate(np.where(linked, 0, nth))) % 2 == 0]
+            gone = after[places]
+            symbols[places], symbols[gone] = self.pair_merged[at], -1
+            after[places] = after[gone]
+            followed = places[after[places] < size]
+            before[after[followed]] = followed
+            led = before[places]
+            file(np.unique(np.concatenate([followed, led[led >= 0]])))
+        return symbols[symbols >= 0]
+
+    def _merged_together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number, of words that all take part in each round."""
         sizes = np.array([len(w) for w in words], np.int64)
         symbols = self.first_ids[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -44,6 +45,26 @@ def test_against_library(kind, path):
         assert own == encoded.ids, repr(texts[i][:200])
 
 
+def test_very_long_words():
+    draw = random.Random(31)
+    letters = "etaoinshrdlu"
+    texts = [
+        "a" * 100_001,
+        "ab" * 30_000 + " short " + "".join(draw.choice(letters) for _ in range(60_000)) + " end",
+        "".join(draw.choice(letters) for _ in range(400_000)),
+        "x " + "中文字" * 3_000 + " y",
+        "=-" * 9_000 + "".join(draw.choice("0123456789") for _ in range(9_000)),
+    ]
+    began = time.monotonic()
+    ids, counts = ByteBpe(BYTES).encode(pa.array(texts))
+    assert time.monotonic() - began < 60
+    ends = np.cumsum(counts)
+    library = Tokenizer.from_file(BYTES)
+    for i, text in enumerate(texts):
+        own = ids[ends[i] - counts[i] : ends[i]].tolist()
+        assert own == library.encode(text, add_special_tokens=False).ids
+
+
 def test_digests(docs, frame):
     library = Tokenizer.from_file(BYTES)
     rows = {r.doc_id: r for r in digests(docs, BYTES).collect()}
