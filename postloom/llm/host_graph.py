@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postloom.llm.storage import stored
@@ -26,7 +26,7 @@ RULES = [
     ("allow", "org", "/fr/"),
 ]
 DAMPING = 0.85
-ROUNDS = 10
+REST = 0.02  # share of the seeds that is not passed on any more, at most
 THRESHOLD = 0.5  # share of distrust beyond which a host is blocked
 UNJUDGED = 0.5  # what a host's pages that no rule fits are worth beside allowed ones
 
@@ -107,8 +107,11 @@ def edges_between(pages: DataFrame, hosts: DataFrame) -> DataFrame:
 def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """host and score: PageRank personalised to ``seeds`` (host, seed).
 
-    ``edges`` has source, target and weight. Scores of hosts that pass nothing on stay
-    with them; the sum of scores is bounded by that of the seeds.
+    ``edges`` has source, target and weight. A host keeps a part of what reaches it and
+    passes the rest on, in rounds, until what is still on its way is ``REST`` of the seeds
+    at most. It shrinks by ``DAMPING`` in each round at least, so that 24 rounds are enough
+    for any graph. What hosts without edges would pass on is lost; the sum of scores is
+    bounded by that of the seeds.
     """
     out = edges.groupBy("source").agg(F.sum("weight").alias("total"))
     shares = stored(
@@ -118,16 +121,26 @@ def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         "host-shares",
     )
     seeds = stored(seeds.where(F.col("seed") > 0), "host-seeds")
-    scores = seeds.select("host", F.col("seed").alias("score"))
-    for _ in range(ROUNDS):
-        passed = shares.join(scores, shares["source"] == scores["host"]).select(
+    whole = seeds.agg(F.sum("seed")).first()[0] or 0.0
+
+    def kept(scores: DataFrame) -> tuple[DataFrame, float]:
+        seen = Observation()
+        table = stored(scores.observe(seen, F.sum("score").alias("sum")), "host-reached")
+        return table, seen.get["sum"] or 0.0
+
+    reached, new = kept(seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("score")))
+    rounds = [reached]
+    # What a round adds is (1 - DAMPING) of all that is still to be shared out.
+    while new * DAMPING > REST * whole * (1 - DAMPING):
+        passed = shares.join(reached, shares["source"] == reached["host"]).select(
             F.col("target").alias("host"), (F.col("share") * F.col("score") * DAMPING).alias("score")
         )
-        own = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("score"))
-        scores = stored(
-            passed.union(own).groupBy("host").agg(F.sum("score").alias("score")), "host-scores"
-        )
-    return scores
+        reached, new = kept(passed.groupBy("host").agg(F.sum("score").alias("score")))
+        rounds.append(reached)
+    return stored(
+        reduce(DataFrame.union, rounds).groupBy("host").agg(F.sum("score").alias("score")),
+        "host-scores",
+    )
 
 
 def judged_pages(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:

@@ -82,9 +82,9 @@ def test_propagation_against_numpy(spark):
     matrix /= np.maximum(matrix.sum(axis=1, keepdims=True), 1e-300)
     seed = np.zeros(30)
     seed[:3] = [1.0, 0.5, 0.25]
-    score = seed.copy()
-    for _ in range(host_graph.ROUNDS):
-        score = host_graph.DAMPING * (score @ matrix) + (1 - host_graph.DAMPING) * seed
+    score = (1 - host_graph.DAMPING) * np.linalg.solve(
+        np.eye(30) - host_graph.DAMPING * matrix.T, seed
+    )
     found = host_graph.propagated(
         spark.createDataFrame([(f"h{a}", f"h{b}", w) for (a, b), w in edges.items()], "source string, target string, weight double"),
         spark.createDataFrame([(f"h{i}", float(s)) for i, s in enumerate(seed)], "host string, seed double"),
@@ -92,7 +92,9 @@ def test_propagation_against_numpy(spark):
     own = np.zeros(30)
     for r in found:
         own[int(r.host[1:])] = r.score
-    assert np.abs(own - score).max() < 1e-12
+    # All that is missing from the solved system is what was still on its way.
+    missing = score - own
+    assert missing.min() > -1e-12 and 0 <= missing.sum() <= host_graph.REST * seed.sum()
 
 
 def test_hosts_of_many_labels_reach_their_domain(spark):
