@@ -9,8 +9,9 @@ agree on many tokens; its members are compared with its first one, and if that
 leaves it in more than one component, those outside its largest component are
 compared with all of it, however large it is: in blocks of bounded size, which
 many tasks share. Two texts of similarity 0.8 part at a level with a chance of a
-fifth, so sixteen trees miss a link that is decided at level 3 once in 70,000
-times, and one that is decided at level 4 once in 5,000.
+fifth, so sixteen trees of four levels miss a link that is decided at level 3 once in
+70,000 times, and one that is decided at level 4 once in 5,000. Levels and trees follow
+from the similarity that is asked for, so that others are missed as rarely.
 
 Candidates are confirmed on full sets of 64-bit shingle hashes: those of nodes
 with much to compare within the block, others by a join. Since only components are
@@ -19,6 +20,7 @@ asked for, candidates within one component are passed over.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +34,9 @@ from postloom.llm.words import _power, grams, hashes, mix, slices
 
 TOKENS = 64  # minwise tokens of a set
 WIDE = 512  # of a set that is compared closely
-TREES = 16
-LEVELS = 4
+MISSED = 1 / 4_500  # of links decided at the last level, at most
+TOGETHER = 0.4  # chance at which a link is still together at the last level of a tree
+MOST_LEVELS = 8
 LEAF = 32  # largest node that is small
 WORK = 1 << 20  # comparisons in one node beyond which blocks hold full sets
 CHUNK, CHUNK_SETS = 1_024, 1 << 21  # texts and shingles of either side of a block, about
@@ -45,6 +48,13 @@ _POSITION = 0x2545F4914F6CDD1D
 _STEP = 1 << 30  # more than chunks of a node
 
 
+def trees_for(similarity: float) -> tuple[int, int]:
+    """Levels of a tree and number of trees that miss a link of that similarity rarely enough."""
+    levels = max(1, sum(similarity**k >= TOGETHER for k in range(1, MOST_LEVELS + 1)))
+    parted = max(1 - similarity**levels, 1e-9)
+    return levels, math.ceil(math.log(MISSED) / math.log(parted))
+
+
 def shingle_sets(column: pa.Array, words: int) -> Iterator[list[np.ndarray]]:
     """The sorted distinct shingle hashes of each text, some texts at a time.
 
@@ -129,19 +139,19 @@ def _order(tree: int) -> np.ndarray:
     return np.random.default_rng(1_000 + tree).permutation(TOKENS)
 
 
-def _branched(opened: DataFrame, level: int) -> DataFrame:
+def _branched(opened: DataFrame, level: int, trees: int) -> DataFrame:
     """id and node of the open trees of each class; ``opened`` has id, tokens, trees."""
-    orders = [_order(tree)[: level + 1] for tree in range(TREES)]
+    orders = [_order(tree)[: level + 1] for tree in range(trees)]
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = _table(batch.column("tokens"), np.uint32, TOKENS).astype(np.uint64)
-            trees = batch.column("trees")
-            tree = trees.flatten().to_numpy().astype(np.int64)
-            row = trees.value_parent_indices().to_numpy().astype(np.int64)
+            open_trees = batch.column("trees")
+            tree = open_trees.flatten().to_numpy().astype(np.int64)
+            row = open_trees.value_parent_indices().to_numpy().astype(np.int64)
             ids = batch.column("id").to_numpy()
             node = np.zeros(len(tree), np.uint64)
-            for t in range(TREES):
+            for t in range(trees):
                 own = np.flatnonzero(tree == t)
                 path = np.full(len(own), t + 1, np.uint64)
                 for place in orders[t]:
@@ -171,6 +181,7 @@ def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFra
     percent = round(100 * similarity)
     first = mode == "first"
     whole = mode in ("all", "exact")
+    count = trees_for(similarity)[1]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -213,7 +224,7 @@ def _near(nodes: DataFrame, similarity: float, width: int, mode: str) -> DataFra
             own_nodes = rows.column("own").combine_chunks()
             where = own_nodes.value_parent_indices().to_numpy()
             listed = own_nodes.flatten()
-            by_tree = np.zeros((len(ids), TREES), np.int64)
+            by_tree = np.zeros((len(ids), count), np.int64)
             by_tree[where, listed.field("tree").to_numpy()] = listed.field("node").to_numpy()
         if mode == "exact":
             flat = [np.frombuffer(h.as_buffer(), np.uint64) for h in rows.column("hashes")]
@@ -337,9 +348,8 @@ def _class_links(docs: DataFrame, classes: DataFrame, words: int, similarity: fl
     def confirm(pairs: DataFrame) -> DataFrame:
         return stored(_confirmed(pairs, sets, percent), "path-links")
 
-    opened = classes.withColumn("trees", F.array(*(F.lit(t) for t in range(TREES))))
     features = classes.select("id", "n", "sketch")
-    nodes, large = _descended(classes, opened)
+    nodes, large = _descended(classes, *trees_for(similarity))
     one = nodes.where(F.col("size") <= LEAF).join(features, "id")
     near = _near(one.withColumn("component", F.col("id")), similarity, TOKENS, "first")
     stars = large.where(F.col("id") != F.col("pivot")).select(
@@ -398,9 +408,14 @@ def _mixed(nodes: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame
 
 
 def _chunks(count: Column, shingles: Column) -> Column:
-    """Number of chunks that so many texts with so many shingles are dealt over."""
-    cut = F.greatest(F.ceil(count / CHUNK), F.ceil(shingles / CHUNK_SETS))
-    return F.when(F.col("work") > WORK, cut).otherwise(1).cast("long")
+    """Number of chunks that so many texts with so many shingles are dealt over.
+
+    Shingles count where blocks hold full sets. A node with few members outside its largest
+    component is little work however large that is, and yet no task gets it whole.
+    """
+    texts = F.ceil(count / CHUNK)
+    cut = F.greatest(texts, F.ceil(shingles / CHUNK_SETS))
+    return F.when(F.col("work") > WORK, cut).otherwise(texts).cast("long")
 
 
 def _wide(sets: DataFrame) -> DataFrame:
@@ -420,14 +435,15 @@ def _wide(sets: DataFrame) -> DataFrame:
     return sets.select("id", "hashes").mapInArrow(sketch, "id long, sketch binary")
 
 
-def _descended(classes: DataFrame, opened: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Small nodes met on all levels and large ones of the last level.
+def _descended(classes: DataFrame, levels: int, count: int) -> tuple[DataFrame, DataFrame]:
+    """Small nodes met on all levels of ``count`` trees and large ones of the last level.
 
     Gives the rows (id, tree, node, size, pivot) of both, and of the large ones alone.
     """
     nodes = None
-    for level in range(LEVELS):
-        keyed = stored(_branched(opened, level), "path-nodes")
+    opened = classes.withColumn("trees", F.array(*(F.lit(t) for t in range(count))))
+    for level in range(levels):
+        keyed = stored(_branched(opened, level, count), "path-nodes")
         sizes = stored(
             keyed.groupBy("node")
             .agg(F.count("*").alias("size"), F.min("id").alias("pivot"))
@@ -436,7 +452,7 @@ def _descended(classes: DataFrame, opened: DataFrame) -> tuple[DataFrame, DataFr
         )
         shared = stored(keyed.join(sizes, "node"), "path-shared")
         large = shared.where(F.col("size") > LEAF)
-        done = level == LEVELS - 1 or large.isEmpty()
+        done = level == levels - 1 or large.isEmpty()
         met = shared if done else shared.where(F.col("size") <= LEAF)
         nodes = met if nodes is None else nodes.union(met)
         if done:

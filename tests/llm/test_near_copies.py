@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from postloom.llm.chosen_path import first_copies, near_copies
+from postloom.llm.chosen_path import first_copies, near_copies, trees_for
 from postloom.llm.components import components
 from tests.llm import brute
 from tests.llm.conftest import ODD
@@ -35,6 +35,50 @@ def test_large_group_of_near_copies(frame):
     assert found == expected
 
 
+def test_trees_follow_from_the_similarity():
+    assert trees_for(0.8) == (4, 16)
+    for similarity in (0.2, 0.3, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97, 1.0):
+        levels, trees = trees_for(similarity)
+        assert (1 - similarity**levels) ** trees <= 1 / 4_500
+        assert levels <= 8 and trees <= 40
+
+
+def test_other_similarities(frame):
+    draw = random.Random(17)
+    rows = []
+    for family in range(12):
+        words = [f"f{family}w{i}" for i in range(80)]
+        for member in range(25):
+            own = list(words)
+            for _ in range(draw.randrange(14)):
+                own[draw.randrange(80)] = f"x{draw.randrange(10_000)}"
+            rows.append((family * 100 + member, " ".join(own)))
+    for similarity in (0.5, 0.9):
+        expected = brute.near_copies(rows, 4, round(100 * similarity))
+        found = near_copies(frame(rows), 4, similarity).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+
+
+def test_large_component_and_one_outside_it(frame, monkeypatch):
+    # Chunks of a few texts, so that a node with little work is dealt over several blocks.
+    monkeypatch.setattr("postloom.llm.chosen_path.CHUNK", 8)
+    draw = random.Random(23)
+    words = [f"w{i}" for i in range(150)]
+    rows = []
+    for doc in range(120):
+        own = list(words)
+        own[draw.randrange(150)] = f"x{doc}"
+        rows.append((doc, " ".join(own)))
+    for doc in range(200, 206):
+        own = list(words)
+        for at in draw.sample(range(150), 6 if doc % 2 else 9):
+            own[at] = f"y{doc}-{at}"
+        rows.append((doc, " ".join(own)))
+    expected = brute.near_copies(rows, 4, 80)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_copies(frame(rows), 4).collect()}
+    assert found == expected
+
+
 def test_odd_rows(frame):
     found = near_copies(frame(ODD, extra=True), 4).collect()
     assert len(found) == len(ODD)
