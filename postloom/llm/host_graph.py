@@ -27,6 +27,7 @@ RULES = [
 ]
 DAMPING = 0.85
 REST = 0.02  # share of the seeds that is not passed on any more, at most
+ROUNDS = 4  # rounds between two tables of scores
 THRESHOLD = 0.5  # share of distrust beyond which a host is blocked
 UNJUDGED = 0.5  # what a host's pages that no rule fits are worth beside allowed ones
 
@@ -104,43 +105,58 @@ def edges_between(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     )
 
 
-def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """host and score: PageRank personalised to ``seeds`` (host, seed).
+def propagated(*graphs: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """graph, host and score: PageRank of each graph, personalised to its seeds.
 
-    ``edges`` has source, target and weight. A host keeps a part of what reaches it and
-    passes the rest on, in rounds, until what is still on its way is ``REST`` of the seeds
-    at most. It shrinks by ``DAMPING`` in each round at least, so that 24 rounds are enough
-    for any graph. What hosts without edges would pass on is lost; the sum of scores is
-    bounded by that of the seeds.
+    A graph is its edges (source, target and weight) and its seeds (host, seed); all are
+    worked out in the same jobs, and ``graph`` is the place of one in the arguments. A host
+    keeps a part of what reaches it and passes the rest on, in rounds, until what is still
+    on its way is ``REST`` of the graph's seeds at most. It shrinks by ``DAMPING`` in each
+    round at least, so that 24 rounds are enough for any graph; the scores are written and
+    looked at after every fourth. What hosts without edges would pass on is lost; the sum of
+    scores is bounded by that of the seeds.
     """
-    out = edges.groupBy("source").agg(F.sum("weight").alias("total"))
+
+    def together(frames: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.union, (f.select(F.lit(i).alias("graph"), "*") for i, f in enumerate(frames)))
+
+    edges = together([e.select("source", "target", "weight") for e, _ in graphs])
+    seeds = together([s.select("host", "seed") for _, s in graphs])
+    out = edges.groupBy("graph", "source").agg(F.sum("weight").alias("total"))
     shares = stored(
-        edges.join(out, "source").select(
-            "source", "target", (F.col("weight") / F.col("total")).alias("share")
+        edges.join(out, ["graph", "source"]).select(
+            "graph", "source", "target", (F.col("weight") / F.col("total")).alias("share")
         ),
         "host-shares",
     )
-    seeds = stored(seeds.where(F.col("seed") > 0), "host-seeds")
-    whole = seeds.agg(F.sum("seed")).first()[0] or 0.0
 
-    def kept(scores: DataFrame) -> tuple[DataFrame, float]:
+    def kept(scores: DataFrame) -> tuple[DataFrame, list[float]]:
         seen = Observation()
-        table = stored(scores.observe(seen, F.sum("score").alias("sum")), "host-reached")
-        return table, seen.get["sum"] or 0.0
-
-    reached, new = kept(seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("score")))
-    rounds = [reached]
-    # What a round adds is (1 - DAMPING) of all that is still to be shared out.
-    while new * DAMPING > REST * whole * (1 - DAMPING):
-        passed = shares.join(reached, shares["source"] == reached["host"]).select(
-            F.col("target").alias("host"), (F.col("share") * F.col("score") * DAMPING).alias("score")
-        )
-        reached, new = kept(passed.groupBy("host").agg(F.sum("score").alias("score")))
-        rounds.append(reached)
-    return stored(
-        reduce(DataFrame.union, rounds).groupBy("host").agg(F.sum("score").alias("score")),
-        "host-scores",
+        each = (F.when(F.col("graph") == i, F.col("score")) for i in range(len(graphs)))
+        sums = (F.sum(score).alias(f"sum_{i}") for i, score in enumerate(each))
+        table = stored(scores.observe(seen, *sums), "host-scores")
+        return table, [seen.get[f"sum_{i}"] or 0.0 for i in range(len(graphs))]
+
+    own = seeds.where(F.col("seed") > 0).select(
+        "graph", "host", (F.col("seed") * (1 - DAMPING)).alias("score")
     )
+    own, first = kept(own)
+    scores, before, new = own, first, first
+    # A round that adds ``new`` leaves DAMPING / (1 - DAMPING) of it for all later ones.
+    while any(n * DAMPING > REST * f for n, f in zip(new, first)):
+        for _ in range(ROUNDS):
+            passed = shares.join(scores.withColumnRenamed("host", "source"), ["graph", "source"])
+            passed = passed.select(
+                "graph",
+                F.col("target").alias("host"),
+                (F.col("share") * F.col("score") * DAMPING).alias("score"),
+            )
+            scores = own.union(passed).groupBy("graph", "host").agg(F.sum("score").alias("score"))
+        scores, sums = kept(scores)
+        # Each round adds more than the next, so that the last added this much at most.
+        new = [(s - b) / sum(DAMPING**-i for i in range(ROUNDS)) for s, b in zip(sums, before)]
+        before = sums
+    return scores
 
 
 def judged_pages(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -171,16 +187,20 @@ def judged_pages(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) ->
         "hosts",
     )
     edges = stored(edges_between(source.select("host", "html"), hosts), "host-edges")
-    trust = propagated(edges, hosts.select("host", (F.col("allowed") / F.col("pages")).alias("seed")))
-    back = edges.select(
-        F.col("target").alias("source"), F.col("source").alias("target"), "weight"
+    back = edges.select(F.col("target").alias("source"), F.col("source").alias("target"), "weight")
+    seeds = (
+        hosts.select("host", (F.col(c) / F.col("pages")).alias("seed")) for c in ("allowed", "blocked")
+    )
+    scores = propagated(*zip((edges, back), seeds))
+    trust, distrust = (
+        scores.where(F.col("graph") == i).select("host", F.col("score").alias(c))
+        for i, c in enumerate(("trust", "distrust"))
     )
-    distrust = propagated(back, hosts.select("host", (F.col("blocked") / F.col("pages")).alias("seed")))
     free = (F.col("pages") - F.col("allowed") - F.col("blocked")) / F.col("pages")
     free = free * UNJUDGED * (1 - DAMPING)
     weighed = (
-        hosts.join(trust.withColumnRenamed("score", "trust"), "host", "left")
-        .join(distrust.withColumnRenamed("score", "distrust"), "host", "left")
+        hosts.join(trust, "host", "left")
+        .join(distrust, "host", "left")
         .select(
             "host",
             free.alias("free"),

@@ -85,16 +85,29 @@ def test_propagation_against_numpy(spark):
     score = (1 - host_graph.DAMPING) * np.linalg.solve(
         np.eye(30) - host_graph.DAMPING * matrix.T, seed
     )
-    found = host_graph.propagated(
-        spark.createDataFrame([(f"h{a}", f"h{b}", w) for (a, b), w in edges.items()], "source string, target string, weight double"),
-        spark.createDataFrame([(f"h{i}", float(s)) for i, s in enumerate(seed)], "host string, seed double"),
-    ).collect()
-    own = np.zeros(30)
+    table = spark.createDataFrame(
+        [(f"h{a}", f"h{b}", w) for (a, b), w in edges.items()],
+        "source string, target string, weight double",
+    )
+    seeds = spark.createDataFrame(
+        [(f"h{i}", float(s)) for i, s in enumerate(seed)], "host string, seed double"
+    )
+    lost = table.select("source", F.lit("end").alias("target"), "weight")
+    found = host_graph.propagated((table, seeds), (lost, seeds.limit(0)), (lost, seeds)).collect()
+    assert {r.graph for r in found} == {0, 2}
+    own, end = np.zeros(30), 0.0
     for r in found:
-        own[int(r.host[1:])] = r.score
+        if r.graph == 0:
+            own[int(r.host[1:])] = r.score
+        elif r.host == "end":
+            end = r.score
     # All that is missing from the solved system is what was still on its way.
     missing = score - own
     assert missing.min() > -1e-12 and 0 <= missing.sum() <= host_graph.REST * seed.sum()
+    # A graph has its own edges and seeds: here all is passed on once, to a host that ends it.
+    linked = [a for a in range(30) if matrix[a].any()]
+    share = host_graph.DAMPING * (1 - host_graph.DAMPING)
+    assert abs(end - share * seed[linked].sum()) < 1e-12
 
 
 def test_hosts_of_many_labels_reach_their_domain(spark):
