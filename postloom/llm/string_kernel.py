@@ -3,9 +3,9 @@
 Two texts are as alike as the number of letter n-grams (one to four letters, runs
 of anything else being one space) that both hold, over the geometric mean of
 their own numbers: the blended-spectrum presence kernel, with n-grams hashed to
-131,072 places. A bounded sample of labelled texts of each language gives the
-landmarks of a Nyström map and the rows of a kernel ridge regression, one against
-the rest. Texts are scored in batches: presence by landmark presence, a matrix
+131,072 places. A bounded sample of labelled texts gives the landmarks of a Nyström
+map and the rows of a kernel ridge regression, one against the rest: the same number
+for each language, and as many in all, however many languages there are. Texts are scored in batches: presence by landmark presence, a matrix
 product, then by the weights.
 """
 
@@ -28,6 +28,9 @@ ORDERS = (1, 2, 3, 4)
 BATCH = 64  # texts in one matrix product
 # Labelled texts of each language that are learned from, and those that are landmarks.
 LEARNED, LANDMARKS = 300, 60
+# The same of all languages: beyond eight of them each has fewer. Where there are more languages
+# than landmarks, those with the most labelled texts are learned.
+ALL_LEARNED, ALL_LANDMARKS = 2_400, 480
 RIDGE = 0.1
 UNDETERMINED = "und"
 
@@ -92,19 +95,23 @@ class Model:
         return (shared / (own[:, None] * self.norms[None, :])) @ self.weights
 
 
-def fit(present: np.ndarray, languages: list[str]) -> Model:
-    """Kernel ridge regression on rows of presence, through a Nyström map."""
+def fit(packed: np.ndarray, languages: list[str]) -> Model:
+    """Kernel ridge regression on rows of packed presence, through a Nyström map."""
     names = sorted(set(languages))
+    most = min(LANDMARKS, ALL_LANDMARKS // len(names))
     marks, seen = [], dict.fromkeys(names, 0)
     for i, name in enumerate(languages):
-        if seen[name] < LANDMARKS:
+        if seen[name] < most:
             marks.append(i)
             seen[name] += 1
-    places = np.flatnonzero(present[marks].any(axis=0))
-    landmarks = present[marks][:, places].astype(np.float32)
+    present = np.unpackbits(packed[marks], axis=1)
+    places = np.flatnonzero(present.any(axis=0))
+    landmarks = present[:, places].astype(np.float32)
     norms = np.sqrt(landmarks.sum(axis=1))
     model = Model(names, places, landmarks, norms, np.eye(len(marks)))
-    crossed = model.scores(present)
+    crossed = np.concatenate(
+        [model.scores(np.unpackbits(packed[i : i + BATCH], axis=1)) for i in range(0, len(packed), BATCH)]
+    )
     values, vectors = np.linalg.eigh(crossed[marks])
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
     mapped = crossed @ root
@@ -126,15 +133,22 @@ def is_held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame) -> Model | None:
     """The model of the labelled documents that are not held out; None without any.
 
-    At most ``LEARNED`` texts of each language are read, those with the least hash of
-    their doc_id; only their packed presence comes to the driver, 16 KB a text.
+    At most ``LEARNED`` texts of each language and ``ALL_LEARNED`` of all are read, those
+    with the least hash of their doc_id; only their packed presence comes to the driver,
+    16 KB a text and 39 MB in all.
     """
     labelled = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
+    counted = stored(labelled.groupBy("lang").agg(F.count("*").alias("n")), "kernel-languages")
+    count = counted.count()
+    if count > ALL_LANDMARKS:
+        most = counted.orderBy(F.col("n").desc(), "lang").limit(ALL_LANDMARKS)
+        labelled = labelled.join(most, "lang", "left_semi")
+    each = min(LEARNED, ALL_LEARNED // max(1, min(count, ALL_LANDMARKS)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = stored(
-        labelled.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= LEARNED),
+        labelled.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each),
         "kernel-sample",
     )
 
@@ -164,7 +178,7 @@ def learn(docs: DataFrame) -> Model | None:
     if not sample:
         return None
     bits = np.frombuffer(b"".join(bytes(r.bits) for r in sample), np.uint8).reshape(len(sample), -1)
-    return fit(np.unpackbits(bits, axis=1).astype(bool), [r.lang for r in sample])
+    return fit(bits, [r.lang for r in sample])
 
 
 def languages(docs: DataFrame) -> DataFrame:

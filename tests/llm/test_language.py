@@ -60,3 +60,48 @@ def test_odd_rows(frame):
     unlabelled = string_kernel.languages(frame(ODD)).collect()
     assert {r.lang_pred for r in unlabelled} == {"und"} and len(unlabelled) == len(ODD)
     assert string_kernel.languages(frame([])).collect() == []
+
+
+def test_regression_is_that_of_a_plain_solve():
+    """With all texts as landmarks the map is exact, and so is the regression."""
+    draw = np.random.default_rng(8)
+    letters = {"a": list("abcdefghij"), "b": list("fghijklmno"), "c": list("klmnoabcpq")}
+    texts, labels = [], []
+    for name, count in (("a", 20), ("b", 12), ("c", 7)):
+        for _ in range(count):
+            texts.append(" ".join("".join(draw.choice(letters[name], 5)) for _ in range(12)))
+            labels.append(name)
+    present = np.concatenate([p for p, _ in string_kernel.presences(pa.array(texts))])
+    model = string_kernel.fit(np.packbits(present, axis=1), labels)
+    held = present.astype(float)
+    size = np.sqrt(held.sum(axis=1))
+    kernel = held @ held.T / (size[:, None] * size[None, :])
+    counts = np.array([labels.count(name) for name in labels])
+    targets = np.where(np.array(labels)[:, None] == np.array(model.languages)[None, :], 1.0, -1.0)
+    # Each text weighs 1 / counts, so its own ridge is the common one times counts.
+    ridge = string_kernel.RIDGE / 3 / 100
+    plain = kernel @ np.linalg.solve(kernel + ridge * np.diag(counts), targets)
+    assert np.abs(model.scores(present) - plain).max() < 1e-3
+
+
+def test_what_is_learned_is_bounded_for_any_number_of_languages(frame, monkeypatch):
+    monkeypatch.setattr(string_kernel, "ALL_LEARNED", 24)
+    monkeypatch.setattr(string_kernel, "ALL_LANDMARKS", 8)
+    rows, doc = [], 0
+    for lang in range(12):
+        letter = chr(ord("a") + lang)
+        for _ in range(20 + lang):
+            rows.append((doc, f"{letter * 3} {letter * 5} {letter}{letter}x", f"l{lang:02}"))
+            doc += 1
+    held = sum(1 for d, _, lang in rows if zlib.crc32(str(d).encode()) % 4 != 2 and lang == "l11")
+    assert held > 3
+    docs = frame(rows)
+    model = string_kernel.learn(docs)
+    assert len(model.languages) == 8 and "l11" in model.languages
+    assert len(model.norms) <= 8 and model.weights.shape[1] == 8
+    monkeypatch.setattr(string_kernel, "ALL_LANDMARKS", 30)
+    model = string_kernel.learn(docs)
+    assert len(model.languages) == 12 and len(model.norms) == 24
+    found = string_kernel.languages(docs).collect()
+    truth = {d: lang for d, _, lang in rows}
+    assert all(r.lang_pred == truth[r.doc_id] for r in found)
