@@ -3,12 +3,17 @@
 Of all suffixes of a text only those are retained that start at a minimiser: the
 least of 32 neighbouring six-word hashes. Any 50 words in a row then hold one in
 their first 32 words, at the same place wherever the passage stands. Retained
-suffixes are sorted over the cluster by what they start with, and neighbours
-that start with the same 19 words are seeds. From each seed the match is extended
-left and right to all runs of 50 words that were selected by it, which are counted
-exactly; overlapping runs join up to the longest repeated passage. Texts that are
-equal as a whole are extended once, for the smallest of their doc_ids. Nothing is
-gathered by passage: a passage that a third of all texts share is sorted over
+suffixes are sorted over the cluster word by word, as far as a passage surely reaches
+from its minimiser on: by their first 19 words, each of which has its place in the
+alphabet by a code of nine bits. Neighbours that agree on all of them are seeds.
+
+In that order a suffix stands beside those that match it farthest to the right. The
+text that matches it farthest to both sides need not be a neighbour, so that matches
+are not extended from pair to pair, which would miss passages: each seed is extended
+left and right to all runs of 50 words around it, and runs are compared by their full
+hashes, over all texts. Overlapping runs join up to the longest repeated passage. Texts
+that are equal as a whole are extended once, for the smallest of their doc_ids. Nothing
+is gathered by passage: a passage that a third of all texts share is sorted over
 many tasks, and counted by sums that are added up before they are shuffled.
 """
 
@@ -29,6 +34,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 GRAM = 6
 REACH = 32  # six-word hashes of which the least is retained; a power of two
 STEM = RUN - REACH + 1  # words that a run has from its minimiser on, at least
+BITS, PACKED = 9, 7  # bits of a word's code, and codes in one sort key
+KEYS = [f"key_{i}" for i in range(-(-STEM // PACKED))]
 
 
 def _minimisers(found: Words, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,8 +61,20 @@ def _read(run: Slice) -> tuple[Words, np.ndarray]:
     return found, hashes(run.sums(), found.starts, found.ends)
 
 
+def _keys(hashed: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+    """Sort keys of the suffixes at ``places``, in the order of their first words."""
+    codes = hashed >> np.uint64(64 - BITS)
+    keys = []
+    for first in range(0, STEM, PACKED):
+        key = np.zeros(len(places), np.uint64)
+        for word in range(first, min(first + PACKED, STEM)):
+            key = key << np.uint64(BITS) | codes[places + word]
+        keys.append(key.view(np.int64))
+    return keys
+
+
 def _suffixes(texts: DataFrame) -> DataFrame:
-    """stem, row and place of each retained suffix."""
+    """Sort keys, row and place of each retained suffix."""
 
     def retain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,17 +83,17 @@ def _suffixes(texts: DataFrame) -> DataFrame:
                 found, hashed = _read(run)
                 places = np.unique(_minimisers(found, hashed)[1])
                 text = found.text[places]
-                stems = grams(hashed, STEM)[places] if len(places) else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(stems.view(np.int64)),
+                        *(pa.array(key) for key in _keys(hashed, places)),
                         pa.array(rows[run.first + text]),
                         pa.array((places - found.firsts[text]).astype(np.int32)),
                     ],
-                    ["stem", "row", "place"],
+                    [*KEYS, "row", "place"],
                 )
 
-    return texts.select("row", "text").mapInArrow(retain, "stem long, row long, place int")
+    schema = ", ".join([*(f"{key} long" for key in KEYS), "row long", "place int"])
+    return texts.select("row", "text").mapInArrow(retain, schema)
 
 
 def _seeds(suffixes: DataFrame) -> DataFrame:
@@ -85,44 +104,43 @@ def _seeds(suffixes: DataFrame) -> DataFrame:
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row seen, and whether it is a seed already
+        held = None  # the last row, its suffix, and whether it is a seed already
         for batch in batches:
             if not batch.num_rows:
                 continue
-            stems = batch.column("stem").to_numpy()
-            rows = batch.column("row").to_numpy()
-            places = batch.column("place").to_numpy()
+            found = np.stack([batch.column(c).to_numpy() for c in order])
             # Suffixes of equal texts are one suffix, of which the first row is kept.
-            again = np.zeros(len(stems), bool)
-            again[1:] = (rows[1:] == rows[:-1]) & (places[1:] == places[:-1])
-            again[1:] &= stems[1:] == stems[:-1]
+            fresh = np.ones(batch.num_rows, bool)
+            fresh[1:] = (found[:, 1:] != found[:, :-1]).any(axis=0)
             if held is not None:
-                again[0] = held[1:4] == (stems[0], rows[0], places[0])
-            batch = batch.select(["row", "place"]).filter(pa.array(~again))
-            stems, rows, places = stems[~again], rows[~again], places[~again]
-            if not len(stems):
+                fresh[0] = (found[:, 0] != held[1]).any()
+            batch = batch.select(["row", "place"]).filter(pa.array(fresh))
+            found = found[:, fresh]
+            if not batch.num_rows:
                 continue
-            keep = np.zeros(len(stems), bool)
-            same = stems[1:] == stems[:-1]
+            keys = found[: len(KEYS)]
+            same = (keys[:, 1:] == keys[:, :-1]).all(axis=0)
+            keep = np.zeros(batch.num_rows, bool)
             keep[1:] |= same
             keep[:-1] |= same
             if held is None:
                 keep[0] = True
             else:
-                if held[1] == stems[0]:
-                    keep[0] = True
-                if keep[0] and held[1] == stems[0] or held[4]:
+                alike = bool((held[1][: len(KEYS)] == keys[:, 0]).all())
+                keep[0] |= alike
+                if alike or held[2]:
                     yield held[0]
-            held = batch.slice(len(stems) - 1), stems[-1], rows[-1], places[-1], bool(keep[-1])
+            held = batch.slice(batch.num_rows - 1), found[:, -1], bool(keep[-1])
             keep[-1] = False
             yield batch.filter(pa.array(keep))
         if held is not None:
             yield held[0]
 
+    order = [*KEYS, "row", "place"]
     count = parallelism(suffixes.sparkSession)
     return (
-        suffixes.repartitionByRange(count, "stem", "row", "place")
-        .sortWithinPartitions("stem", "row", "place")
+        suffixes.repartitionByRange(count, *order)
+        .sortWithinPartitions(*order)
         .mapInArrow(compare, "row long, place int")
     )
 

@@ -7,8 +7,12 @@ import random
 import numpy as np
 
 from postloom.llm.sparse_suffix import (
+    BITS,
+    KEYS,
     REACH,
     RUN,
+    STEM,
+    _keys,
     _minimisers,
     repeated_passages,
     without_repeats,
@@ -91,3 +95,17 @@ def test_minimisers_beyond_two_to_the_24th_word():
     assert ((places >= firsts) & (places < firsts + REACH)).all()
     early = places[1_000 : 1_000 + 71] - 1_000
     assert (places[late : late + 71] - late == early).all()
+
+
+def test_suffixes_are_in_the_order_of_their_words():
+    draw = np.random.default_rng(9)
+    alphabet = draw.integers(0, 1 << 63, 3, np.uint64) * np.uint64(2)
+    hashed = alphabet[draw.integers(0, 3, 3_000)]
+    places = np.arange(len(hashed) - STEM)
+    keys = _keys(hashed, places)
+    assert len(keys) == len(KEYS) and all((k >= 0).all() for k in keys)
+    packed = [tuple(int(k[p]) for k in keys) for p in places]
+    codes = [int(h) >> (64 - BITS) for h in hashed]
+    words = [tuple(codes[p : p + STEM]) for p in places]
+    assert sorted(places, key=packed.__getitem__) == sorted(places, key=words.__getitem__)
+    assert len(set(packed)) == len(set(words))
