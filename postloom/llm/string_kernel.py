@@ -31,6 +31,7 @@ LEARNED, LANDMARKS = 300, 60
 # The same of all languages: beyond eight of them each has fewer. Where there are more languages
 # than landmarks, those with the most labelled texts are learned.
 ALL_LEARNED, ALL_LANDMARKS = 2_400, 480
+PARTS = 8  # of a language, from which its sample is drawn
 RIDGE = 0.1
 UNDETERMINED = "und"
 
@@ -146,9 +147,15 @@ def learn(docs: DataFrame) -> Model | None:
         most = counted.orderBy(F.col("n").desc(), "lang").limit(ALL_LANDMARKS)
         labelled = labelled.join(most, "lang", "left_semi")
     each = min(LEARNED, ALL_LEARNED // max(1, min(count, ALL_LANDMARKS)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # The first of each language, by way of the first of each of its parts, so that no task
+    # gets a whole language.
+    parts = labelled.withColumn("part", F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(PARTS)))
+    least = F.xxhash64("doc_id"), F.col("doc_id")
+    for by in (("lang", "part"), ("lang",)):
+        nth = F.row_number().over(Window.partitionBy(*by).orderBy(*least))
+        parts = parts.withColumn("nth", nth).where(F.col("nth") <= each)
     chosen = stored(
-        labelled.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each),
+        parts.select("doc_id", "lang", "nth"),
         "kernel-sample",
     )
 
