@@ -27,6 +27,7 @@ from postloom.plans.checkpoint import run_checkpoint
 from postloom.schema import POST, STORED
 from postloom.session import scratch_path
 from postloom.sinks import checked, commits, files, objects
+from postloom.sinks.versions import file_bytes
 from postloom.sources import event_posts, tables, topics
 from postloom.streaming import ingest, positions, subscriptions
 
@@ -46,6 +47,7 @@ RUN_ID = "20240201-000000-check"
 RANGE = (datetime.date(2024, 1, 10), datetime.date(2024, 1, 16))
 LOOKED_UP = [7, 42, 500, 901]
 NEW_FIELD_BATCH = 19738  # 2024-01-16 as a day number
+RANGE_BYTES = 4 << 20  # of input files for one file of a topic by ranges
 
 SUBSCRIPTIONS = [
     messaging.Subscription("all"),
@@ -761,11 +763,29 @@ def stream_ingest_committed(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _batches_by_time(spark: SparkSession, rows: DataFrame, path: str, files_of: int) -> DataFrame:
-    """A stream of rows in order of arrival, one file a micro-batch."""
-    dealt = rows.repartitionByRange(files_of, "seq").sortWithinPartitions("seq")
+def _write_ranges(spark: SparkSession, rows: DataFrame, path: str, least: int, *order: str) -> int:
+    """Write rows in ranges of ``order``; the number of files.
+
+    There are as many ranges as a shuffle has, and no fewer than the size of the input asks
+    for: ranges hold like numbers of rows, of which those with long texts may lie together.
+    """
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = file_bytes(spark, rows.inputFiles())
+    parts = max(least, shuffled, -(-size // RANGE_BYTES))
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     dealt.write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+
+
+def _batches_by_time(spark: SparkSession, rows: DataFrame, path: str, batches: int) -> DataFrame:
+    """A stream of rows by ranges of arrival, in so many micro-batches.
+
+    A micro-batch holds many files, so that no task reads a large part of the topic. The
+    source takes files by age: tasks that write at once may end in another order.
+    """
+    written = _write_ranges(spark, rows, path, batches, "seq")
+    each = max(1, -(-written // batches))
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", each).parquet(path)
 
 
 @query
@@ -851,8 +871,8 @@ def stream_fanout(spark: SparkSession, root: str) -> DataFrame:
 def stream_subscription_start(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "start")
     rows = _timed_messages(spark, root)
-    dealt = rows.repartitionByRange(8, "publish_ts")
-    dealt.write.parquet(f"{path}/topic")
+    # Messages of one time may go to several files.
+    _write_ranges(spark, rows, f"{path}/topic", 8, "publish_ts", "seq")
     subscriptions.index_topic(spark, f"{path}/topic", rows.schema, f"{path}/index")
     subscriptions.start_from_time(
         spark, f"{path}/index", rows.schema, SUBSCRIPTIONS[2], f"{path}/out", f"{path}/checkpoint"

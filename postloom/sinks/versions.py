@@ -50,6 +50,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def file_bytes(spark: SparkSession, files: list[str]) -> int:
+    """Size of some files, named as ``DataFrame.inputFiles`` does."""
+    total = 0
+    for name in files:
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        total += system.getFileStatus(place).getLen()
+    return total
+
+
 def claim_version(spark: SparkSession, root: str) -> int:
     """The next number, which no other writer gets."""
     number = max(_numbers(spark, root, "claimed"), default=0) + 1
