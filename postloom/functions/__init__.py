@@ -3,6 +3,7 @@
 from postloom.functions.payload import (
     decode_base64,
     json_quoted,
+    json_shape_name,
     json_type_name,
     payload_length,
     payload_preview,
@@ -31,6 +32,7 @@ __all__ = [
     "hour_keys",
     "hour_path",
     "json_quoted",
+    "json_shape_name",
     "json_type_name",
     "not_blank_line",
     "object_path",

@@ -37,9 +37,13 @@ def json_type_name(value: Column) -> Column:
 
     VARIANT holds integers beyond 64 bits as decimals of scale 0.
     """
-    shape = F.schema_of_variant(value)
+    return json_shape_name(F.schema_of_variant(value))
+
+
+def json_shape_name(shape: Column) -> Column:
+    """Short type name of a schema as ``schema_of_variant`` gives it; null for no value."""
     return (
-        F.when(value.isNull() | (shape == "VOID"), "NoneType")
+        F.when(shape.isNull() | (shape == "VOID"), "NoneType")
         .when(shape.rlike(r"^(BIGINT|DECIMAL\((19|[23][0-9]),0\))$"), "int")
         .when(shape == "STRING", "str")
         .when(shape == "BOOLEAN", "bool")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.functions import json_type_name
+from postloom.functions import json_shape_name, json_type_name
 from postloom.operators.pinning import pin
 
 
@@ -63,39 +63,49 @@ def field_types(
     )
 
 
-def _step(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows (keys, path, type, value): an open one becomes its type and its members, open.
+# The type shown for a value below the last level.
+_CUT = "..."
 
-    A row is open while its type is null. One generator for each level, so no
-    lambda holds another.
+
+def _with_members(rows: DataFrame, level: int) -> DataFrame:
+    """One row for each member of the values of a level, or one without a member.
+
+    Adds the member's place among its fellows, path and value (``_place_1``, ``_path_1``,
+    ``_value_1`` for members of level 0) and the type of the level's value, ``_type_0``: a
+    key or none tells an object from an array, so only values without members are looked at.
     """
-    shape = F.schema_of_variant("value")
-    within = F.when(
-        shape.startswith("OBJECT"),
-        F.transform(
-            F.map_entries(F.col("value").try_cast("map<string,variant>")),
-            lambda m: _row(F.concat(F.col("path"), F.lit("."), m["key"]), None, m["value"]),
-        ),
-    ).when(
-        shape.startswith("ARRAY"),
-        F.transform(
-            F.col("value").try_cast("array<variant>"),
-            lambda item: _row(F.concat(F.col("path"), F.lit("[]")), None, item),
-        ),
+    value, path, member = F.col(f"_value_{level}"), F.col(f"_path_{level}"), level + 1
+    found = rows.sparkSession.tvf.variant_explode_outer(value.outer()).toDF(
+        f"_place_{member}", "_key", f"_value_{member}"
     )
-    closed = F.array(
-        _row(F.col("path"), F.coalesce("type", json_type_name(F.col("value"))), None)
+    place, key = F.col(f"_place_{member}"), F.col("_key")
+    step = F.when(key.isNotNull(), F.concat(F.lit("."), key)).otherwise("[]")
+    return (
+        rows.lateralJoin(found)
+        .withColumn("_shape", F.when(place.isNull(), F.schema_of_variant(value)))
+        .withColumns(
+            {
+                f"_type_{level}": F.when(place.isNull(), json_shape_name(F.col("_shape")))
+                .when(key.isNotNull(), "dict")
+                .otherwise("list"),
+                f"_path_{member}": F.when(place.isNotNull(), F.concat(path, step)),
+            }
+        )
+        .drop("_key", "_shape", f"_value_{level}")
     )
-    members = F.when(F.col("type").isNull(), F.coalesce(within, F.array()))
-    return rows.select(*keys, F.inline(F.concat(closed, F.coalesce(members, F.array()))))
 
 
-def _row(path: Column, kind: Column | None, value: Column | None) -> Column:
-    return F.struct(
-        path.alias("path"),
-        (F.lit(None).cast("string") if kind is None else kind).alias("type"),
-        (F.lit(None).cast("variant") if value is None else value).alias("value"),
-    )
+def _once(depth: int) -> Column:
+    """The (path, type) of each level that a row is the first to show."""
+    none = F.array().cast("array<struct<path:string,type:string>>")
+    found, first = [], F.lit(True)
+    for level in range(depth + 1, -1, -1):
+        kind = F.lit(_CUT) if level > depth else F.col(f"_type_{level}")
+        path = F.col(f"_path_{level}")
+        own = F.array(F.struct(path.alias("path"), kind.alias("type")))
+        found.append(F.when(first & path.isNotNull(), own).otherwise(none))
+        first = first & (F.coalesce(F.col(f"_place_{level}"), F.lit(0)) == 0) if level else first
+    return F.concat(*found)
 
 
 def schema_paths(df: DataFrame, value: str = "value", depth: int = 4) -> DataFrame:
@@ -118,13 +128,12 @@ def shape_states(
     parsed = pin(df.select(*keys, value), "_doc", F.try_parse_json(value)).filter(
         F.col("_doc").isNotNull()
     )
-    # The keys travel beside the document, in front of the levels.
-    rows = parsed.select(*keys, F.inline(F.array(_row(F.lit("$"), None, F.col("_doc")))))
-    for _ in range(depth + 1):
-        rows = _step(rows, *keys)
-    kinds = F.coalesce("type", F.lit("..."))
+    rows = parsed.select(*keys, F.lit("$").alias("_path_0"), F.col("_doc").alias("_value_0"))
+    # One generator a level; the rows of a value's members carry its path and type along.
+    for level in range(depth + 1):
+        rows = _with_members(rows, level)
     return (
-        rows.select(*keys, "path", kinds.alias("type"))
+        rows.select(*keys, F.inline(_once(depth)))
         .groupBy(*keys, "path", "type")
         .agg(F.count("*").alias("occurrences"))
     )
