@@ -139,9 +139,14 @@ def write_hour_partitions(
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
         )
-    # One question is looked up in all hours: its filter skips row groups without it.
-    writer.option("parquet.bloom.filter.enabled#question_id", "true").partitionBy(*keys).parquet(
-        root
+    # One question is looked up in all hours: its filter skips row groups without it. The
+    # filter's size follows the questions of a file; of a fixed size it is 1 MB for each hour.
+    (
+        writer.option("parquet.bloom.filter.enabled#question_id", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option("parquet.bloom.filter.candidates.number", "12")
+        .partitionBy(*keys)
+        .parquet(root)
     )
 
 
