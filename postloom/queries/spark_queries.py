@@ -6,6 +6,7 @@ import datetime
 import functools
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -741,9 +742,14 @@ def stream_ingest_committed(spark: SparkSession, root: str) -> DataFrame:
     topic = topics.read_topic(spark, f"{path}/topic")
     # A batch of another run reaches two stores and dies before its commit.
     lost, own = landing.stored(landing.receive(topic)), files.Batch("lost", 0)
-    files.write_json_archive(lost, f"{out}/json", own)
-    flat = lost.select("message_id", "post.*", "landed_at", "position")
-    files.append_table(flat, f"{out}/table", own)
+    # Its messages are parsed once, as those of a stream's batch are.
+    lost = lost.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        files.write_json_archive(lost, f"{out}/json", own)
+        flat = lost.select("message_id", "post.*", "landed_at", "position")
+        files.append_table(flat, f"{out}/table", own)
+    finally:
+        lost.unpersist()
     lines = topics.stream_topic(spark, f"{path}/topic", max_files=16)
     ingest.start_committed_ingest(lines, out, f"{path}/checkpoint").awaitTermination()
 
