@@ -934,18 +934,12 @@ def _deliveries(spark: SparkSession, root: str, path: str) -> DataFrame:
     rows = event_posts.messages(spark, root).select(
         "message_id", "publish_ts", "value", "k"
     )
-    again = F.when(F.col("k") >= 80, 2).otherwise(1)
-    delivered = rows.select(
-        "message_id",
-        "publish_ts",
-        "value",
-        F.explode(F.sequence(F.lit(1), again)).alias("delivery"),
-    )
-    # Redeliveries go to other files than first deliveries.
-    for number in (1, 2):
-        part = delivered.filter(F.col("delivery") == number).drop("delivery")
-        part.write.mode("append").parquet(path)
-    return spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 8).parquet(path)
+    # Redeliveries go to other files than first deliveries, whose files they come from.
+    rows.write.mode("append").parquet(path)
+    first = spark.read.schema(rows.schema).parquet(path)
+    first.filter(F.col("k") >= 80).write.mode("append").parquet(path)
+    schema = rows.drop("k").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(path)
 
 
 @query

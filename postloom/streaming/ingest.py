@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -159,6 +159,22 @@ def _known_ids(
     return rows.filter(~first_attempt).select("message_id")
 
 
+def _first_of_each(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """One row of each message id that is not stored.
+
+    Stored ids go through the same shuffle as rows of their own, so that rows are moved and
+    sorted once for both.
+    """
+    both = rows.withColumn("_stored", F.lit(False))
+    if stored is not None:
+        ids = stored.withColumn("_stored", F.lit(True))
+        both = both.unionByName(ids, allowMissingColumns=True)
+    order = Window.partitionBy("message_id").orderBy(F.desc("_stored"))
+    # A row number would add a group limit, which sorts the rows before the shuffle as well.
+    ranked = both.withColumn("_before", F.lag("message_id").over(order))
+    return ranked.filter(F.col("_before").isNull() & ~F.col("_stored")).drop("_before", "_stored")
+
+
 def _untimed_part() -> Column:
     """Where a message without a publish time goes: "none-" and a hash of its id."""
     part = F.pmod(F.xxhash64("message_id"), F.lit(UNTIMED_PARTS)).cast("string")
@@ -181,28 +197,21 @@ def start_first_deliveries(
     def write(batch: DataFrame, own: Batch) -> None:
         published = epoch_day(F.unix_seconds("publish_ts")).cast("string")
         known = F.col("message_id").isNotNull()
-        once = batch.filter(known).dropDuplicates(["message_id"])
-        fresh = once.unionByName(batch.filter(~known)).withColumn(
-            "publish_day", F.coalesce(published, _untimed_part())
+        dated = batch.withColumn("publish_day", F.coalesce(published, _untimed_part()))
+        # At most one row per calendar day and part comes to the driver.
+        named = dated.filter(known).select("publish_day").distinct()
+        days = [row[0] for row in named.collect()]
+        stored = _known_ids(batch.sparkSession, root, days, own) if days else None
+        new = _first_of_each(dated.filter(known), stored).unionByName(dated.filter(~known))
+        numbered = new.withColumns(
+            {"run": F.lit(own.run), "batch": F.lit(own.number).cast("bigint")}
+        )
+        (
+            spread(numbered, "publish_day")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("publish_day", "run", "batch")
+            .parquet(root)
         )
-        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # At most one row per calendar day and part comes to the driver.
-            named = fresh.filter(known).select("publish_day").distinct()
-            days = [row[0] for row in named.collect()]
-            stored = _known_ids(batch.sparkSession, root, days, own) if days else None
-            new = fresh if stored is None else fresh.join(stored, "message_id", "left_anti")
-            numbered = new.withColumns(
-                {"run": F.lit(own.run), "batch": F.lit(own.number).cast("bigint")}
-            )
-            (
-                spread(numbered, "publish_day")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("publish_day", "run", "batch")
-                .parquet(root)
-            )
-        finally:
-            fresh.unpersist()
 
     return run_batches(messages, write, checkpoint, available_now)
