@@ -21,6 +21,8 @@ ABSENT_OWNERS = ["null", "false", "0", '""', "[]", "{}"]
 
 _DOC = "_doc"
 _SHAPES = "_shapes"
+_CAST = "_cast"
+_BAD = "_bad"
 
 
 def _at(path: str, dtype: str) -> Column:
@@ -47,6 +49,15 @@ def _shape(path: str) -> Column:
     return F.col(_SHAPES)[path.replace(".", "_")]
 
 
+def _cast() -> Column:
+    """The contract's fields of a document, each null where it has another type.
+
+    The document is cast at once: a call for each field looks its key up anew, and so many
+    calls in a row make a method that Java's compiler leaves to the interpreter.
+    """
+    return F.try_variant_get(F.col(_DOC), "$", POST.simpleString())
+
+
 def _is_object() -> Column:
     """True for a document with keys of its own.
 
@@ -64,57 +75,56 @@ def _has_owner() -> Column:
 
 
 def _misfit(path: str, dtype: T.DataType) -> Column:
-    """True where a value is present, not null, and of the wrong type."""
-    shape = _shape(path)
+    """True where a value is present, not null, and of the wrong type.
+
+    Null for a field that is not there.
+    """
+    shape, value = _shape(path), F.col(f"{_CAST}.{path}")
     if isinstance(dtype, T.LongType):
-        wrong = shape != "BIGINT"
-    elif isinstance(dtype, T.IntegerType):
-        wrong = (shape != "BIGINT") | _at(path, "int").isNull()
-    elif isinstance(dtype, T.BooleanType):
-        wrong = shape != "BOOLEAN"
-    elif isinstance(dtype, T.StringType):
-        wrong = shape != "STRING"
-    elif isinstance(dtype, T.ArrayType):
+        return ~shape.isin("VOID", "BIGINT")
+    if isinstance(dtype, T.IntegerType):
+        return ~shape.isin("VOID", "BIGINT") | ((shape == "BIGINT") & value.isNull())
+    if isinstance(dtype, T.BooleanType):
+        return ~shape.isin("VOID", "BOOLEAN")
+    if isinstance(dtype, T.StringType):
+        return ~shape.isin("VOID", "STRING")
+    if isinstance(dtype, T.ArrayType):
         # A null element does not show in the shape of an array of strings. A
         # sort puts it first, and unlike a lambda keeps to generated code.
-        items = F.sort_array(_at(path, "array<string>"))
-        wrong = ~shape.isin("ARRAY<STRING>", "ARRAY<VOID>") | (
+        items = F.sort_array(value)
+        return ~shape.isin("VOID", "ARRAY<STRING>", "ARRAY<VOID>") | (
             (F.size(items) > 0) & F.get(items, F.lit(0)).isNull()
         )
-    else:
-        wrong = ~shape.startswith("OBJECT<") & ~F.to_json(_at(path, "variant")).isin(
-            ABSENT_OWNERS
-        )
-    return shape.isNotNull() & (shape != "VOID") & wrong
+    return (
+        (shape != "VOID")
+        & ~shape.startswith("OBJECT<")
+        & ~F.to_json(_at(path, "variant")).isin(ABSENT_OWNERS)
+    )
 
 
-def _bad_fields() -> Column:
-    """Names of the misfits, "" when there are none.
+def _bad_fields(paths: list[str], before: Column | None = None) -> Column:
+    """Names of the misfits among ``paths``, after those ``before``; "" when there are none.
 
     ``concat_ws`` leaves out nulls within generated code, which the lambda of
     an array filter would not.
     """
-    misfits = [F.when(_misfit(path, kind), path) for path, kind in _leaves().items()]
+    leaves = _leaves()
+    misfits = [F.when(_misfit(path, leaves[path]), path) for path in paths]
+    if before is not None:
+        misfits.insert(0, F.nullif(before, F.lit("")))
     return F.concat_ws(", ", *misfits)
 
 
 def _projected() -> Column:
     """The contract's fields of a document; other keys are left behind."""
-
-    def leaf(path: str, field: T.StructField) -> Column:
-        return _at(path, field.dataType.simpleString()).alias(field.name)
-
-    owner = F.struct(*[leaf(f"owner.{f.name}", f) for f in OWNER.fields])
     fields = []
     for field in POST.fields:
+        value = F.col(_CAST)[field.name]
         if field.name == "question_id":
-            fields.append(
-                F.coalesce(_at("question_id", "bigint"), F.lit(0)).alias(field.name)
-            )
+            value = F.coalesce(value, F.lit(0))
         elif field.name == "owner":
-            fields.append(F.when(_has_owner(), owner).alias(field.name))
-        else:
-            fields.append(leaf(field.name, field))
+            value = F.when(_has_owner(), value)
+        fields.append(value.alias(field.name))
     return F.struct(*fields)
 
 
@@ -131,7 +141,12 @@ def check_contract(
         raise ValueError("missing_id is 'zero' or 'reject'")
     parsed = pin(df, _DOC, F.try_parse_json(F.col(value)))
     shaped = pin(parsed, _SHAPES, _all_shapes())
-    checked = pin(shaped, "bad_fields", _bad_fields())
+    cast = pin(shaped, _CAST, _cast())
+    # In two parts, each a method small enough to be compiled.
+    paths = list(_leaves())
+    half = len(paths) // 2
+    partly = pin(cast, _BAD, _bad_fields(paths[:half]))
+    checked = pin(partly, "bad_fields", _bad_fields(paths[half:], F.col(_BAD)))
     id_shape = _shape("question_id")
     reason = (
         F.when(F.col(_DOC).isNull(), "bad_json")
@@ -144,7 +159,7 @@ def check_contract(
         "*",
         reason.when(F.col("bad_fields") != "", "bad_type").alias("reason"),
         _projected().alias("post"),
-    ).drop(_DOC, _SHAPES)
+    ).drop(_DOC, _SHAPES, _CAST, _BAD)
 
 
 def valid_posts(checked: DataFrame) -> DataFrame:

@@ -78,13 +78,17 @@ def read_json_archive(spark: SparkSession, root: str) -> DataFrame:
 
 
 def last_delivery(rows: DataFrame, *keys: str) -> DataFrame:
-    """The row of each key that arrived last; rows with a null key all stay."""
-    known = F.lit(True)
+    """The row of each key that arrived last; rows with a null key all stay.
+
+    The rows are read once: one with a null key gets a number of its own as a further
+    key, which also spreads such rows over the tasks.
+    """
+    unknown = F.lit(False)
     for key in keys:
-        known = known & F.col(key).isNotNull()
+        unknown = unknown | F.col(key).isNull()
+    numbered = rows.withColumn("_own", F.when(unknown, F.monotonically_increasing_id()))
     order = [F.desc("landed_at"), F.desc("position")]
-    latest = first_per_key(rows.filter(known), list(keys), order)
-    return latest.unionByName(rows.filter(~known))
+    return first_per_key(numbered, [*keys, "_own"], order).drop("_own")
 
 
 def latest_archive(spark: SparkSession, root: str) -> DataFrame:

@@ -161,7 +161,8 @@ def envelopes(spark: SparkSession, root: str) -> DataFrame:
         )
 
     # Spark breaks long base64 text into lines; an envelope is a single one.
-    encoded = F.translate(F.base64(F.col("value").cast("binary")), "\r\n", "")
+    # A replacement looks for whole breaks, where a translation looks up every character.
+    encoded = F.replace(F.base64(F.col("value").cast("binary")), F.lit("\r\n"), F.lit(""))
     k = F.col("k")
     envelope = (
         F.when(k == 60, "not json")
