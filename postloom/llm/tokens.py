@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ _STARTS[[*range(0x00, 0x21), ord("<"), *range(0x7F, 0xC3), 0xE1, 0xE2, 0xE3]] =
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 # Other ASCII bytes at which a run of letters may begin or end. Apostrophes are part
 # of tokens, and bars of special ones.
 _OTHER = np.zeros(256, bool)
@@ -115,6 +118,10 @@ class PartEncoder:
         edge[:-1] |= (data[1:-1] == 0x20) & _STARTS[data[2:]]
         return edge
 
+    def folded(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The bytes with parts that have like ids made alike; offsets are those of parts."""
+        return data
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of each; a null counts as empty."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -131,6 +138,7 @@ class PartEncoder:
             edge[1:-1] = self.cuts(data)
         edge[bounds] = True
         offsets = np.flatnonzero(edge)
+        data = self.folded(data, offsets)
         parts = pa.Array.from_buffers(
             pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]
         ).dictionary_encode()
@@ -141,7 +149,7 @@ class PartEncoder:
     def _numbers(self, parts: pa.DictionaryArray) -> np.ndarray:
         if not len(parts):
             return np.zeros(0, np.int64)
-        names = parts.dictionary.to_pylist()
+        names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.full(self.kept):
             self.kept.forget()
         fresh = [n for n in names if n not in self.kept.places]
@@ -153,8 +161,9 @@ class PartEncoder:
 class LibraryWords(PartEncoder):
     """The ``tokenizers`` library with a vocabulary of lower-case words.
 
-    Common parts are cut into words here and each distinct word is given to the
-    library's model; any other part goes through the whole library.
+    A part of ASCII letters is a word, whatever its case. Other common parts are cut into
+    words here, and each distinct word is given to the library's model; any other part
+    goes through the whole library.
     """
 
     _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -179,6 +188,16 @@ class LibraryWords(PartEncoder):
         edge[:-1] |= (data[1:-1] == 0x20) & _STARTS[data[2:]] & ~_LETTER[data[2:]]
         return edge
 
+    def folded(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The bytes with parts of ASCII letters alone in lower case.
+
+        Other parts stay: special tokens have a case, and a letter's case decides which
+        marks after it make one character with it.
+        """
+        others = np.concatenate([[0], np.cumsum(~_LETTER[data], dtype=np.int64)])
+        lone = np.diff(others[offsets]) == 0
+        return np.where(np.repeat(lone, np.diff(offsets)), _LOWER[data], data)
+
     def full(self, kept: Kept) -> bool:
         """Whether to start anew before more is kept: by bytes, so long parts count."""
         return kept.bytes > KEPT_BYTES
@@ -190,20 +209,36 @@ class LibraryWords(PartEncoder):
 
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct parts in a row, and the number of each."""
+        lone = [p.isascii() and p.isalpha() for p in parts]
+        tokenize = self.tokenizer.model.tokenize
+        ids, lengths = self._flat(
+            [[t.id for t in tokenize(p.lower())] for p, word in zip(parts, lone) if word]
+        )
+        rest, counts = self._encode_rest([p for p, word in zip(parts, lone) if not word])
+        # Both lie behind one another; the parts' own order comes back by places.
+        lengths = np.concatenate([lengths, counts])
+        starts = np.cumsum(lengths) - lengths
+        order = np.argsort(np.argsort(~np.array(lone, bool), kind="stable"), kind="stable")
+        lengths = lengths[order]
+        return np.concatenate([ids, rest])[ragged(starts[order], lengths)], lengths
+
+    @staticmethod
+    def _flat(encoded: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Lists of ids in a row, and the number of each."""
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return np.fromiter(chain.from_iterable(encoded), np.uint32, int(lengths.sum())), lengths
+
+    def _encode_rest(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct parts that are more than ASCII letters, and the number of each."""
         if self.full(self.words):
             self.words.forget()
         found = [
-            [p.lower()]
-            if p.isalpha() and (p.isascii() or plain(p))
-            else self._WORDS.findall(p.lower())
-            if plain(p) and "<|" not in p
-            else None
-            for p in parts
+            self._WORDS.findall(p.lower()) if plain(p) and "<|" not in p else None for p in parts
         ]
         whole = [p for p, words in zip(parts, found) if words is None]
         # Parts that take the whole library are kept under a name no word can have.
         names = [["\0" + p] if words is None else words for p, words in zip(parts, found)]
-        flat = [name for words in names for name in words]
+        flat = list(chain.from_iterable(names))
         fresh = [n for n in dict.fromkeys(flat) if n not in self.words.places and n[0] != "\0"]
         model, letters = self.tokenizer.model, self.letters
         encoded = [
@@ -221,12 +256,10 @@ class LibraryWords(PartEncoder):
         encoded += [
             e.ids for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)
         ]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        ids = np.fromiter((i for e in encoded for i in e), np.uint32, int(lengths.sum()))
-        self.words.add(fresh + ["\0" + p for p in whole], ids, lengths)
+        self.words.add(fresh + ["\0" + p for p in whole], *self._flat(encoded))
         ids, lengths = self.words.gather(self.words.of(flat))
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        counts = np.concatenate([[0], np.cumsum([len(words) for words in names])])
+        counts = np.concatenate([[0], np.cumsum([len(words) for words in names], dtype=np.int64)])
         return ids, np.diff(upto[counts])
 
 

@@ -83,3 +83,16 @@ def test_odd_rows(frame):
         (str(r.doc_id), r.text or "") for r in made.collect()
     )
     assert round_trip(frame([]), BYTES).collect() == []
+
+
+def test_words_of_letters_are_encoded_once():
+    """A word was encoded and kept once for each case it came in, and then once more in lower."""
+    texts = ["The THE the tHe", "x", "", None, "H̱ ẖ T̈ẗ <|ENDOFTEXT|> <|endoftext|> Élan éLAN"]
+    words = LibraryWords(WORDS)
+    ids, counts = words.encode(pa.array(texts[:3]))
+    assert set(words.kept.places) == {"the", " ", "x"} and not set(words.words.places) & {"the", "x"}
+    ids, counts = words.encode(pa.array(texts))
+    ends = np.cumsum(counts)
+    library = Tokenizer.from_file(WORDS)
+    for i, text in enumerate(texts):
+        assert ids[ends[i] - counts[i] : ends[i]].tolist() == library.encode(text or "", add_special_tokens=False).ids
