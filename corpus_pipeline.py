@@ -6,26 +6,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from postloom.llm import bootstrapped_pii, chosen_path, curve_packing, quality_mcd, sparse_suffix
-from postloom.llm.storage import share_package, stored, table
+from postloom.llm.storage import bound_batches, share_package, stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def _workers(spark: SparkSession) -> None:
+    """Python workers that import the package and hold small batches."""
+    share_package(spark)
+    bound_batches(spark)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    share_package(spark)
+    _workers(spark)
     return quality_mcd.drop_rejected(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, 0.8)."""
-    share_package(spark)
+    _workers(spark)
     return chosen_path.first_copies(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one holds."""
-    share_package(spark)
+    _workers(spark)
     return sparse_suffix.without_repeats(docs)
 
 
@@ -36,7 +42,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2,048 tokens."""
-    share_package(spark)
+    _workers(spark)
     return curve_packing.pack(docs, TOKENIZER)
 
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.storage import parallelism, stored
+from postloom.llm.storage import give_back, parallelism, stored
 from postloom.llm.tokens import LibraryWords, encoder, text_runs
 from postloom.llm.words import hashes, slices
 
@@ -113,6 +113,7 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 )
         # The worker goes on to other stages, which need the memory.
         words.forget()
+        give_back()
 
     return docs.select(
         F.monotonically_increasing_id().alias("row"),

@@ -16,8 +16,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-# Texts are worked through in runs of about so many bytes (one text at least).
-SLICE_BYTES = 1 << 20
+# Texts are worked through in runs of about so many bytes (one text at least). A run
+# takes up to a hundred bytes of arrays for each of its own.
+SLICE_BYTES = 1 << 18
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
