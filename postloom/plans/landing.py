@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from postloom.functions import epoch_seconds, utc_now
 from postloom.operators.contract import check_contract, error_reason
 from postloom.operators.envelope import open_envelopes
+from postloom.operators.pinning import pin
+from postloom.schema import OWNER, POST
 from postloom.sinks.files import Batch, append_table, write_hour_partitions, write_json_archive
 
 
@@ -46,6 +48,42 @@ def receive(lines: DataFrame, missing_id: str = "zero") -> DataFrame:
     )
 
 
+def flattened(posts: DataFrame) -> DataFrame:
+    """Rows with ``post`` as plain columns, the form to cache them in.
+
+    A cache packs plain columns by themselves and keeps a struct as the bytes of its row.
+    """
+    fields = [f for f in POST.fieldNames() if f != "owner"]
+    others = [c for c in posts.columns if c != "post"]
+    # Pinned, so that what makes the post is compiled apart from what takes it apart: both
+    # in one method are too much for Java's compiler.
+    pinned = pin(posts, "_post", F.col("post"))
+    return pinned.select(
+        *others,
+        *[F.col(f"_post.{f}").alias(f"_post_{f}") for f in fields],
+        F.col("_post.owner").isNotNull().alias("_owned"),
+        *[F.col(f"_post.owner.{f}").alias(f"_owner_{f}") for f in OWNER.fieldNames()],
+    )
+
+
+def unflattened(flat: DataFrame) -> DataFrame:
+    """The rows that ``flattened`` took apart."""
+    owner = F.when(
+        F.col("_owned"),
+        F.struct(*[F.col(f"_owner_{f}").alias(f) for f in OWNER.fieldNames()]),
+    )
+    fields = [
+        (owner if f == "owner" else F.col(f"_post_{f}")).alias(f) for f in POST.fieldNames()
+    ]
+    others = [c for c in flat.columns if not c.startswith(("_post_", "_owner_", "_owned"))]
+    return flat.select(*others, F.struct(*fields).alias("post"))
+
+
+def without_spent_text(received: DataFrame) -> DataFrame:
+    """Received rows with ``raw`` for those to be refused only, whom alone it is stored for."""
+    return received.withColumn("raw", F.when(F.col("failed_stage").isNotNull(), F.col("raw")))
+
+
 def stored(received: DataFrame) -> DataFrame:
     """The rows every store takes."""
     return received.filter(F.col("failed_stage").isNull()).select(

@@ -48,6 +48,7 @@ RUN_ID = "20240201-000000-check"
 RANGE = (datetime.date(2024, 1, 10), datetime.date(2024, 1, 16))
 LOOKED_UP = [7, 42, 500, 901]
 NEW_FIELD_BATCH = 19738  # 2024-01-16 as a day number
+TOPIC_FILES = 16  # of a topic in one micro-batch
 RANGE_BYTES = 4 << 20  # of input files for one file of a topic by ranges
 
 SUBSCRIPTIONS = [
@@ -738,19 +739,25 @@ def stream_ingest(spark: SparkSession, root: str) -> DataFrame:
 def stream_ingest_committed(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "committed")
     out = f"{path}/out"
-    files.write_topic(event_posts.envelopes(spark, root), f"{path}/topic")
-    topic = topics.read_topic(spark, f"{path}/topic")
-    # A batch of another run reaches two stores and dies before its commit.
-    lost, own = landing.stored(landing.receive(topic)), files.Batch("lost", 0)
-    # Its messages are parsed once, as those of a stream's batch are.
-    lost = lost.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        files.write_json_archive(lost, f"{out}/json", own)
-        flat = lost.select("message_id", "post.*", "landed_at", "position")
-        files.append_table(flat, f"{out}/table", own)
-    finally:
-        lost.unpersist()
-    lines = topics.stream_topic(spark, f"{path}/topic", max_files=16)
+    files.write_topic(event_posts.envelopes(spark, root), f"{path}/topic", packed=True)
+    # The batches of another run reach two stores and die before their commit.
+    names = topics.topic_files(spark, f"{path}/topic")
+    for number, start in enumerate(range(0, len(names), TOPIC_FILES)):
+        topic = topics.read_topic(spark, names[start : start + TOPIC_FILES])
+        own = files.Batch("lost", number)
+        # Its messages are parsed once, as those of a stream's batch are.
+        flat = landing.flattened(landing.stored(landing.receive(topic)))
+        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            lost = landing.unflattened(flat)
+            files.write_json_archive(lost, f"{out}/json", own)
+            table = lost.select("message_id", "post.*", "landed_at", "position")
+            files.append_table(table, f"{out}/table", own)
+        finally:
+            flat.unpersist()
+    lines = topics.stream_topic(
+        spark, f"{path}/topic", max_files=TOPIC_FILES, acknowledge=True
+    )
     ingest.start_committed_ingest(lines, out, f"{path}/checkpoint").awaitTermination()
 
     def rows(store: str, content: str, place: Column) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +38,27 @@ def build_session(
     return builder.getOrCreate()
 
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it a query's shuffle files go when the query ends.
+
+    Otherwise they stay until the driver's heap is collected, so that the batches of a
+    stream pile up theirs.
+    """
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -20,12 +20,15 @@ BLANK_LINE = " \t"
 NOT_BASE64 = "!not base64!"
 
 
-def _events(spark: SparkSession, root: str) -> DataFrame:
-    """The ``events`` table with the number ``k`` of its ``props``."""
-    events = base_table(spark, root, "events")
+def _numbered(events: DataFrame) -> DataFrame:
+    """Events with the number ``k`` of their ``props``."""
     return pin(events, "k", F.get_json_object("props", "$.k").cast("int"))
 
 
+def _events(spark: SparkSession, root: str) -> DataFrame:
+    return _numbered(base_table(spark, root, "events"))
+
+
 def _unless(k: int, value: Column) -> Column:
     """The value, missing where ``k`` has the given number."""
     return F.when(F.col("k") != k, value)
@@ -52,7 +55,11 @@ def _question_id() -> Column:
 
 def captures(spark: SparkSession, root: str) -> DataFrame:
     """Posts without titles: the ``events`` table alone."""
-    events = _events(spark, root)
+    return _captured(_events(spark, root))
+
+
+def _captured(events: DataFrame, *others: str) -> DataFrame:
+    """Captures of numbered events, with other columns that the events have."""
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     return events.select(
         F.col("event_id").alias("seq"),
@@ -74,6 +81,7 @@ def captures(spark: SparkSession, root: str) -> DataFrame:
         F.array("event_type", F.concat(F.lit("k"), F.col("k"))).alias("tags"),
         _unless(31, F.lit("CC BY-SA 4.0")).alias("content_license"),
         _unless(29, _owner()).alias("owner"),
+        *others,
     )
 
 
@@ -81,16 +89,19 @@ def posts(spark: SparkSession, root: str) -> DataFrame:
     """Posts with titles: one document at most for each capture.
 
     The size estimate of a text column is a fixed few bytes a row, far below
-    the truth, so the join is told to merge and never broadcasts the texts.
+    the truth, so the join is told to merge and never broadcasts the texts. Captures are
+    worked out after it: the events' own columns are a fraction of theirs to shuffle.
     """
     texts = base_table(spark, root, "documents").select("doc_id", "text").hint("merge")
-    joined = captures(spark, root).join(texts, F.col("seq") == F.col("doc_id"), "left")
+    events = base_table(spark, root, "events")
+    both = events.join(texts, F.col("event_id") == F.col("doc_id"), "left")
+    joined = _captured(_numbered(both), "text")
     title = (
         F.when(F.col("k") == 37, None)
         .when(F.col("k") == 41, BLANK_TITLE)
         .otherwise(F.coalesce("text", "own_title"))
     )
-    return joined.withColumn("title", title).drop("own_title", "text", "doc_id")
+    return joined.withColumn("title", title).drop("own_title", "text")
 
 
 def _fragment(name: str, good: Column, faults: dict[int, str]) -> Column:

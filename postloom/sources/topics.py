@@ -6,6 +6,8 @@ All sources yield frames that have at least ``value``; the Kafka source adds
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +15,28 @@ from postloom.functions import not_blank_line
 from postloom.operators.contract import check_contract, error_reason
 
 
-def read_topic(spark: SparkSession, path: str) -> DataFrame:
-    """All lines of a topic folder, from the beginning, blank ones left out."""
+def read_topic(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All lines of a topic folder, or of some of its files, blank ones left out."""
     return spark.read.text(path).filter(not_blank_line(F.col("value")))
 
 
-def stream_topic(spark: SparkSession, path: str, max_files: int) -> DataFrame:
-    """The same as a stream; ``max_files`` bounds each micro-batch."""
+def topic_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a topic folder; one short name a file comes to the driver."""
+    return [unquote(name) for name in sorted(spark.read.text(path).inputFiles())]
+
+
+def stream_topic(
+    spark: SparkSession, path: str, max_files: int, acknowledge: bool = False
+) -> DataFrame:
+    """The same as a stream; ``max_files`` bounds each micro-batch.
+
+    With ``acknowledge`` the topic gives up a file once its batch is done, as a broker
+    gives up acknowledged messages: no other stream must want it. Files of the last batch
+    may stay.
+    """
     reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_files)
+    if acknowledge:
+        reader = reader.option("cleanSource", "delete")
     return reader.load(path).filter(not_blank_line(F.col("value")))
 
 

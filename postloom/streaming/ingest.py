@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -12,7 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postloom.functions import epoch_day
 from postloom.operators.contract import check_contract, dead_letters, routed, valid_posts
-from postloom.plans.landing import land, receive
+from postloom.plans.landing import flattened, land, receive, unflattened, without_spent_text
+from postloom.session import dropped_shuffles
 from postloom.sinks.commits import land_committed
 from postloom.sinks.files import Batch, spread, write_routed
 
@@ -48,6 +50,22 @@ def run_batches(
     return writer.start()
 
 
+@contextlib.contextmanager
+def _received_once(batch: DataFrame, missing_id: str) -> Iterator[DataFrame]:
+    """A received batch that is cached while it is stored, and leaves no shuffle files.
+
+    The part of the cache that memory does not hold lies on disk, as it is: plain columns
+    without the text of stored messages take a fraction of whole rows.
+    """
+    received = without_spent_text(receive(batch, missing_id))
+    flat = flattened(received).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with dropped_shuffles(batch.sparkSession):
+            yield unflattened(flat)
+    finally:
+        flat.unpersist()
+
+
 def start_ingest(
     lines: DataFrame,
     root: str,
@@ -63,11 +81,8 @@ def start_ingest(
     """
 
     def write(batch: DataFrame, own: Batch) -> None:
-        received = receive(batch, missing_id).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with _received_once(batch, missing_id) as received:
             land(received, root, own)
-        finally:
-            received.unpersist()
 
     return run_batches(lines, write, checkpoint, available_now)
 
@@ -86,11 +101,8 @@ def start_committed_ingest(
     """
 
     def write(batch: DataFrame, own: Batch) -> None:
-        received = receive(batch, missing_id).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with _received_once(batch, missing_id) as received:
             land_committed(received, root, own)
-        finally:
-            received.unpersist()
 
     return run_batches(lines, write, checkpoint, available_now)
 
