@@ -900,7 +900,7 @@ def stream_archive_latest(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "latest")
     envelopes = event_posts.envelopes(spark, root)
     # Every message comes twice, first with another title to a stream of its own.
-    files.write_topic(envelopes, f"{path}/topic")
+    files.write_topic(envelopes, f"{path}/topic", packed=True)
 
     def archive(batch: DataFrame, own: files.Batch, older: bool) -> None:
         posts = landing.stored(landing.receive(batch))
@@ -909,7 +909,9 @@ def stream_archive_latest(spark: SparkSession, root: str) -> DataFrame:
         files.write_json_archive(posts, f"{path}/json", own)
 
     for run in ("first", "second"):
-        lines = topics.stream_topic(spark, f"{path}/topic", max_files=16)
+        lines = topics.stream_topic(
+            spark, f"{path}/topic", max_files=TOPIC_FILES, acknowledge=run == "second"
+        )
         ingest.run_batches(
             lines, functools.partial(archive, older=run == "first"), f"{path}/{run}"
         ).awaitTermination()
